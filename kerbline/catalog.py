@@ -1,0 +1,309 @@
+"""Every query this package answers, by name, over the star-schema test tables.
+
+A query takes the session and the folder of the tables.  Queries about stored tables and
+streams really store and stream, below the shared scratch folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kerbline.functions.timeparts import NTZ, is_peak
+from kerbline.operators.audit import audit_fares
+from kerbline.operators.cleaning import clean
+from kerbline.operators.quality import RIDE_RULES, rule_counts
+from kerbline.operators.upsert import upsert
+from kerbline.plans import dashboard, gold, orders
+from kerbline.plans.refresh import refresh
+from kerbline.sources.landing import write_landing
+from kerbline.sources.rides import rides_view
+from kerbline.sources.scratch import scratch_path
+from kerbline.sources.snapshots import append
+from kerbline.sources.warehouse import Warehouse
+from kerbline.streaming import flows
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# The clock of all queries; the test events span 2024-01-01 to 2024-01-30.
+AS_OF = "2024-01-30 12:00:00"
+# Cash rides from this day on arrive in a second, late load.
+LATE_FROM = "2024-01-20"
+# The stored order totals know orders up to here; orders before the second date were purged.
+ORDERS_KNOWN_UNTIL = "1999-07-01"
+ORDERS_PURGED_BEFORE = "1997-01-01"
+
+QUERIES: dict[str, Query] = {}
+
+
+def query(function: Query) -> Query:
+    QUERIES[function.__name__] = function
+    return function
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean(rides_view(spark, sf_dir))
+
+
+def _gold(table: gold.GoldTable) -> Query:
+    return lambda spark, sf_dir: table.build(_silver(spark, sf_dir), AS_OF)
+
+
+# --- cleaned rides -------------------------------------------------------------------
+
+
+@query
+def rides_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rides_view(spark, sf_dir)
+
+
+@query
+def silver_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir)
+
+
+@query
+def dq_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_counts(rides_view(spark, sf_dir))
+
+
+# --- aggregate tables ----------------------------------------------------------------
+
+QUERIES["live_kpis"] = _gold(gold.LIVE_KPIS)
+QUERIES["revenue_per_minute"] = _gold(gold.REVENUE_PER_MINUTE)
+QUERIES["rides_by_city"] = _gold(gold.RIDES_BY_CITY)
+QUERIES["top_zones"] = _gold(gold.TOP_ZONES)
+QUERIES["status_breakdown"] = _gold(gold.STATUS_BREAKDOWN)
+QUERIES["pickup_demand"] = _gold(gold.PICKUP_DEMAND)
+QUERIES["cancellation_analysis"] = _gold(gold.CANCELLATION_ANALYSIS)
+QUERIES["hourly_demand"] = _gold(gold.HOURLY_DEMAND)
+QUERIES["driver_leaderboard"] = _gold(gold.DRIVER_LEADERBOARD)
+
+
+@query
+def status_pct_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.status_shares(QUERIES["status_breakdown"](spark, sf_dir))
+
+
+# --- orders --------------------------------------------------------------------------
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+
+
+def _finished(table: DataFrame) -> DataFrame:
+    money = F.col("o_totalprice").cast("decimal(18,2)")
+    return orders.delivered_orders(table, "o_orderpriority", money, "o_orderstatus = 'F'")
+
+
+def _by_year(table: DataFrame) -> DataFrame:
+    keys = ("order_year", "category")
+    counted = table.filter("o_orderstatus = 'F'").select(
+        F.year("o_orderdate").alias("order_year"),
+        F.col("o_orderpriority").alias("category"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+    )
+    return orders.revenue_by_category(counted, keys)
+
+
+def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_year(_orders(spark, sf_dir).filter(F.col("o_orderdate") < ORDERS_KNOWN_UNTIL))
+
+
+def _not_purged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_year(_orders(spark, sf_dir).filter(F.col("o_orderdate") >= ORDERS_PURGED_BEFORE))
+
+
+@query
+def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders.revenue_by_category(_finished(_orders(spark, sf_dir)))
+
+
+@query
+def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals known at mid-1999, brought up to date: later groups updated or inserted."""
+    renewed = _by_year(_orders(spark, sf_dir))
+    return upsert(_known(spark, sf_dir), renewed, ["order_year", "category"])
+
+
+@query
+def merge_stale_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source lost its oldest orders; their totals stay in the target."""
+    keys = ["order_year", "category"]
+    return upsert(_known(spark, sf_dir), _not_purged(spark, sf_dir), keys)
+
+
+@query
+def merge_delete_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["order_year", "category"]
+    return upsert(_known(spark, sf_dir), _not_purged(spark, sf_dir), keys, delete_missing=True)
+
+
+@query
+def category_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Additive state of the older orders plus that of the newer ones."""
+    table = _orders(spark, sf_dir)
+    newer = F.col("o_orderdate") >= ORDERS_KNOWN_UNTIL
+    state = orders.category_state(_finished(table.filter(~newer)))
+    delta = orders.category_state(_finished(table.filter(newer)))
+    return orders.shown(orders.add_state(state, delta))
+
+
+# --- stored tables and their refresh -------------------------------------------------
+
+
+def _zoned(df: DataFrame) -> DataFrame:
+    """Times without a zone as times of the session zone, the type of a stored table."""
+    plain = [name for name, kind in df.dtypes if kind == NTZ]
+    return df.withColumns({name: F.col(name).cast("timestamp") for name in plain})
+
+
+def _unzoned(df: DataFrame) -> DataFrame:
+    zoned = [name for name, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({name: F.col(name).cast(NTZ) for name in zoned})
+
+
+def _load(warehouse: Warehouse, rides: DataFrame, batch_id: int) -> None:
+    """Adds cleaned rides to the stored silver table and to the roll-ups."""
+    by_day = rides.hint("rebalance", "event_date")
+    append(by_day, warehouse.silver, "event_date")
+    for name in gold.ROLLUPS:
+        warehouse.rollup(name).add(rides, batch_id)
+
+
+def _loaded_twice(spark: SparkSession, sf_dir: str, name: str, mode: str) -> Warehouse:
+    """A stored table refreshed after a first load and again after a late one."""
+    warehouse = Warehouse(spark, scratch_path(spark, "refresh")).create()
+    rides = _zoned(_silver(spark, sf_dir))
+    late = (F.col("payment_method") == "Cash") & (F.col("event_date") >= F.lit(LATE_FROM))
+    _load(warehouse, rides.filter(~late), 0)
+    refresh(warehouse, [name], "full", AS_OF)
+    _load(warehouse, rides.filter(late), 1)
+    refresh(warehouse, [name], mode, AS_OF)
+    return warehouse
+
+
+@query
+def refresh_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _loaded_twice(spark, sf_dir, "gold_rides_by_city", "full")
+    return warehouse.read_gold("gold_rides_by_city")
+
+
+@query
+def refresh_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _loaded_twice(spark, sf_dir, "gold_pickup_demand", "partitions")
+    return warehouse.read_gold("gold_pickup_demand")
+
+
+@query
+def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _loaded_twice(spark, sf_dir, "gold_live_kpis", "incremental")
+    return _unzoned(warehouse.read_gold("gold_live_kpis"))
+
+
+@query
+def refresh_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second refresh with nothing new leaves the one stored version as it is."""
+    name = "gold_ride_status_breakdown"
+    warehouse = Warehouse(spark, scratch_path(spark, "refresh")).create()
+    _load(warehouse, _zoned(_silver(spark, sf_dir)), 0)
+    refresh(warehouse, [name])
+    (second,) = refresh(warehouse, [name])
+    versions = len(warehouse.store(gold.GOLD_TABLES[name]).versions())
+    return warehouse.read_gold(name).withColumns(
+        {"versions": F.lit(versions), "second_refresh": F.lit(second.action)}
+    )
+
+
+# --- fares and peak hours ------------------------------------------------------------
+
+
+@query
+def fare_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_fares(rides_view(spark, sf_dir))
+
+
+@query
+def peak_hour_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peak by the time as shown, and by Indian time if the time shown is UTC."""
+    time = F.col("event_time")
+    return rides_view(spark, sf_dir).select(
+        "ride_id",
+        "event_time",
+        is_peak(time).alias("is_peak_local"),
+        is_peak(time, "Asia/Kolkata", source_zone="UTC").alias("is_peak_india"),
+    )
+
+
+# --- dashboard -----------------------------------------------------------------------
+
+
+def _dash(view: Callable[..., DataFrame], *tables: str) -> Query:
+    return lambda spark, sf_dir: view(*[QUERIES[name](spark, sf_dir) for name in tables])
+
+
+QUERIES["dash_kpis"] = _dash(dashboard.kpis, "live_kpis", "status_breakdown")
+QUERIES["dash_kpis_today"] = _dash(
+    lambda kpis, statuses: dashboard.kpis(kpis, statuses, AS_OF), "live_kpis", "status_breakdown"
+)
+QUERIES["dash_revenue"] = _dash(dashboard.revenue, "revenue_per_minute")
+QUERIES["dash_status"] = _dash(dashboard.statuses, "status_breakdown")
+QUERIES["dash_status_summed"] = _dash(dashboard.statuses_summed, "status_breakdown")
+QUERIES["dash_cities"] = _dash(dashboard.cities, "rides_by_city")
+QUERIES["dash_zones"] = _dash(dashboard.zones, "top_zones")
+QUERIES["dash_cancel_reasons"] = _dash(dashboard.cancel_reasons, "cancellation_analysis")
+QUERIES["dash_pickup"] = _dash(dashboard.pickups, "pickup_demand")
+
+
+# --- streams -------------------------------------------------------------------------
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The rides as JSON lines in a new landing folder."""
+    warehouse = Warehouse(spark, scratch_path(spark, "stream")).create()
+    write_landing(rides_view(spark, sf_dir), warehouse.landing)
+    return warehouse
+
+
+@query
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _landed(spark, sf_dir)
+    flows.await_all([flows.start_bronze(warehouse)])
+    flows.await_all([flows.start_silver(warehouse, files_per_day=1)])
+    return _unzoned(warehouse.read_silver().drop("_ingest_time"))
+
+
+@query
+def stream_silver_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _landed(spark, sf_dir)
+    target = f"{warehouse.base}/silver_by_batch"
+    flows.await_all([flows.start_bronze(warehouse)])
+    flows.await_all([flows.start_silver_by_batch(warehouse, target)])
+    return _unzoned(spark.read.parquet(target).drop("_ingest_time", "_batch_id"))
+
+
+@query
+def stream_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule violations as observed while the stream ran."""
+    warehouse = _landed(spark, sf_dir)
+    flows.run_once(warehouse, tables=["gold_ride_status_breakdown"], as_of=AS_OF)
+    seen = spark.read.parquet(warehouse.quality)
+    summed = seen.agg(*[F.sum(name).alias(name) for name in ("rows_in", *RIDE_RULES)])
+    return summed.unpivot(["rows_in"], list(RIDE_RULES), "rule", "violations")
+
+
+@query
+def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _landed(spark, sf_dir)
+    flows.run_once(warehouse, tables=["gold_cancellation_analysis"], as_of=AS_OF, files_per_day=1)
+    return warehouse.read_gold("gold_cancellation_analysis")
+
+
+@query
+def stream_to_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _landed(spark, sf_dir)
+    flows.run_once(warehouse, tables=["gold_driver_leaderboard"], as_of=AS_OF, files_per_day=1)
+    return warehouse.read_gold("gold_driver_leaderboard")

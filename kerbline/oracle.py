@@ -1,0 +1,232 @@
+"""The same results as SQL text for an independent engine (DuckDB), over the test tables.
+
+Every text starts from ``RIDES`` and ``SILVER``; nothing here is used by the jobs.
+"""
+
+from __future__ import annotations
+
+RIDES = """
+b AS (SELECT e.event_id AS e, e.ts, e.user_id AS u, r.r_regionkey AS rk
+ FROM events e JOIN customer c ON e.user_id=c.c_custkey JOIN nation n ON c.c_nationkey=n.n_nationkey
+ JOIN region r ON n.n_regionkey=r.r_regionkey),
+k AS (SELECT b.*, CASE rk WHEN 0 THEN 'BLR' WHEN 1 THEN 'MUM' WHEN 2 THEN 'DEL' WHEN 3 THEN 'CHN' ELSE 'HYD' END code,
+ CASE rk WHEN 0 THEN 'Bangalore' WHEN 1 THEN 'Mumbai' WHEN 2 THEN 'Delhi' WHEN 3 THEN 'Chennai' ELSE 'Hyderabad' END city,
+ (e*19)%100 AS sr, ((e*37)%103)%20 AS vr,
+ ((extract(hour from ts)>=8 AND extract(hour from ts)<10) OR (extract(hour from ts)>=18 AND extract(hour from ts)<21)) AS peak FROM b),
+m AS (SELECT k.*, CASE WHEN e%157=0 THEN 0.25e0 WHEN e%163=0 THEN 6e1 ELSE 1e0+((e*29)%43)/2e0 END dist,
+ CASE WHEN e%307=0 THEN 'Boat' WHEN vr<3 THEN 'Bike' WHEN vr<7 THEN 'Auto' WHEN vr<13 THEN 'Mini' WHEN vr<18 THEN 'Sedan' ELSE 'SUV' END vt,
+ CASE WHEN sr<70 THEN 'completed' WHEN sr<83 THEN 'cancelled_by_user' WHEN sr<91 THEN 'cancelled_by_driver' WHEN sr<97 THEN 'no_driver_found' WHEN sr<99 THEN 'in_progress' ELSE 'unknown' END st,
+ CASE WHEN peak AND e%2=0 THEN 1.5e0 WHEN peak THEN 2e0 ELSE 1e0 END surge FROM k),
+f AS (SELECT m.*, CASE vt WHEN 'Bike' THEN 15 WHEN 'Auto' THEN 25 WHEN 'Mini' THEN 40 WHEN 'Sedan' THEN 60 ELSE 80 END + dist*CASE vt WHEN 'Bike' THEN 8 WHEN 'Auto' THEN 12 WHEN 'Mini' THEN 14 WHEN 'Sedan' THEN 18 ELSE 22 END AS basef,
+ CASE vt WHEN 'Bike' THEN 3e1 WHEN 'Auto' THEN 5e1 WHEN 'Mini' THEN 1e2 WHEN 'Sedan' THEN 1.5e2 ELSE 2.5e2 END mn,
+ CASE vt WHEN 'Bike' THEN 1.5e2 WHEN 'Auto' THEN 2e2 WHEN 'Mini' THEN 4e2 WHEN 'Sedan' THEN 6e2 ELSE 8e2 END mx FROM m),
+rides AS (SELECT CASE WHEN e%211=0 THEN NULL ELSE 'RD-'||CAST(e AS VARCHAR) END ride_id, ts AS event_time, st AS status, city,
+ code||'-A'||CAST(((e*17)%101)%10 AS VARCHAR) pickup_area, code||'-A'||CAST((((e*17)%101)%10+1+((e*13)%97)%9)%10 AS VARCHAR) drop_area,
+ vt AS vehicle_type, 'DRV-'||code||'-'||CAST(1000+(e*11)%409 AS VARCHAR) driver_id, 'Driver '||CAST((e*11)%409 AS VARCHAR) driver_name,
+ CASE WHEN e%173=0 THEN NULL WHEN e%179=0 THEN 0.5e0 ELSE 3.5e0+((e*23)%7)/4e0 END driver_rating,
+ 'USR-'||CAST(10000+u AS VARCHAR) rider_id, dist AS distance_km, CAST(floor(dist*3) AS INT) duration_mins, basef AS base_fare, surge AS surge_multiplier,
+ CASE WHEN e%191=0 THEN 0e0 WHEN e%193=0 THEN NULL ELSE least(greatest(basef*surge,mn),mx) END final_fare,
+ CASE WHEN (e*41)%100<52 THEN 'UPI' WHEN (e*41)%100<74 THEN 'Cash' WHEN (e*41)%100<89 THEN 'Card' ELSE 'Wallet' END payment_method,
+ CASE WHEN st IN ('cancelled_by_user','cancelled_by_driver','no_driver_found') THEN CASE WHEN e%11=0 THEN '' ELSE 'R'||CAST(e%3 AS VARCHAR) END END cancellation_reason,
+ code||'-Z'||CAST(((e*31)%53)%5+1 AS VARCHAR) zone_id, peak AS is_peak_hour, ts + INTERVAL 2 SECONDS AS _ingest_time FROM f)"""
+
+SILVER = """
+silver AS (SELECT *, CAST(event_time AS DATE) AS event_date,
+ CAST(extract(hour FROM event_time) AS INTEGER) AS event_hour,
+ CAST(extract(minute FROM event_time) AS INTEGER) AS event_minute,
+ CAST(extract(dow FROM event_time) + 1 AS INTEGER) AS day_of_week,
+ extract(dow FROM event_time) IN (0, 6) AS is_weekend,
+ status IN ('cancelled_by_user','cancelled_by_driver','no_driver_found') AS is_cancelled
+ FROM rides
+ WHERE ride_id IS NOT NULL AND final_fare > 0 AND distance_km BETWEEN 0.5 AND 50
+ AND driver_rating BETWEEN 1.0 AND 5.0
+ AND status IN ('completed','cancelled_by_user','cancelled_by_driver','no_driver_found','in_progress')
+ AND vehicle_type IN ('Bike','Auto','Mini','Sedan','SUV'))"""
+
+
+def rounded(value: str, digits: int) -> str:
+    """Half-up rounding of the shortest decimal text of a double."""
+    text = f"CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,15))"
+    return f"CAST(round({text}, {digits}) AS DOUBLE)"
+
+
+def _over_rides(body: str) -> str:
+    return f"WITH {RIDES}\n{body}"
+
+
+def _over_silver(*steps: str) -> str:
+    *views, body = steps
+    return f"WITH {', '.join([RIDES, SILVER, *views])}\n{body}"
+
+
+DONE = "status = 'completed'"
+N = "CAST(count(ride_id) AS BIGINT)"
+N_DONE = f"CAST(count(*) FILTER ({DONE}) AS BIGINT)"
+N_CANCELLED = "CAST(count(*) FILTER (is_cancelled) AS BIGINT)"
+FARES = f"coalesce(sum(final_fare) FILTER ({DONE}), 0)"
+CANCEL_PCT = rounded("count(*) FILTER (is_cancelled) * 100e0 / count(ride_id)", 1)
+MEAN_DONE = rounded(f"avg(final_fare) FILTER ({DONE})", 2)
+
+LIVE_KPIS = f"""SELECT event_date, {N} AS total_rides, {FARES} AS total_revenue_inr,
+ {CANCEL_PCT} AS cancellation_rate_pct, CAST(count(DISTINCT driver_id) AS BIGINT) AS active_drivers,
+ {MEAN_DONE} AS avg_fare_inr, max(_ingest_time) AS last_updated FROM silver GROUP BY event_date"""
+
+
+def _revenue_per_minute(as_of: str) -> str:
+    return f"""SELECT date_trunc('minute', event_time) AS minute_bucket,
+ {rounded('sum(final_fare)', 2)} AS revenue_inr, {N} AS completed_rides FROM silver
+ WHERE {DONE} AND event_time >= TIMESTAMP '{as_of}' - INTERVAL 60 MINUTES GROUP BY 1"""
+
+
+RIDES_BY_CITY = f"""SELECT city, {N} AS total_rides, {N_DONE} AS completed_rides,
+ {rounded(FARES, 2)} AS revenue_inr, {MEAN_DONE} AS avg_fare_inr FROM silver GROUP BY city"""
+
+
+def _top_zones(as_of: str) -> str:
+    return f"""SELECT zone_id, city, {rounded('sum(final_fare)', 2)} AS total_revenue_inr, {N} AS completed_rides,
+ {rounded('avg(final_fare)', 2)} AS avg_fare_inr, {rounded('avg(distance_km)', 1)} AS avg_distance_km
+ FROM silver WHERE event_date = CAST(TIMESTAMP '{as_of}' AS DATE) AND {DONE} GROUP BY zone_id, city
+ ORDER BY total_revenue_inr DESC, zone_id, city LIMIT 10"""
+
+
+STATUS_BREAKDOWN = (
+    f"SELECT event_date, status, {N} AS ride_count FROM silver GROUP BY event_date, status"
+)
+PICKUP_DEMAND = f"""SELECT event_date, city, pickup_area, zone_id, {N} AS total_rides,
+ {N_DONE} AS completed_rides, {N_CANCELLED} AS cancelled_rides, {CANCEL_PCT} AS cancellation_rate_pct,
+ {rounded('avg(surge_multiplier)', 2)} AS avg_surge, {rounded(FARES, 2)} AS revenue_inr
+ FROM silver GROUP BY event_date, city, pickup_area, zone_id"""
+CANCELLATION = f"""SELECT event_date, city, status, cancellation_reason, {N} AS cancellation_count,
+ {rounded('avg(surge_multiplier)', 2)} AS avg_surge_at_cancel, {rounded('avg(distance_km)', 1)} AS avg_distance_km
+ FROM silver WHERE is_cancelled GROUP BY event_date, city, status, cancellation_reason"""
+HOURLY = f"""SELECT event_date, event_hour, city, {N} AS total_rides, {N_DONE} AS completed_rides,
+ {N_CANCELLED} AS cancelled_rides, {rounded('avg(surge_multiplier)', 2)} AS avg_surge, is_weekend
+ FROM silver GROUP BY event_date, event_hour, city, is_weekend"""
+LEADERBOARD = f"""SELECT *, CAST(rank() OVER (PARTITION BY event_date ORDER BY revenue_inr DESC) AS BIGINT) AS rank
+ FROM (SELECT event_date, driver_id, {N} AS completed_rides, {rounded('sum(final_fare)', 2)} AS revenue_inr,
+ {rounded('avg(driver_rating)', 2)} AS avg_rating FROM silver WHERE {DONE} GROUP BY event_date, driver_id)"""
+STATUS_SHARES = f"""SELECT event_date, status, ride_count,
+ {rounded('ride_count * 100e0 / sum(ride_count) OVER (PARTITION BY event_date)', 1)} AS pct_of_total
+ FROM ({STATUS_BREAKDOWN})"""
+
+DASH_KPIS = f"""SELECT k.event_date, total_revenue_inr, cancellation_rate_pct, active_drivers, avg_fare_inr,
+ CAST({rounded('total_rides * (100 - cancellation_rate_pct) / 100', 0)} AS BIGINT) AS completed_rides_est,
+ completed_rides
+ FROM ({LIVE_KPIS}) k JOIN (SELECT event_date, {N_DONE} AS completed_rides FROM silver GROUP BY event_date) d
+ ON k.event_date = d.event_date"""
+DASH_CANCEL = f"""SELECT city, coalesce(nullif(cancellation_reason, ''), status) AS reason,
+ {N} AS cancellation_count FROM silver WHERE is_cancelled GROUP BY 1, 2"""
+DASH_PICKUP = f"""SELECT city, pickup_area, zone_id, {N} AS total_rides, {N_CANCELLED} AS cancelled_rides,
+ {CANCEL_PCT} AS cancel_rate_pct FROM silver GROUP BY city, pickup_area, zone_id"""
+
+RULES = {
+    "valid_ride_id": "ride_id IS NOT NULL",
+    "valid_fare": "final_fare > 0",
+    "valid_distance": "distance_km BETWEEN 0.5 AND 50",
+    "valid_rating": "driver_rating BETWEEN 1.0 AND 5.0",
+    "valid_status": "status IN ('completed','cancelled_by_user','cancelled_by_driver','no_driver_found','in_progress')",
+    "valid_vehicle": "vehicle_type IN ('Bike','Auto','Mini','Sedan','SUV')",
+}
+RULE_COUNTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS rule, CAST(count(*) AS BIGINT) AS rows_in, "
+    f"CAST(count(*) FILTER (({rule}) IS NOT TRUE) AS BIGINT) AS violations FROM rides"
+    for name, rule in RULES.items()
+)
+
+_VEHICLE = "CASE vehicle_type WHEN 'Bike' THEN {} WHEN 'Auto' THEN {} WHEN 'Mini' THEN {} WHEN 'Sedan' THEN {} WHEN 'SUV' THEN {} END"
+_BASE = f"({_VEHICLE.format(15, 25, 40, 60, 80)} + {_VEHICLE.format(8, 12, 14, 18, 22)} * distance_km)"
+_LOW = _VEHICLE.format("30e0", "50e0", "100e0", "150e0", "250e0")
+_HIGH = _VEHICLE.format("150e0", "200e0", "400e0", "600e0", "800e0")
+FARE_AUDIT = f"""SELECT ride_id, vehicle_type, distance_km, surge_multiplier, base_fare, final_fare,
+ {rounded('b', 2)} AS expected_base, {rounded('x', 2)} AS expected_fare,
+ {rounded('final_fare - x', 2)} AS fare_gap,
+ CASE WHEN b IS NULL THEN 'no_tariff' WHEN final_fare IS NULL THEN 'no_fare'
+ WHEN abs(final_fare - x) > 0.01 THEN 'differs' ELSE 'agrees' END AS finding
+ FROM (SELECT *, {_BASE} AS b, CASE WHEN {_BASE} IS NOT NULL
+ THEN least(greatest({_BASE} * surge_multiplier, {_LOW}), {_HIGH}) END AS x FROM rides)"""
+
+
+def _peak(time: str) -> str:
+    hour = f"extract(hour FROM {time})"
+    return f"(({hour} >= 8 AND {hour} < 10) OR ({hour} >= 18 AND {hour} < 21))"
+
+
+PEAK_FLAGS = f"""SELECT ride_id, event_time, {_peak('event_time')} AS is_peak_local,
+ {_peak('(event_time + INTERVAL 330 MINUTES)')} AS is_peak_india FROM rides"""
+
+_MONEY = "CAST(o_totalprice AS DECIMAL(18,2))"
+_MEAN_ORDER = rounded(f"CAST(sum({_MONEY}) AS DOUBLE) / count(*)", 2)
+_ORDER_SUMS = f"""CAST(count(*) AS BIGINT) AS total_orders, CAST(sum({_MONEY}) AS DOUBLE) AS total_revenue,
+ {_MEAN_ORDER} AS avg_order_value"""
+
+
+def _orders_by(keys: str, where: str) -> str:
+    return f"SELECT {keys}, {_ORDER_SUMS} FROM orders WHERE o_orderstatus = 'F' AND {where} GROUP BY ALL"
+
+
+_BY_YEAR = "CAST(extract(year FROM o_orderdate) AS INTEGER) AS order_year, o_orderpriority AS category"
+
+
+def oracle_texts(as_of: str, known_until: str, purged_before: str) -> dict[str, str]:
+    """Query name -> SQL.  The dates are the fixed clock and the two cut-offs of the
+    upsert queries."""
+    newest = _orders_by(_BY_YEAR, "TRUE")
+    kept = _orders_by(_BY_YEAR, f"o_orderdate >= TIMESTAMP '{purged_before}'")
+    earlier = _orders_by(_BY_YEAR, f"o_orderdate < TIMESTAMP '{known_until}'")
+    stale = f"""WITH old AS ({earlier}), new AS ({kept})
+ SELECT * FROM new UNION ALL
+ SELECT * FROM old WHERE (order_year, category) NOT IN (SELECT (order_year, category) FROM new)"""
+    minute = _revenue_per_minute(as_of)
+    zones = _top_zones(as_of)
+    stream_columns = "* EXCLUDE (_ingest_time)"
+    return {
+        "rides_bronze": _over_rides("SELECT * FROM rides"),
+        "silver_rides": _over_silver("SELECT * FROM silver"),
+        "dq_rule_metrics": _over_rides(RULE_COUNTS),
+        "live_kpis": _over_silver(LIVE_KPIS),
+        "revenue_per_minute": _over_silver(minute),
+        "rides_by_city": _over_silver(RIDES_BY_CITY),
+        "top_zones": _over_silver(zones),
+        "status_breakdown": _over_silver(STATUS_BREAKDOWN),
+        "status_pct_of_day": _over_silver(STATUS_SHARES),
+        "pickup_demand": _over_silver(PICKUP_DEMAND),
+        "cancellation_analysis": _over_silver(CANCELLATION),
+        "hourly_demand": _over_silver(HOURLY),
+        "driver_leaderboard": _over_silver(LEADERBOARD),
+        "revenue_by_category": _orders_by("o_orderpriority AS category", "TRUE"),
+        "merge_upsert": newest,
+        "merge_stale_keys": stale,
+        "merge_delete_missing": kept,
+        "category_incremental": _orders_by("o_orderpriority AS category", "TRUE"),
+        "refresh_full": _over_silver(RIDES_BY_CITY),
+        "refresh_partition_overwrite": _over_silver(PICKUP_DEMAND),
+        "refresh_incremental": _over_silver(LIVE_KPIS),
+        "refresh_skip": _over_silver(
+            f"SELECT *, 1 AS versions, 'skipped' AS second_refresh FROM ({STATUS_BREAKDOWN})"
+        ),
+        "fare_audit": _over_rides(FARE_AUDIT),
+        "peak_hour_flag": _over_rides(PEAK_FLAGS),
+        "dash_kpis": _over_silver(DASH_KPIS),
+        "dash_kpis_today": _over_silver(
+            f"SELECT * FROM ({DASH_KPIS}) WHERE event_date = CAST(TIMESTAMP '{as_of}' AS DATE)"
+        ),
+        "dash_revenue": _over_silver(minute),
+        "dash_status": _over_silver(f"SELECT status, ride_count FROM ({STATUS_BREAKDOWN})"),
+        "dash_status_summed": _over_silver(
+            f"SELECT status, {N} AS ride_count FROM silver GROUP BY status"
+        ),
+        "dash_cities": _over_silver(
+            f"SELECT city, {rounded('revenue_inr', 0)} AS revenue_inr FROM ({RIDES_BY_CITY})"
+        ),
+        "dash_zones": _over_silver(
+            f"""SELECT zone_id, city, {rounded('total_revenue_inr', 0)} AS total_revenue_inr,
+ completed_rides, {rounded('avg_fare_inr', 0)} AS avg_fare_inr FROM ({zones})"""
+        ),
+        "dash_cancel_reasons": _over_silver(DASH_CANCEL),
+        "dash_pickup": _over_silver(DASH_PICKUP),
+        "stream_silver": _over_silver(f"SELECT {stream_columns} FROM silver"),
+        "stream_silver_by_batch": _over_silver(f"SELECT {stream_columns} FROM silver"),
+        "stream_rule_metrics": _over_rides(RULE_COUNTS),
+        "stream_to_gold": _over_silver(CANCELLATION),
+        "stream_to_leaderboard": _over_silver(LEADERBOARD),
+    }
