@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from kerbline.operators.cleaning import clean
 from kerbline.plans.gold import GOLD_TABLES, ROLLUPS, GoldTable
 from kerbline.schema import INGEST_TIME, RESCUED, RIDE_SCHEMA
-from kerbline.operators.cleaning import clean
 from kerbline.sources import files
 from kerbline.sources.rolluplog import RollupLog
 from kerbline.sources.snapshots import StoredTable
@@ -33,7 +33,10 @@ def bronze_schema() -> T.StructType:
 
 
 def silver_schema(spark: SparkSession) -> T.StructType:
-    return clean(spark.createDataFrame([], bronze_schema())).schema
+    """The cleaned columns, the partition column last: there a reader puts it anyway, and a
+    stream started on a still empty folder would otherwise mix up positions later."""
+    fields = clean(spark.createDataFrame([], bronze_schema())).schema.fields
+    return T.StructType(sorted(fields, key=lambda field: field.name == "event_date"))
 
 
 @dataclass(frozen=True)
@@ -115,6 +118,8 @@ class Warehouse:
                 schema=None,
                 description=table.comment,
             )
+            if table.dated:
+                self.spark.catalog.recoverPartitions(full)
             run(f"ALTER TABLE {full} SET TBLPROPERTIES ('quality' = 'gold')")
             done.append(full)
         return done

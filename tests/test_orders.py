@@ -1,0 +1,139 @@
+"""Upsert, full recompute and additive refresh on the twelve demo orders."""
+
+from __future__ import annotations
+
+import pytest
+
+from kerbline.operators.audit import audit_fares
+from kerbline.operators.cleaning import clean
+from kerbline.operators.upsert import check_unique, upsert
+from kerbline.plans import orders
+from kerbline.plans.refresh import upsert_stored
+from kerbline.sources.snapshots import StoredTable, append
+from tests.conftest import a_ride, bag, plan_of
+
+SCHEMA = "order_id string, customer string, category string, amount int, status string"
+SEED = [
+    ("ORD-001", "Alice", "Electronics", 1200, "delivered"),
+    ("ORD-002", "Bob", "Clothing", 350, "delivered"),
+    ("ORD-003", "Alice", "Books", 89, "delivered"),
+    ("ORD-004", "Carol", "Electronics", 780, "delivered"),
+    ("ORD-005", "Bob", "Food", 45, "cancelled"),
+    ("ORD-006", "Carol", "Clothing", 210, "delivered"),
+]
+SECOND = [
+    ("ORD-007", "Dave", "Electronics", 2500, "delivered"),
+    ("ORD-008", "Alice", "Clothing", 620, "delivered"),
+    ("ORD-009", "Dave", "Books", 150, "delivered"),
+]
+THIRD = [
+    ("ORD-010", "Eve", "Electronics", 1800, "delivered"),
+    ("ORD-011", "Frank", "Clothing", 490, "delivered"),
+    ("ORD-012", "Eve", "Books", 75, "delivered"),
+]
+AFTER_SEED = [("Books", 1, 89, 89.0), ("Clothing", 2, 560, 280.0), ("Electronics", 2, 1980, 990.0)]
+AFTER_SECOND = [
+    ("Books", 2, 239, 119.5),
+    ("Clothing", 3, 1180, 393.33),
+    ("Electronics", 3, 4480, 1493.33),
+]
+AFTER_THIRD = [
+    ("Books", 3, 314, 104.67),
+    ("Clothing", 4, 1670, 417.5),
+    ("Electronics", 4, 6280, 1570.0),
+]
+
+
+@pytest.fixture
+def table(spark):
+    return lambda rows: spark.createDataFrame(rows, SCHEMA)
+
+
+def totals(frame):
+    return orders.revenue_by_category(orders.delivered_orders(frame))
+
+
+def test_types_and_order(table):
+    frame = totals(table(SEED))
+    assert frame.dtypes == [
+        ("category", "string"),
+        ("total_orders", "bigint"),
+        ("total_revenue", "bigint"),
+        ("avg_order_value", "double"),
+    ]
+    assert [row[0] for row in orders.by_revenue(frame).collect()] == [
+        "Electronics",
+        "Clothing",
+        "Books",
+    ]
+
+
+def test_upsert_of_a_stored_table(spark, table, base):
+    source = f"{base}/orders"
+    store = StoredTable(spark, f"{base}/totals")
+    append(table(SEED), source)
+    store.replace(totals(spark.read.parquet(source)))
+    assert bag(store.read()) == AFTER_SEED
+    append(table(SECOND), source)
+    upsert_stored(store, totals(spark.read.parquet(source)), ["category"])
+    assert bag(store.read()) == AFTER_SECOND
+    assert store.versions() == [1, 2]
+
+
+def test_recompute(table):
+    assert bag(totals(table(SEED + SECOND + THIRD))) == AFTER_THIRD
+
+
+def test_additive_state(table):
+    state = orders.category_state(orders.delivered_orders(table(SEED)))
+    for more, expected in ((SECOND, AFTER_SECOND), (THIRD, AFTER_THIRD)):
+        delta = orders.category_state(orders.delivered_orders(table(more)))
+        state = orders.add_state(state, delta)
+        assert bag(orders.shown(state)) == expected
+
+
+def test_keys_gone_from_the_source(table):
+    target = totals(table(SEED + SECOND))
+    source = totals(table([row for row in SEED + SECOND if row[2] != "Books"]))
+    assert bag(upsert(target, source, ["category"])) == AFTER_SECOND
+    assert bag(upsert(target, source, ["category"], delete_missing=True)) == AFTER_SECOND[1:]
+
+
+def test_new_key_is_inserted(table):
+    target = totals(table(SEED))
+    source = totals(table(SEED + [("ORD-013", "Bob", "Food", 45, "delivered")]))
+    assert ("Food", 1, 45, 45.0) in bag(upsert(target, source, ["category"]))
+
+
+def test_ambiguous_source_is_reported(spark):
+    source = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    assert bag(check_unique(source, ["k"])) == [("a", 2)]
+
+
+def test_fare_audit(rides_of):
+    findings = {
+        "agrees": a_ride(),
+        "differs": a_ride(final_fare=180.02),
+        "no_fare": a_ride(final_fare=None),
+        "no_tariff": a_ride(vehicle_type="Boat"),
+        "not_priceable": a_ride(distance_km=None),
+    }
+    rides = rides_of(*[{**ride, "ride_id": name} for name, ride in findings.items()])
+    audited = audit_fares(rides)
+    assert {row.ride_id: row.finding for row in audited.collect()} == {n: n for n in findings}
+    assert "BroadcastHashJoin" in plan_of(audited)
+
+
+@pytest.mark.parametrize(
+    "vehicle, km, surge, fare",
+    [
+        ("Bike", 1.0, 1.0, 30.0),  # lowest fare
+        ("Bike", 22.0, 2.0, 150.0),  # highest fare
+        ("Sedan", 7.3, 1.3, 248.82),  # from the unrounded base
+        ("SUV", 21.9, 1.8, 800.0),
+    ],
+)
+def test_expected_fare(rides_of, vehicle, km, surge, fare):
+    ride = a_ride(vehicle_type=vehicle, distance_km=km, surge_multiplier=surge, final_fare=fare)
+    (row,) = audit_fares(clean(rides_of(ride))).collect()
+    assert row.expected_fare == fare and row.finding == "agrees"
