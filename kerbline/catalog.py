@@ -20,7 +20,7 @@ from kerbline.plans import dashboard, gold, orders
 from kerbline.plans.refresh import refresh
 from kerbline.sources.landing import write_landing
 from kerbline.sources.rides import rides_view
-from kerbline.sources.scratch import scratch_path
+from kerbline.sources.scratch import scratch_path, stored
 from kerbline.sources.snapshots import append
 from kerbline.sources.warehouse import Warehouse
 from kerbline.streaming import flows
@@ -177,7 +177,7 @@ def _load(warehouse: Warehouse, rides: DataFrame, batch_id: int) -> None:
 def _loaded_twice(spark: SparkSession, sf_dir: str, name: str, mode: str) -> Warehouse:
     """A stored table refreshed after a first load and again after a late one."""
     warehouse = Warehouse(spark, scratch_path(spark, "refresh")).create()
-    rides = _zoned(_silver(spark, sf_dir))
+    rides = stored(_zoned(_silver(spark, sf_dir)), "cleaned")
     late = (F.col("payment_method") == "Cash") & (F.col("event_date") >= F.lit(LATE_FROM))
     _load(warehouse, rides.filter(~late), 0)
     refresh(warehouse, [name], "full", AS_OF)
@@ -209,7 +209,7 @@ def refresh_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second refresh with nothing new leaves the one stored version as it is."""
     name = "gold_ride_status_breakdown"
     warehouse = Warehouse(spark, scratch_path(spark, "refresh")).create()
-    _load(warehouse, _zoned(_silver(spark, sf_dir)), 0)
+    _load(warehouse, stored(_zoned(_silver(spark, sf_dir)), "cleaned"), 0)
     refresh(warehouse, [name])
     (second,) = refresh(warehouse, [name])
     versions = len(warehouse.store(gold.GOLD_TABLES[name]).versions())
@@ -272,7 +272,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> Warehouse:
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _landed(spark, sf_dir)
     flows.await_all([flows.start_bronze(warehouse)])
-    flows.await_all([flows.start_silver(warehouse, files_per_day=1)])
+    flows.await_all([flows.start_silver(warehouse, gather_days=True)])
     return _unzoned(warehouse.read_silver().drop("_ingest_time"))
 
 
@@ -298,12 +298,12 @@ def stream_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _landed(spark, sf_dir)
-    flows.run_once(warehouse, tables=["gold_cancellation_analysis"], as_of=AS_OF, files_per_day=1)
+    flows.run_once(warehouse, tables=["gold_cancellation_analysis"], as_of=AS_OF, gather_days=True)
     return warehouse.read_gold("gold_cancellation_analysis")
 
 
 @query
 def stream_to_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _landed(spark, sf_dir)
-    flows.run_once(warehouse, tables=["gold_driver_leaderboard"], as_of=AS_OF, files_per_day=1)
+    flows.run_once(warehouse, tables=["gold_driver_leaderboard"], as_of=AS_OF, gather_days=True)
     return warehouse.read_gold("gold_driver_leaderboard")

@@ -61,11 +61,17 @@ RIDE_FACTS: dict[str, Fact] = {
 
 @dataclass(frozen=True)
 class Rollup:
-    """A stored roll-up: the grain kept, and the facts kept at that grain."""
+    """A stored roll-up: the grain kept, the facts kept at that grain, and the further
+    columns of a cleaned ride from which these are computed."""
 
     name: str
     grain: tuple[str, ...]
     facts: tuple[str, ...]
+    reads: tuple[str, ...]
+
+    @property
+    def inputs(self) -> set[str]:
+        return {*self.grain, *self.reads}
 
     def chosen(self) -> list[Fact]:
         return [RIDE_FACTS[name] for name in self.facts]
@@ -103,6 +109,7 @@ PLACE_HOURS = Rollup(
         "distance_sum",
         "distance_n",
     ),
+    ("ride_id", "final_fare", "surge_multiplier", "distance_km"),
 )
 DRIVER_DAYS = Rollup(
     "driver_days",
@@ -117,6 +124,7 @@ DRIVER_DAYS = Rollup(
         "rating_n",
         "ingested",
     ),
+    ("ride_id", "status", "is_cancelled", "final_fare", "driver_rating", INGEST_TIME),
 )
 ROLLUPS = {rollup.name: rollup for rollup in (PLACE_HOURS, DRIVER_DAYS)}
 
@@ -145,6 +153,11 @@ class GoldTable:
         """Whether one day's rows depend on that day's rides only."""
         return "event_date" in self.keys
 
+    @property
+    def source(self) -> Rollup:
+        """The roll-up whose batches tell that, and on which days, rides were added."""
+        return self.rollup or PLACE_HOURS
+
     @property
     def modes(self) -> tuple[str, ...]:
         """Refresh modes that give exactly the full recompute's result."""

@@ -19,7 +19,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from kerbline.operators.upsert import upsert
-from kerbline.plans.gold import GOLD_TABLES, PLACE_HOURS, ROLLUPS, AsOf, GoldTable, Rollup
+from kerbline.plans.gold import GOLD_TABLES, ROLLUPS, AsOf, GoldTable, Rollup
 from kerbline.sources.scratch import stored
 from kerbline.sources.snapshots import Days, StoredTable, on_days
 from kerbline.sources.warehouse import Warehouse
@@ -93,7 +93,7 @@ def _refresh_one(
     warehouse: Warehouse, table: GoldTable, mode: str, as_of: AsOf, parts: _Parts, shared: bool
 ) -> Outcome:
     store = warehouse.store(table)
-    log = warehouse.rollup((table.rollup or PLACE_HOURS).name)
+    log = warehouse.rollup(table.source.name)
     source = log.latest()
     # A clocked table is stale when the clock moved; without a fixed clock it always did.
     note = {"source": source, "as_of": str(as_of) if table.clocked else None}
@@ -135,7 +135,7 @@ def compact(warehouse: Warehouse, keep: int = 2) -> None:
         notes = [
             warehouse.store(table).applied()
             for table in GOLD_TABLES.values()
-            if (table.rollup or PLACE_HOURS).name == name
+            if table.source.name == name
         ]
         sources = [note["source"] for note in notes if note and note["source"] is not None]
         if sources:

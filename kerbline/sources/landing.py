@@ -39,9 +39,11 @@ def stream_landing(
     schema: T.StructType = RIDE_SCHEMA,
     files_per_trigger: int | None = None,
     bytes_per_trigger: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Landed files as they arrive.  The checkpoint of the query that reads this remembers
-    which files were taken; the two limits bound one micro-batch of a large backlog."""
+    which files were taken; the two limits bound one micro-batch of a large backlog.  With
+    ``archive`` taken files are moved there, so that listing the folder stays cheap."""
     reader = (
         spark.readStream.schema(_with_rescue(schema)).option("columnNameOfCorruptRecord", RESCUED)
     )
@@ -49,12 +51,13 @@ def stream_landing(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path).withColumn(INGEST_TIME, F.current_timestamp())
 
 
 def write_landing(rides: DataFrame, path: str, mode: str = "append") -> None:
     """Rides as landing files, one JSON object per line; times are written without offset
     when they carry none."""
-    names = [field.name for field in RIDE_SCHEMA.fields]
-    typed = rides.select(*[F.col(f.name).cast(f.dataType) for f in RIDE_SCHEMA.fields])
-    typed.select(*names).write.mode(mode).json(path)
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RIDE_SCHEMA.fields]
+    rides.select(*typed).write.mode(mode).json(path)

@@ -6,12 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbline.plans.gold import Rollup
 from kerbline.sources import files
 from kerbline.sources.snapshots import StoredTable, write_batch
 
 BATCH = "_batch_id"
+_BATCH_FIELD = T.StructField(BATCH, T.LongType())
 MERGED = -1  # id of the part that holds all merged batches
 
 
@@ -29,9 +31,7 @@ class RollupLog:
         """Rolls up newly cleaned rides and stores them under their batch id."""
         delta = self.rollup.of(silver_batch)
         if self._table.current() is None:
-            # The first version is an empty table: batches are then added inside it.
-            empty = delta.limit(0).withColumn(BATCH, F.lit(0).cast("bigint"))
-            StoredTable(self.spark, self.path, BATCH).replace(empty)
+            self._table.create(T.StructType([*delta.schema.fields, _BATCH_FIELD]))
         write_batch(delta, self._table.current_path(), batch_id, BATCH)
 
     def latest(self) -> int | None:

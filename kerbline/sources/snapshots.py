@@ -94,15 +94,29 @@ class StoredTable:
             .partitionBy(self.day_column)
         )
 
+    def _next_version(self) -> int:
+        """One more than any version folder, complete or not."""
+        names = files.child_names(self.spark, self.path)
+        return max((int(n[2:]) for n in names if n.startswith("v=")), default=0) + 1
+
     def replace(self, df: DataFrame) -> int:
         """Writes ``df`` as the next version.  ``df`` may read the current one."""
-        names = files.child_names(self.spark, self.path)
-        version = max((int(n[2:]) for n in names if n.startswith("v=")), default=0) + 1
-        target = self._version_path(version)
-        self._writer(df).parquet(target)
-        files.write_text(self.spark, f"{target}/{SCHEMA_FILE}", df.schema.json())
+        version = self._next_version()
+        self._writer(df).parquet(self._version_path(version))
+        self._complete(version, df.schema)
         return version
 
+    def create(self, schema: T.StructType) -> int:
+        """An empty next version, into which parts are then written."""
+        version = self._next_version()
+        files.make_directory(self.spark, self._version_path(version))
+        self._complete(version, schema)
+        return version
+
+    def _complete(self, version: int, schema: T.StructType) -> None:
+        path = f"{self._version_path(version)}/{SCHEMA_FILE}"
+        files.write_text(self.spark, path, schema.json())
+
     def overwrite_days(self, df: DataFrame, days: Days) -> None:
         """Replaces the rows of ``days`` by ``df``, leaving all other days' files alone.
 

@@ -10,11 +10,11 @@ import logging
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kerbline.operators.cleaning import clean
-from kerbline.plans.gold import ROLLUPS, AsOf
+from kerbline.plans.gold import GOLD_TABLES, PLACE_HOURS, ROLLUPS, AsOf, Rollup
 from kerbline.plans.refresh import Outcome, refresh
 from kerbline.sources.landing import landing_path, stream_landing
 from kerbline.sources.snapshots import write_batch
@@ -37,6 +37,7 @@ def start_bronze(
     every: str | None = None,
     files_per_trigger: int | None = None,
     bytes_per_trigger: str | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Ingests landed files, unchanged but for the time of ingest.  The file sink's own log
     makes each file count exactly once."""
@@ -46,34 +47,35 @@ def start_bronze(
         path,
         files_per_trigger=files_per_trigger,
         bytes_per_trigger=bytes_per_trigger,
+        archive=archive,
     )
     writer = events.writeStream.queryName("bronze").outputMode("append")
     writer = writer.format("parquet").option("path", warehouse.bronze)
     return _started(writer, warehouse.checkpoint("bronze"), every)
 
 
-def _bronze_stream(warehouse: Warehouse) -> DataFrame:
-    return warehouse.spark.readStream.schema(bronze_schema()).parquet(warehouse.bronze)
-
-
-def _spread(rides: DataFrame, files_per_day: int) -> DataFrame:
-    """Gathers each day's rows in at most ``files_per_day`` tasks, so that a backlog of many
-    days does not write a file per day *and* task.  The number splits a busy day as well."""
-    slot = F.pmod(F.xxhash64("ride_id"), F.lit(files_per_day))
-    return rides.repartition("event_date", slot)
+def _bronze_stream(warehouse: Warehouse, files_per_trigger: int | None = None) -> DataFrame:
+    reader = warehouse.spark.readStream.schema(bronze_schema())
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(warehouse.bronze)
 
 
 def start_silver(
-    warehouse: Warehouse, every: str | None = None, files_per_day: int | None = None
+    warehouse: Warehouse,
+    every: str | None = None,
+    gather_days: bool = False,
+    files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Cleans bronze into silver, stored by day, counting rule violations on the way.
 
-    Live data falls into one or two days, so by default nothing is shuffled; set
-    ``files_per_day`` when working off a backlog of many days.
+    Live data falls into one or two days, so by default nothing is shuffled.  Set
+    ``gather_days`` when working off a backlog of many days: rows are then rebalanced by
+    day, which avoids a file per day *and* task and still splits a day that is too big.
     """
-    rides = clean(_bronze_stream(warehouse), observe=QUALITY)
-    if files_per_day:
-        rides = _spread(rides, files_per_day)
+    rides = clean(_bronze_stream(warehouse, files_per_trigger), observe=QUALITY)
+    if gather_days:
+        rides = rides.hint("rebalance", "event_date")
     writer = rides.writeStream.queryName("silver").outputMode("append").partitionBy("event_date")
     writer = writer.format("parquet").option("path", warehouse.silver)
     return _started(writer, warehouse.checkpoint("silver"), every)
@@ -98,28 +100,38 @@ def start_silver_by_batch(
     )
 
 
-def start_rollups(
+def start_rollup(
     warehouse: Warehouse,
+    rollup: Rollup,
     every: str | None = None,
-    tables: Iterable[str] | None = (),
+    refresh_tables: bool = False,
     as_of: AsOf = None,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Adds newly cleaned rides to the roll-ups, then refreshes ``tables`` (None: all) with
-    the mode declared for each.  A batch with no new rides does not occur."""
-    names = None if tables is None else list(tables)
+    """Adds newly cleaned rides to one roll-up; with ``refresh_tables`` the tables that
+    depend on it follow after each batch, each in the mode declared for it.
+
+    A batch function sees a finished batch, through which no column pruning passes, so the
+    stream itself reads only the columns the roll-up needs.
+    """
+    names = [table.name for table in GOLD_TABLES.values() if table.source == rollup]
 
     def add_batch(batch: DataFrame, batch_id: int) -> None:
-        for name in ROLLUPS:
-            warehouse.rollup(name).add(batch, batch_id)
-        if names is None or names:
+        warehouse.rollup(rollup.name).add(batch, batch_id)
+        if refresh_tables:
             refresh(warehouse, names, as_of=as_of)
 
-    reader = warehouse.spark.readStream.schema(silver_schema(warehouse.spark))
+    schema = silver_schema(warehouse.spark)
+    needed = T.StructType([field for field in schema if field.name in rollup.inputs])
+    reader = warehouse.spark.readStream.schema(needed)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    writer = reader.parquet(warehouse.silver).writeStream.queryName("rollups")
-    return _started(writer.foreachBatch(add_batch), warehouse.checkpoint("rollups"), every)
+    writer = reader.parquet(warehouse.silver).writeStream.queryName(rollup.name)
+    return _started(writer.foreachBatch(add_batch), warehouse.checkpoint(rollup.name), every)
+
+
+def start_rollups(warehouse: Warehouse, every: str | None = None, **options) -> list[StreamingQuery]:
+    return [start_rollup(warehouse, rollup, every, **options) for rollup in ROLLUPS.values()]
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
@@ -136,11 +148,11 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
 
 
 def start_all(warehouse: Warehouse, every: str = "10 seconds", **bronze) -> list[StreamingQuery]:
-    """Continuous operation: three running queries, tables refreshed after each batch."""
+    """Continuous operation: tables are refreshed after each batch of cleaned rides."""
     return [
         start_bronze(warehouse, every=every, **bronze),
         start_silver(warehouse, every=every),
-        start_rollups(warehouse, every=every, tables=None),
+        *start_rollups(warehouse, every=every, refresh_tables=True),
     ]
 
 
@@ -160,21 +172,22 @@ def run_once(
     tables: Iterable[str] | None = None,
     mode: str | None = None,
     as_of: AsOf = None,
-    files_per_day: int | None = None,
+    gather_days: bool = False,
+    files_per_trigger: int | None = None,
 ) -> list[Outcome]:
     """Takes in everything that has landed and refreshes the tables, then returns.
 
     The steps run one after another, so the refresh sees a silver table at rest.
     """
     warehouse.create()
-    await_all([start_bronze(warehouse, landing)])
-    silver = start_silver(warehouse, files_per_day=files_per_day)
+    await_all([start_bronze(warehouse, landing, files_per_trigger=files_per_trigger)])
+    silver = start_silver(warehouse, gather_days=gather_days)
     await_all([silver])
     reports = quality_reports(silver)
     if reports:
         _keep_reports(warehouse, reports)
-    await_all([start_rollups(warehouse)])
-    if warehouse.rollup("place_hours").latest() is None:
+    await_all(start_rollups(warehouse))
+    if warehouse.rollup(PLACE_HOURS.name).latest() is None:
         return []
     return refresh(warehouse, tables, mode, as_of)
 

@@ -96,12 +96,12 @@ def test_days_are_partitions_and_an_undated_ride_is_kept(warehouse):
     assert days == {"event_date=2024-03-02", "event_date=__HIVE_DEFAULT_PARTITION__"}
 
 
-def test_files_per_day_bounds_the_files_of_a_backlog(warehouse):
+def test_gathering_days_bounds_the_files_of_a_backlog(warehouse):
     for number in range(20):
         land(warehouse, f"{number}.jsonl", *[a_ride(ride_id=f"{number}-{i}") for i in range(15)])
     flows.await_all([flows.start_bronze(warehouse)])
-    flows.await_all([flows.start_silver(warehouse, files_per_day=2)])
-    assert len(list(Path(warehouse.silver).glob("event_date=*/*.parquet"))) <= 2
+    flows.await_all([flows.start_silver(warehouse, gather_days=True)])
+    assert len(list(Path(warehouse.silver).glob("event_date=*/*.parquet"))) == 1
     assert warehouse.read_silver().count() == 300
 
 
@@ -147,7 +147,7 @@ def test_a_failing_query_is_raised_and_the_others_stopped(spark, warehouse):
 def test_end_to_end(spark, warehouse):
     rides = rides_view(spark, SF_DIR)
     write_landing(rides, warehouse.landing)
-    outcomes = flows.run_once(warehouse, as_of=AS_OF, files_per_day=1)
+    outcomes = flows.run_once(warehouse, as_of=AS_OF, gather_days=True)
     assert [outcome.table for outcome in outcomes] == list(gold.GOLD_TABLES)
     silver = clean(rides)
     for name, table in gold.GOLD_TABLES.items():
