@@ -7,6 +7,7 @@ streams really store and stream, below the shared scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from kerbline.operators.quality import RIDE_RULES, rule_counts
 from kerbline.operators.upsert import upsert
 from kerbline.plans import dashboard, gold, orders
 from kerbline.plans.refresh import refresh
-from kerbline.sources.landing import write_landing
+from kerbline.schema import INGEST_TIME, RESCUED
+from kerbline.sources.landing import read_landing, write_landing
 from kerbline.sources.rides import rides_view
 from kerbline.sources.scratch import scratch_path, stored
 from kerbline.sources.snapshots import append
@@ -59,6 +61,14 @@ def rides_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rides_view(spark, sf_dir)
 
 
+@query
+def landing_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rides written as JSON lines and read back in one batch."""
+    path = scratch_path(spark, "landing")
+    write_landing(rides_view(spark, sf_dir), path)
+    return read_landing(spark, path).drop(INGEST_TIME, RESCUED)
+
+
 @query
 def silver_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)
@@ -69,6 +79,14 @@ def dq_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_counts(rides_view(spark, sf_dir))
 
 
+def _rollup(rollup: gold.Rollup) -> Query:
+    return lambda spark, sf_dir: rollup.of(_silver(spark, sf_dir))
+
+
+QUERIES["place_hours"] = _rollup(gold.PLACE_HOURS)
+QUERIES["driver_days"] = _rollup(gold.DRIVER_DAYS)
+
+
 # --- aggregate tables ----------------------------------------------------------------
 
 QUERIES["live_kpis"] = _gold(gold.LIVE_KPIS)
@@ -174,33 +192,35 @@ def _load(warehouse: Warehouse, rides: DataFrame, batch_id: int) -> None:
         warehouse.rollup(name).add(rides, batch_id)
 
 
-def _loaded_twice(spark: SparkSession, sf_dir: str, name: str, mode: str) -> Warehouse:
-    """A stored table refreshed after a first load and again after a late one."""
+def _loaded_twice(
+    spark: SparkSession, sf_dir: str, names: list[str], mode: str | None = None
+) -> Warehouse:
+    """Stored tables refreshed after a first load and again after a late one."""
     warehouse = Warehouse(spark, scratch_path(spark, "refresh")).create()
     rides = stored(_zoned(_silver(spark, sf_dir)), "cleaned")
     late = (F.col("payment_method") == "Cash") & (F.col("event_date") >= F.lit(LATE_FROM))
     _load(warehouse, rides.filter(~late), 0)
-    refresh(warehouse, [name], "full", AS_OF)
+    refresh(warehouse, names, "full", AS_OF)
     _load(warehouse, rides.filter(late), 1)
-    refresh(warehouse, [name], mode, AS_OF)
+    refresh(warehouse, names, mode, AS_OF)
     return warehouse
 
 
 @query
 def refresh_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = _loaded_twice(spark, sf_dir, "gold_rides_by_city", "full")
+    warehouse = _loaded_twice(spark, sf_dir, ["gold_rides_by_city"], "full")
     return warehouse.read_gold("gold_rides_by_city")
 
 
 @query
 def refresh_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = _loaded_twice(spark, sf_dir, "gold_pickup_demand", "partitions")
+    warehouse = _loaded_twice(spark, sf_dir, ["gold_pickup_demand"], "partitions")
     return warehouse.read_gold("gold_pickup_demand")
 
 
 @query
 def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = _loaded_twice(spark, sf_dir, "gold_live_kpis", "incremental")
+    warehouse = _loaded_twice(spark, sf_dir, ["gold_live_kpis"], "incremental")
     return _unzoned(warehouse.read_gold("gold_live_kpis"))
 
 
@@ -218,6 +238,20 @@ def refresh_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def refresh_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables brought up to date by one call, after a first and a late load."""
+    names = list(gold.GOLD_TABLES)
+    warehouse = _loaded_twice(spark, sf_dir, names)
+    counts = [
+        warehouse.store(table).read().agg(F.count("*").alias("rows")).select(
+            F.lit(name).alias("table_name"), "rows"
+        )
+        for name, table in gold.GOLD_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- fares and peak hours ------------------------------------------------------------
 
 

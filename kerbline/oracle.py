@@ -109,6 +109,21 @@ STATUS_SHARES = f"""SELECT event_date, status, ride_count,
  {rounded('ride_count * 100e0 / sum(ride_count) OVER (PARTITION BY event_date)', 1)} AS pct_of_total
  FROM ({STATUS_BREAKDOWN})"""
 
+
+
+def _parts(name: str, value: str) -> str:
+    return f"sum({value}) AS {name}_sum, CAST(count({value}) AS BIGINT) AS {name}_n"
+
+
+_DONE_FARE = f"CASE WHEN {DONE} THEN final_fare END"
+_DONE_RATING = f"CASE WHEN {DONE} THEN driver_rating END"
+_COUNTS = f"{N} AS rides, {N_DONE} AS completed, {N_CANCELLED} AS cancelled, {_parts('fare', _DONE_FARE)}"
+PLACE_HOURS = f"""SELECT event_date, event_hour, city, pickup_area, zone_id, status, is_cancelled,
+ cancellation_reason, {_COUNTS}, {_parts('surge', 'surge_multiplier')}, {_parts('distance', 'distance_km')}
+ FROM silver GROUP BY ALL"""
+DRIVER_DAYS = f"""SELECT event_date, driver_id, {_COUNTS}, {_parts('rating', _DONE_RATING)},
+ max(_ingest_time) AS ingested FROM silver GROUP BY ALL"""
+
 DASH_KPIS = f"""SELECT k.event_date, total_revenue_inr, cancellation_rate_pct, active_drivers, avg_fare_inr,
  CAST({rounded('total_rides * (100 - cancellation_rate_pct) / 100', 0)} AS BIGINT) AS completed_rides_est,
  completed_rides
@@ -183,6 +198,11 @@ def oracle_texts(as_of: str, known_until: str, purged_before: str) -> dict[str,
         "rides_bronze": _over_rides("SELECT * FROM rides"),
         "silver_rides": _over_silver("SELECT * FROM silver"),
         "dq_rule_metrics": _over_rides(RULE_COUNTS),
+        "landing_batch": _over_rides(
+            "SELECT * EXCLUDE (event_time, _ingest_time), CAST(event_time AS VARCHAR) AS event_time FROM rides"
+        ),
+        "place_hours": _over_silver(PLACE_HOURS),
+        "driver_days": _over_silver(DRIVER_DAYS),
         "live_kpis": _over_silver(LIVE_KPIS),
         "revenue_per_minute": _over_silver(minute),
         "rides_by_city": _over_silver(RIDES_BY_CITY),
@@ -204,6 +224,22 @@ def oracle_texts(as_of: str, known_until: str, purged_before: str) -> dict[str,
         "refresh_skip": _over_silver(
             f"SELECT *, 1 AS versions, 'skipped' AS second_refresh FROM ({STATUS_BREAKDOWN})"
         ),
+        "refresh_all_tables": _over_silver(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM ({text})"
+                for name, text in {
+                    "gold_live_kpis": LIVE_KPIS,
+                    "gold_revenue_per_minute": minute,
+                    "gold_rides_by_city": RIDES_BY_CITY,
+                    "gold_top_zones": zones,
+                    "gold_ride_status_breakdown": STATUS_BREAKDOWN,
+                    "gold_pickup_demand": PICKUP_DEMAND,
+                    "gold_cancellation_analysis": CANCELLATION,
+                    "gold_hourly_demand": HOURLY,
+                    "gold_driver_leaderboard": LEADERBOARD,
+                }.items()
+            )
+        ),
         "fare_audit": _over_rides(FARE_AUDIT),
         "peak_hour_flag": _over_rides(PEAK_FLAGS),
         "dash_kpis": _over_silver(DASH_KPIS),

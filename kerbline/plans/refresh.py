@@ -13,8 +13,10 @@ Modes that would not give exactly the full result for a table are refused.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from threading import Lock
 
 from pyspark.sql import DataFrame
 
@@ -49,6 +51,7 @@ class _Parts:
     def __init__(self, silver: Callable[[], DataFrame]):
         self._silver = silver
         self._made: dict[tuple, DataFrame] = {}
+        self._making = Lock()
 
     def rows(self, days: Days | None) -> DataFrame:
         silver = self._silver()
@@ -56,9 +59,10 @@ class _Parts:
 
     def of(self, rollup: Rollup, days: Days | None) -> DataFrame:
         key = (rollup.name, None if days is None else frozenset(days))
-        if key not in self._made:
-            self._made[key] = stored(rollup.of(self.rows(days)), rollup.name)
-        return self._made[key]
+        with self._making:
+            if key not in self._made:
+                self._made[key] = stored(rollup.of(self.rows(days)), rollup.name)
+            return self._made[key]
 
 
 def default_mode(table: GoldTable) -> str:
@@ -70,10 +74,12 @@ def refresh(
     names: Iterable[str] | None = None,
     mode: str | None = None,
     as_of: AsOf = None,
+    at_once: int = 4,
 ) -> list[Outcome]:
     """Brings the named tables (default: all) up to date in one call.
 
-    Without ``mode`` each table uses the cheapest mode declared for it.
+    Without ``mode`` each table uses the cheapest mode declared for it.  Most tables are
+    small, so the jobs of ``at_once`` tables are submitted side by side.
     """
     tables = [GOLD_TABLES[name] for name in (names or GOLD_TABLES)]
     for table in tables:
@@ -81,12 +87,13 @@ def refresh(
             raise ValueError(f"{table.name}: mode {mode!r} is not exact; use one of {table.modes}")
     users = [table.rollup.name for table in tables if table.rollup]
     parts = _Parts(warehouse.read_silver)
-    outcomes = []
-    for table in tables:
+
+    def bring_up(table: GoldTable) -> Outcome:
         shared = table.rollup is not None and users.count(table.rollup.name) > 1
-        chosen = mode or default_mode(table)
-        outcomes.append(_refresh_one(warehouse, table, chosen, as_of, parts, shared))
-    return outcomes
+        return _refresh_one(warehouse, table, mode or default_mode(table), as_of, parts, shared)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(bring_up, tables))
 
 
 def _refresh_one(
