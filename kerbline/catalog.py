@@ -87,6 +87,12 @@ QUERIES["place_hours"] = _rollup(gold.PLACE_HOURS)
 QUERIES["driver_days"] = _rollup(gold.DRIVER_DAYS)
 
 
+@query
+def city_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A roll-up derived from another one."""
+    return gold.CITY_TOTALS.merged(QUERIES["place_hours"](spark, sf_dir))
+
+
 # --- aggregate tables ----------------------------------------------------------------
 
 QUERIES["live_kpis"] = _gold(gold.LIVE_KPIS)
@@ -188,8 +194,8 @@ def _load(warehouse: Warehouse, rides: DataFrame, batch_id: int) -> None:
     """Adds cleaned rides to the stored silver table and to the roll-ups."""
     by_day = rides.hint("rebalance", "event_date")
     append(by_day, warehouse.silver, "event_date")
-    for name in gold.ROLLUPS:
-        warehouse.rollup(name).add(rides, batch_id)
+    for rollup in gold.ROOTS:
+        warehouse.add_rides(rollup, rides, batch_id)
 
 
 def _loaded_twice(

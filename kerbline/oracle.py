@@ -203,6 +203,9 @@ def oracle_texts(as_of: str, known_until: str, purged_before: str) -> dict[str,
         ),
         "place_hours": _over_silver(PLACE_HOURS),
         "driver_days": _over_silver(DRIVER_DAYS),
+        "city_totals": _over_silver(f"SELECT city, {_COUNTS} FROM silver GROUP BY city").replace(
+            f"{N_CANCELLED} AS cancelled, ", ""
+        ),
         "live_kpis": _over_silver(LIVE_KPIS),
         "revenue_per_minute": _over_silver(minute),
         "rides_by_city": _over_silver(RIDES_BY_CITY),

@@ -62,12 +62,14 @@ RIDE_FACTS: dict[str, Fact] = {
 @dataclass(frozen=True)
 class Rollup:
     """A stored roll-up: the grain kept, the facts kept at that grain, and the further
-    columns of a cleaned ride from which these are computed."""
+    columns of a cleaned ride from which these are computed.  A roll-up with a ``parent``
+    is added up from the parent's rows instead of from rides."""
 
     name: str
     grain: tuple[str, ...]
     facts: tuple[str, ...]
-    reads: tuple[str, ...]
+    reads: tuple[str, ...] = ()
+    parent: Rollup | None = None
 
     @property
     def inputs(self) -> set[str]:
@@ -126,7 +128,13 @@ DRIVER_DAYS = Rollup(
     ),
     ("ride_id", "status", "is_cancelled", "final_fare", "driver_rating", INGEST_TIME),
 )
-ROLLUPS = {rollup.name: rollup for rollup in (PLACE_HOURS, DRIVER_DAYS)}
+# Totals over all days: kept apart so that a refresh does not add up the whole history.
+CITY_TOTALS = Rollup(
+    "city_totals", ("city",), ("rides", "completed", "fare_sum", "fare_n"), parent=PLACE_HOURS
+)
+ROLLUPS = {rollup.name: rollup for rollup in (PLACE_HOURS, DRIVER_DAYS, CITY_TOTALS)}
+# Those that are added up from cleaned rides.
+ROOTS = tuple(rollup for rollup in ROLLUPS.values() if rollup.parent is None)
 
 Rows = Callable[[DataFrame, AsOf], DataFrame]
 
@@ -270,7 +278,7 @@ RIDES_BY_CITY = GoldTable(
         total_of("revenue_inr", "fare_sum", empty=0.0),
         mean_of("avg_fare_inr", "fare", 2),
     ),
-    PLACE_HOURS,
+    CITY_TOTALS,
     order=_desc("total_rides", "city"),
 )
 

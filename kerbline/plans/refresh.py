@@ -12,6 +12,7 @@ Modes that would not give exactly the full result for a table are refused.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ from threading import Lock
 from pyspark.sql import DataFrame
 
 from kerbline.operators.upsert import upsert
-from kerbline.plans.gold import GOLD_TABLES, ROLLUPS, AsOf, GoldTable, Rollup
+from kerbline.plans.gold import GOLD_TABLES, AsOf, GoldTable, Rollup
 from kerbline.sources.scratch import stored
 from kerbline.sources.snapshots import Days, StoredTable, on_days
 from kerbline.sources.warehouse import Warehouse
@@ -58,6 +59,8 @@ class _Parts:
         return silver if days is None else silver.filter(on_days(days))
 
     def of(self, rollup: Rollup, days: Days | None) -> DataFrame:
+        if rollup.parent is not None:
+            return rollup.merged(self.of(rollup.parent, days))
         key = (rollup.name, None if days is None else frozenset(days))
         with self._making:
             if key not in self._made:
@@ -65,6 +68,10 @@ class _Parts:
             return self._made[key]
 
 
+def _root(rollup: Rollup) -> Rollup:
+    return rollup if rollup.parent is None else _root(rollup.parent)
+
+
 def default_mode(table: GoldTable) -> str:
     return table.modes[-1]
 
@@ -85,11 +92,11 @@ def refresh(
     for table in tables:
         if mode is not None and mode not in table.modes:
             raise ValueError(f"{table.name}: mode {mode!r} is not exact; use one of {table.modes}")
-    users = [table.rollup.name for table in tables if table.rollup]
+    users = Counter(_root(table.rollup).name for table in tables if table.rollup)
     parts = _Parts(warehouse.read_silver)
 
     def bring_up(table: GoldTable) -> Outcome:
-        shared = table.rollup is not None and users.count(table.rollup.name) > 1
+        shared = table.rollup is not None and users[_root(table.rollup).name] > 1
         return _refresh_one(warehouse, table, mode or default_mode(table), as_of, parts, shared)
 
     with ThreadPoolExecutor(at_once) as pool:
@@ -136,15 +143,15 @@ def upsert_stored(
     return store.replace(upsert(store.read(), source, keys, delete_missing))
 
 
-def compact(warehouse: Warehouse, keep: int = 2) -> None:
-    """Merges roll-up batches that every stored table already reflects."""
-    for name in ROLLUPS:
-        notes = [
-            warehouse.store(table).applied()
-            for table in GOLD_TABLES.values()
-            if table.source.name == name
-        ]
-        sources = [note["source"] for note in notes if note and note["source"] is not None]
-        if sources:
-            warehouse.rollup(name).merge_through(min(sources))
-            warehouse.rollup(name).drop_old(keep)
+def compact(warehouse: Warehouse, rollup: Rollup, keep: int = 2) -> None:
+    """Merges the batches of a roll-up that every table stored from it already reflects."""
+    notes = [
+        warehouse.store(table).applied()
+        for table in GOLD_TABLES.values()
+        if table.source == rollup
+    ]
+    sources = [note["source"] for note in notes if note and note["source"] is not None]
+    if sources:
+        log = warehouse.rollup(rollup.name)
+        log.merge_through(min(sources))
+        log.drop_old(keep)

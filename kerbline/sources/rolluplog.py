@@ -27,20 +27,28 @@ class RollupLog:
     def _table(self) -> StoredTable:
         return StoredTable(self.spark, self.path)
 
-    def add(self, silver_batch: DataFrame, batch_id: int) -> None:
+    def add(self, rides: DataFrame, batch_id: int) -> None:
         """Rolls up newly cleaned rides and stores them under their batch id."""
-        delta = self.rollup.of(silver_batch)
+        self.add_parts(self.rollup.of(rides), batch_id)
+
+    def add_parts(self, delta: DataFrame, batch_id: int) -> None:
         if self._table.current() is None:
             self._table.create(T.StructType([*delta.schema.fields, _BATCH_FIELD]))
         write_batch(delta, self._table.current_path(), batch_id, BATCH)
 
-    def latest(self) -> int | None:
-        """Id of the newest batch that contributed rows."""
+    def batch_ids(self) -> list[int]:
+        """Ids of the stored parts, in order; merged batches count as one."""
         if self._table.current() is None:
-            return None
+            return []
         names = files.child_names(self.spark, self._table.current_path())
-        ids = [int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}=")]
-        return max(ids, default=None)
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}="))
+
+    def latest(self) -> int | None:
+        """Id of the newest batch that contributed rows."""
+        return max(self.batch_ids(), default=None)
+
+    def batch(self, batch_id: int) -> DataFrame:
+        return self._table.read().filter(F.col(BATCH) == batch_id).drop(BATCH)
 
     def since(self, batch_id: int | None) -> DataFrame:
         """Parts of the batches after ``batch_id`` (all, if None)."""
@@ -66,8 +74,10 @@ class RollupLog:
         old = parts.filter(F.col(BATCH) <= last).drop(BATCH)
         merged = self.rollup.merged(old).withColumn(BATCH, F.lit(MERGED).cast("bigint"))
         kept = parts.filter(F.col(BATCH) > last)
-        # Sorted by day, so that a read of few days skips most of a file.
-        both = merged.unionByName(kept).sortWithinPartitions("event_date")
+        both = merged.unionByName(kept)
+        if "event_date" in self.rollup.grain:
+            # Sorted by day, so that a read of few days skips most of a file.
+            both = both.sortWithinPartitions("event_date")
         StoredTable(self.spark, self.path, BATCH).replace(both)
 
     def drop_old(self, keep: int = 2) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from kerbline.operators.cleaning import clean
-from kerbline.plans.gold import GOLD_TABLES, ROLLUPS, GoldTable
+from kerbline.plans.gold import GOLD_TABLES, ROLLUPS, GoldTable, Rollup
 from kerbline.schema import INGEST_TIME, RESCUED, RIDE_SCHEMA
 from kerbline.sources import files
 from kerbline.sources.rolluplog import RollupLog
@@ -72,6 +72,14 @@ class Warehouse:
         day = "event_date" if table.dated else None
         return StoredTable(self.spark, f"{self.base}/gold/{table.name}", day)
 
+    def add_rides(self, rollup: Rollup, rides: DataFrame, batch_id: int) -> None:
+        """Adds newly cleaned rides to a roll-up and to those derived from it."""
+        log = self.rollup(rollup.name)
+        log.add(rides, batch_id)
+        for name, child in ROLLUPS.items():
+            if child.parent == rollup:
+                self.rollup(name).add_parts(child.merged(log.batch(batch_id)), batch_id)
+
     def create(self) -> "Warehouse":
         for path in (self.landing, self.bronze, self.silver, f"{self.base}/checkpoints"):
             files.make_directory(self.spark, path)

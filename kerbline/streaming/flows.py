@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kerbline.operators.cleaning import clean
-from kerbline.plans.gold import GOLD_TABLES, PLACE_HOURS, ROLLUPS, AsOf, Rollup
-from kerbline.plans.refresh import Outcome, refresh
+from kerbline.plans.gold import GOLD_TABLES, PLACE_HOURS, ROLLUPS, ROOTS, AsOf, Rollup
+from kerbline.plans.refresh import Outcome, compact, refresh
 from kerbline.sources.landing import landing_path, stream_landing
 from kerbline.sources.snapshots import write_batch
 from kerbline.sources.warehouse import Warehouse, bronze_schema, silver_schema
@@ -107,19 +107,25 @@ def start_rollup(
     refresh_tables: bool = False,
     as_of: AsOf = None,
     files_per_trigger: int | None = None,
+    most_parts: int = 100,
 ) -> StreamingQuery:
-    """Adds newly cleaned rides to one roll-up; with ``refresh_tables`` the tables that
-    depend on it follow after each batch, each in the mode declared for it.
+    """Adds newly cleaned rides to one roll-up and those derived from it.  With
+    ``refresh_tables`` the tables that depend on them follow after each batch, each in the
+    mode declared for it.  Beyond ``most_parts`` stored batches, old ones are merged.
 
     A batch function sees a finished batch, through which no column pruning passes, so the
     stream itself reads only the columns the roll-up needs.
     """
-    names = [table.name for table in GOLD_TABLES.values() if table.source == rollup]
+    family = [rollup, *[child for child in ROLLUPS.values() if child.parent == rollup]]
+    names = [table.name for table in GOLD_TABLES.values() if table.source in family]
 
     def add_batch(batch: DataFrame, batch_id: int) -> None:
-        warehouse.rollup(rollup.name).add(batch, batch_id)
+        warehouse.add_rides(rollup, batch, batch_id)
         if refresh_tables:
             refresh(warehouse, names, as_of=as_of)
+        for member in family:
+            if len(warehouse.rollup(member.name).batch_ids()) > most_parts:
+                compact(warehouse, member)
 
     schema = silver_schema(warehouse.spark)
     needed = T.StructType([field for field in schema if field.name in rollup.inputs])
@@ -131,7 +137,7 @@ def start_rollup(
 
 
 def start_rollups(warehouse: Warehouse, every: str | None = None, **options) -> list[StreamingQuery]:
-    return [start_rollup(warehouse, rollup, every, **options) for rollup in ROLLUPS.values()]
+    return [start_rollup(warehouse, rollup, every, **options) for rollup in ROOTS]
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -20,8 +21,8 @@ AS_OF = "2024-01-30 12:00:00"
 
 def load(warehouse, silver, batch_id):
     append(silver, warehouse.silver, "event_date")
-    for name in gold.ROLLUPS:
-        warehouse.rollup(name).add(silver, batch_id)
+    for rollup in gold.ROOTS:
+        warehouse.add_rides(rollup, silver, batch_id)
 
 
 @pytest.fixture(scope="module")
@@ -110,34 +111,44 @@ def test_a_refresh_that_died_before_its_note_is_repeated(spark, base, parts):
 def test_a_replayed_batch_does_not_count_twice(spark, base, parts):
     warehouse = Warehouse(spark, base).create()
     for batch_id, part in ((0, parts[0]), (1, parts[1]), (1, parts[1])):
-        for name in gold.ROLLUPS:
-            warehouse.rollup(name).add(part, batch_id)
+        for rollup in gold.ROOTS:
+            warehouse.add_rides(rollup, part, batch_id)
+    cities = warehouse.rollup("city_totals").read().agg(F.sum("rides")).first()[0]
+    assert cities == parts[0].count() + parts[1].count()
     total = warehouse.rollup("driver_days").read().agg(F.sum("rides")).first()[0]
     assert total == parts[0].count() + parts[1].count()
 
 
 def test_compaction_keeps_results_changes_and_the_newest_batch(spark, base, parts):
     warehouse = Warehouse(spark, base).create()
-    names = ["gold_pickup_demand", "gold_driver_leaderboard"]
+    names = ["gold_pickup_demand", "gold_driver_leaderboard", "gold_rides_by_city"]
     load(warehouse, parts[0], 0)
     load(warehouse, parts[1], 1)
     refresh(warehouse, names)
     load(warehouse, parts[2], 2)
-    compact(warehouse)
-    log = warehouse.rollup("place_hours")
-    assert log.latest() == 2
-    ids = [row[0] for row in log._table.read().select("_batch_id").distinct().collect()]
-    assert sorted(ids) == [-1, 2]
-    for name in gold.ROLLUPS:  # the newest batch is replayed
-        warehouse.rollup(name).add(parts[2], 2)
-    outcomes = refresh(warehouse, names)
-    assert [[str(day) for day in outcome.days] for outcome in outcomes] == [["2024-01-30"]] * 2
+    for rollup in gold.ROLLUPS.values():
+        compact(warehouse, rollup)
+        assert warehouse.rollup(rollup.name).batch_ids() == [-1, 2]
+    for rollup in gold.ROOTS:  # the newest batch is replayed
+        warehouse.add_rides(rollup, parts[2], 2)
+    days = [outcome.days for outcome in refresh(warehouse, names)]
+    assert days == [(date(2024, 1, 30),), (date(2024, 1, 30),), None]
     for name in names:
         table = gold.GOLD_TABLES[name]
         expected = table.build(warehouse.read_silver())
         assert bag(warehouse.store(table).read()) == bag(expected)
 
 
+def test_compaction_keeps_batches_a_table_has_not_seen(spark, base, parts):
+    warehouse = Warehouse(spark, base).create()
+    load(warehouse, parts[0], 0)
+    refresh(warehouse, ["gold_pickup_demand"])
+    load(warehouse, parts[1], 1)
+    load(warehouse, parts[2], 2)
+    compact(warehouse, gold.PLACE_HOURS)
+    assert warehouse.rollup("place_hours").batch_ids() == [-1, 1, 2]
+
+
 def test_many_changed_days_fall_back_to_all(spark):
     days = spark.range(20).selectExpr("date_add(date'2024-01-01', cast(id as int)) as event_date")
     assert len(changed_days(days, most=20)) == 20

@@ -187,6 +187,18 @@ def test_continuous_operation(warehouse):
             query.stop()
 
 
+def test_many_small_batches_are_merged_on_the_way(warehouse):
+    for number in range(7):
+        land(warehouse, f"{number}.jsonl", a_ride(ride_id=str(number)))
+        to_silver(warehouse)
+    options = {"refresh_tables": True, "files_per_trigger": 1, "most_parts": 3, "as_of": AS_OF}
+    flows.await_all([flows.start_rollup(warehouse, gold.PLACE_HOURS, **options)])
+    assert len(warehouse.rollup("place_hours").batch_ids()) <= 4
+    assert len(warehouse.rollup("city_totals").batch_ids()) <= 4
+    assert [row.total_rides for row in warehouse.read_gold("gold_rides_by_city").collect()] == [7]
+    assert [row.total_rides for row in warehouse.read_gold("gold_pickup_demand").collect()] == [7]
+
+
 def test_landing_path_setting(spark):
     with pytest.raises(ValueError):
         landing_path(spark)
