@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,3 +106,24 @@ def pickups(pickup_demand: DataFrame) -> DataFrame:
     return summed.withColumn("cancel_rate_pct", F.round(rate, 1)).orderBy(
         F.desc("total_rides"), "city", "pickup_area", "zone_id"
     )
+
+
+# Dataset name -> its query and the aggregate tables it reads.
+DATASETS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "ds_kpis": (kpis, ("gold_live_kpis", "gold_ride_status_breakdown")),
+    "ds_revenue": (revenue, ("gold_revenue_per_minute",)),
+    "ds_status": (statuses, ("gold_ride_status_breakdown",)),
+    "ds_cities": (cities, ("gold_rides_by_city",)),
+    "ds_zones": (zones, ("gold_top_zones",)),
+    "ds_cancel_reasons": (cancel_reasons, ("gold_cancellation_analysis",)),
+    "ds_pickup": (pickups, ("gold_pickup_demand",)),
+}
+
+
+def datasets(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every dataset whose tables are there."""
+    return {
+        name: view(*[tables[table] for table in needed])
+        for name, (view, needed) in DATASETS.items()
+        if all(table in tables for table in needed)
+    }

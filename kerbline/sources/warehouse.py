@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from kerbline.operators.cleaning import clean
+from kerbline.plans.dashboard import datasets
 from kerbline.plans.gold import GOLD_TABLES, ROLLUPS, GoldTable, Rollup
 from kerbline.schema import INGEST_TIME, RESCUED, RIDE_SCHEMA
 from kerbline.sources import files
@@ -80,9 +81,17 @@ class Warehouse:
             if child.parent == rollup:
                 self.rollup(name).add_parts(child.merged(log.batch(batch_id)), batch_id)
 
-    def create(self) -> "Warehouse":
+    def create(self) -> Warehouse:
+        """Makes the folders, and checks that the time zone is the one they were made with:
+        the stored days of events depend on it."""
         for path in (self.landing, self.bronze, self.silver, f"{self.base}/checkpoints"):
             files.make_directory(self.spark, path)
+        zone = self.spark.conf.get("spark.sql.session.timeZone")
+        known = files.read_text(self.spark, f"{self.base}/_time_zone")
+        if known is None:
+            files.write_text(self.spark, f"{self.base}/_time_zone", zone)
+        elif known != zone:
+            raise ValueError(f"{self.base} was made in time zone {known}, the session has {zone}")
         return self
 
     def read_bronze(self) -> DataFrame:
@@ -98,11 +107,13 @@ class Warehouse:
         return table.in_order(self.store(table).read())
 
     def offer_views(self) -> list[str]:
-        """Temporary views under the tables' names, for SQL; returns the names."""
+        """Temporary views for SQL under the names of the tables and of the dashboard's
+        datasets; returns the names."""
         frames = {BRONZE: self.read_bronze(), SILVER: self.read_silver()}
         for name, table in GOLD_TABLES.items():
             if self.store(table).current() is not None:
                 frames[name] = self.store(table).read()
+        frames.update(datasets(frames))
         for name, frame in frames.items():
             frame.createOrReplaceTempView(name)
         return list(frames)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbline.operators.cleaning import clean
-from kerbline.plans import gold
+from kerbline.plans import dashboard, gold
 from kerbline.plans.refresh import changed_days, compact, refresh
 from kerbline.sources.rides import rides_view
 from kerbline.sources.snapshots import StoredTable, append, on_days
@@ -198,7 +198,9 @@ def test_sql_over_views_and_database(spark, base, parts):
     load(warehouse, parts[0], 0)
     refresh(warehouse, as_of="2024-01-20 12:00:00")
     offered = warehouse.offer_views()
-    assert set(gold.GOLD_TABLES) < set(offered)
+    assert {*gold.GOLD_TABLES, *dashboard.DATASETS} < set(offered)
+    assert spark.sql("select sum(total_rides) from ds_pickup").first()[0] == 877
+    assert spark.sql("select count(*) from ds_zones").first()[0] == 10
     total = spark.sql("select sum(total_rides) from gold_rides_by_city").first()[0]
     assert total == spark.sql("select count(*) from silver_ride_events").first()[0]
     names = warehouse.offer_database("ride_reports")
@@ -219,3 +221,13 @@ def test_on_days_is_pruned(spark, base):
     (day,) = [row[0] for row in frame.select("event_date").collect()]
     plan = frame.filter(on_days([day, None]))._jdf.queryExecution().executedPlan().toString()
     assert "DataFilters: []" in plan and "PartitionFilters: [(" in plan
+
+
+def test_another_time_zone_is_refused(spark, base):
+    Warehouse(spark, base).create().create()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        with pytest.raises(ValueError, match="time zone"):
+            Warehouse(spark, base).create()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
