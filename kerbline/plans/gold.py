@@ -71,6 +71,11 @@ class Rollup:
     reads: tuple[str, ...] = ()
     parent: Rollup | None = None
 
+    @property
+    def root(self) -> Rollup:
+        """The roll-up added up from rides from which this one descends."""
+        return self if self.parent is None else self.parent.root
+
     @property
     def inputs(self) -> set[str]:
         return {*self.grain, *self.reads}

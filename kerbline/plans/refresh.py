@@ -68,10 +68,6 @@ class _Parts:
             return self._made[key]
 
 
-def _root(rollup: Rollup) -> Rollup:
-    return rollup if rollup.parent is None else _root(rollup.parent)
-
-
 def default_mode(table: GoldTable) -> str:
     return table.modes[-1]
 
@@ -92,11 +88,11 @@ def refresh(
     for table in tables:
         if mode is not None and mode not in table.modes:
             raise ValueError(f"{table.name}: mode {mode!r} is not exact; use one of {table.modes}")
-    users = Counter(_root(table.rollup).name for table in tables if table.rollup)
+    users = Counter(table.rollup.root.name for table in tables if table.rollup)
     parts = _Parts(warehouse.read_silver)
 
     def bring_up(table: GoldTable) -> Outcome:
-        shared = table.rollup is not None and users[_root(table.rollup).name] > 1
+        shared = table.rollup is not None and users[table.rollup.root.name] > 1
         return _refresh_one(warehouse, table, mode or default_mode(table), as_of, parts, shared)
 
     with ThreadPoolExecutor(at_once) as pool:

@@ -64,7 +64,8 @@ class RollupLog:
         """Adds up the batches up to ``batch_id`` into one part, as a new version.
 
         The newest batch always stays apart, because it is the one a restarted stream may
-        write again.  Run it between runs of the stream.
+        write again.  Call it from the stream's own batch function or while the stream
+        is not running.
         """
         newest = self.latest()
         if newest is None:
@@ -74,11 +75,11 @@ class RollupLog:
         old = parts.filter(F.col(BATCH) <= last).drop(BATCH)
         merged = self.rollup.merged(old).withColumn(BATCH, F.lit(MERGED).cast("bigint"))
         kept = parts.filter(F.col(BATCH) > last)
-        both = merged.unionByName(kept)
-        if "event_date" in self.rollup.grain:
-            # Sorted by day, so that a read of few days skips most of a file.
-            both = both.sortWithinPartitions("event_date")
-        StoredTable(self.spark, self.path, BATCH).replace(both)
+        # Sorted by the grain, which starts with the day if it has one: a read of few days
+        # then skips most files, and row groups within a file.
+        order = [BATCH, *self.rollup.grain]
+        both = merged.unionByName(kept).repartitionByRange(*order).sortWithinPartitions(*order)
+        StoredTable(self.spark, self.path, BATCH).replace(both, arranged=True)
 
     def drop_old(self, keep: int = 2) -> None:
         self._table.drop_old(keep)

@@ -84,25 +84,24 @@ class StoredTable:
             .select(*schema.fieldNames())
         )
 
-    def _writer(self, df: DataFrame):
+    def _writer(self, df: DataFrame, arranged: bool = False):
         if self.day_column is None:
             return df.write.mode("overwrite")
-        # Rebalancing groups a day's rows into few files and splits a day that is too big.
-        return (
-            df.hint("rebalance", self.day_column)
-            .write.mode("overwrite")
-            .partitionBy(self.day_column)
-        )
+        if not arranged:
+            # Gathers a day's rows in few files and splits a day that is too big.
+            df = df.hint("rebalance", self.day_column)
+        return df.write.mode("overwrite").partitionBy(self.day_column)
 
     def _next_version(self) -> int:
         """One more than any version folder, complete or not."""
         names = files.child_names(self.spark, self.path)
         return max((int(n[2:]) for n in names if n.startswith("v=")), default=0) + 1
 
-    def replace(self, df: DataFrame) -> int:
-        """Writes ``df`` as the next version.  ``df`` may read the current one."""
+    def replace(self, df: DataFrame, arranged: bool = False) -> int:
+        """Writes ``df`` as the next version.  ``df`` may read the current one.  Rows that
+        are already ``arranged`` among the files are left as they are."""
         version = self._next_version()
-        self._writer(df).parquet(self._version_path(version))
+        self._writer(df, arranged).parquet(self._version_path(version))
         self._complete(version, df.schema)
         return version
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 from pathlib import Path
 
+import pyarrow.parquet as parquet
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,10 @@ def test_compaction_keeps_results_changes_and_the_newest_batch(spark, base, part
     for rollup in gold.ROLLUPS.values():
         compact(warehouse, rollup)
         assert warehouse.rollup(rollup.name).batch_ids() == [-1, 2]
+    merged = Path(warehouse.rollup("place_hours")._table.current_path(), "_batch_id=-1")
+    for file in merged.glob("*.parquet"):
+        days = parquet.read_table(file).column("event_date").to_pylist()
+        assert days and days == sorted(days)
     for rollup in gold.ROOTS:  # the newest batch is replayed
         warehouse.add_rides(rollup, parts[2], 2)
     days = [outcome.days for outcome in refresh(warehouse, names)]
