@@ -12,6 +12,7 @@ from kerbline.plans.refresh import upsert_stored
 from kerbline.sources.snapshots import StoredTable, append
 from tests.conftest import a_ride, bag, plan_of
 
+# The demo orders and the totals that follow from them.
 SCHEMA = "order_id string, customer string, category string, amount int, status string"
 SEED = [
     ("ORD-001", "Alice", "Electronics", 1200, "delivered"),
