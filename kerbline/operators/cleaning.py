@@ -37,13 +37,21 @@ def enrich(events: DataFrame) -> DataFrame:
     ).drop(RESCUED)
 
 
-def clean(
-    events: DataFrame,
+def checked(
+    enriched: DataFrame,
     rules: Mapping[str, str] = RIDE_RULES,
     observe: Observation | str | None = None,
 ) -> DataFrame:
-    """The cleaned rides; the same function serves a batch and a stream."""
-    enriched = enrich(events)
+    """The rides that meet every rule; with ``observe``, violations are counted on the way."""
     if observe is not None:
         enriched = watched(enriched, rules, RIDE_WATCHES, observe)
     return keep_valid(enriched, rules)
+
+
+def clean(
+    events: DataFrame,
+    rules: Mapping[str, str] = RIDE_RULES,
+    observe: Observation | str | None = None,
+) -> DataFrame:
+    """The cleaned rides; the same function serves a batch and a stream."""
+    return checked(enrich(events), rules, observe)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from kerbline.operators.cleaning import clean
+from kerbline.operators.cleaning import checked, clean, enrich
 from kerbline.plans.gold import GOLD_TABLES, PLACE_HOURS, ROLLUPS, ROOTS, AsOf, Rollup
 from kerbline.plans.refresh import Outcome, compact, refresh
 from kerbline.sources.landing import landing_path, stream_landing
@@ -72,10 +72,13 @@ def start_silver(
     Live data falls into one or two days, so by default nothing is shuffled.  Set
     ``gather_days`` when working off a backlog of many days: rows are then rebalanced by
     day, which avoids a file per day *and* task and still splits a day that is too big.
+    The rules are checked after that shuffle, in the tasks that write: Spark adds up what
+    these observed exactly once, while a repeated map task would be counted again.
     """
-    rides = clean(_bronze_stream(warehouse, files_per_trigger), observe=QUALITY)
+    rides = enrich(_bronze_stream(warehouse, files_per_trigger))
     if gather_days:
         rides = rides.hint("rebalance", "event_date")
+    rides = checked(rides, observe=QUALITY)
     writer = rides.writeStream.queryName("silver").outputMode("append").partitionBy("event_date")
     writer = writer.format("parquet").option("path", warehouse.silver)
     return _started(writer, warehouse.checkpoint("silver"), every)

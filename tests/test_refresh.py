@@ -30,10 +30,12 @@ def load(warehouse, silver, batch_id):
 def parts(spark):
     """Three loads: most rides, late rides on a few days, rides on one new day."""
     rides = clean(rides_view(spark, SF_DIR))
-    rides = rides.withColumns({c: F.col(c).cast("timestamp") for c in ("event_time", "_ingest_time")})
+    times = ("event_time", "_ingest_time")
+    rides = rides.withColumns({name: F.col(name).cast("timestamp") for name in times})
     late = F.col("event_date").isin("2024-01-05", "2024-01-09") & (F.col("event_hour") >= 12)
     last = F.col("event_date") == "2024-01-30"
-    return [frame.persist() for frame in (rides.filter(~late & ~last), rides.filter(late), rides.filter(last))]
+    loads = (~late & ~last, late, last)
+    return [rides.filter(load).persist() for load in loads]
 
 
 @pytest.mark.parametrize("mode", ["full", "partitions", "incremental"])
@@ -221,7 +223,8 @@ def test_sql_over_views_and_database(spark, base, parts):
 
 
 def test_on_days_is_pruned(spark, base):
-    spark.sql("select date'2024-01-01' as event_date, 1 as n").write.partitionBy("event_date").parquet(f"{base}/t")
+    table = spark.sql("select date'2024-01-01' as event_date, 1 as n")
+    table.write.partitionBy("event_date").parquet(f"{base}/t")
     frame = spark.read.parquet(f"{base}/t")
     (day,) = [row[0] for row in frame.select("event_date").collect()]
     plan = frame.filter(on_days([day, None]))._jdf.queryExecution().executedPlan().toString()

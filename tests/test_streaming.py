@@ -31,9 +31,9 @@ def land(warehouse, name: str, *lines) -> None:
     Path(warehouse.landing, name).write_text("\n".join(texts))
 
 
-def to_silver(warehouse):
+def to_silver(warehouse, **options):
     flows.await_all([flows.start_bronze(warehouse)])
-    silver = flows.start_silver(warehouse)
+    silver = flows.start_silver(warehouse, **options)
     flows.await_all([silver])
     return silver
 
@@ -81,10 +81,16 @@ def test_bad_lines(spark, warehouse):
     assert read_landing(spark, warehouse.landing).count() == 4
 
 
-def test_violations_are_observed(warehouse):
+@pytest.mark.parametrize("gather", [False, True])
+def test_violations_are_observed(warehouse, gather):
     land(warehouse, "a.jsonl", a_ride(), a_ride(final_fare=0.0, driver_rating=9.0))
     land(warehouse, "b.jsonl", a_ride(event_time="nope"))
-    (report,) = flows.quality_reports(to_silver(warehouse))
+    silver = to_silver(warehouse, gather_days=gather)
+    (report,) = flows.quality_reports(silver)
+    plan = silver._jsq.explainInternal(False)
+    assert ("REBALANCE" in plan) == gather
+    if gather:  # observed above the shuffle
+        assert plan.index("CollectMetrics") < plan.index("REBALANCE")
     assert report["rows_in"] == 3 and report["rows_dropped"] == 1
     assert report["valid_fare"] == report["valid_rating"] == report["parsed_event_time"] == 1
 
