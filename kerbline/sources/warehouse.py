@@ -119,11 +119,22 @@ class Warehouse:
         return list(frames)
 
     def offer_database(self, database: str) -> list[str]:
-        """Catalog tables with comment and tier over the current versions.  Call it again
-        after a refresh that wrote a new version."""
+        """The tables in a catalog database, with comment and tier.  Call it again after a
+        refresh that wrote a new version.
+
+        Bronze and silver become views on their folders: read as a folder, the sink's log
+        decides which files count.
+        """
         run = self.spark.sql
         run(f"CREATE DATABASE IF NOT EXISTS {database}")
         done = []
+        for name, tier, path in ((BRONZE, "bronze", self.bronze), (SILVER, "silver", self.silver)):
+            if files.child_names(self.spark, path):
+                run(
+                    f"CREATE OR REPLACE VIEW {database}.{name} COMMENT '{COMMENTS[name]}' "
+                    f"TBLPROPERTIES ('quality' = '{tier}') AS SELECT * FROM parquet.`{path}`"
+                )
+                done.append(f"{database}.{name}")
         for name, table in GOLD_TABLES.items():
             store = self.store(table)
             if store.current() is None:
@@ -131,11 +142,7 @@ class Warehouse:
             full = f"{database}.{name}"
             run(f"DROP TABLE IF EXISTS {full}")  # external: only the catalog entry goes
             self.spark.catalog.createTable(
-                full,
-                path=store.current_path(),
-                source="parquet",
-                schema=None,
-                description=table.comment,
+                full, path=store.current_path(), source="parquet", description=table.comment
             )
             if table.dated:
                 self.spark.catalog.recoverPartitions(full)

@@ -49,7 +49,7 @@ def start_bronze(
         bytes_per_trigger=bytes_per_trigger,
         archive=archive,
     )
-    writer = events.writeStream.queryName("bronze").outputMode("append")
+    writer = events.writeStream.queryName(f"bronze {warehouse.base}").outputMode("append")
     writer = writer.format("parquet").option("path", warehouse.bronze)
     return _started(writer, warehouse.checkpoint("bronze"), every)
 
@@ -79,7 +79,7 @@ def start_silver(
     if gather_days:
         rides = rides.hint("rebalance", "event_date")
     rides = checked(rides, observe=QUALITY)
-    writer = rides.writeStream.queryName("silver").outputMode("append").partitionBy("event_date")
+    writer = rides.writeStream.queryName(f"silver {warehouse.base}").outputMode("append").partitionBy("event_date")
     writer = writer.format("parquet").option("path", warehouse.silver)
     return _started(writer, warehouse.checkpoint("silver"), every)
 
@@ -97,7 +97,7 @@ def start_silver_by_batch(
             log.exception("cleaning failed in batch %d", batch_id)
             raise
 
-    writer = _bronze_stream(warehouse).writeStream.queryName("silver_by_batch")
+    writer = _bronze_stream(warehouse).writeStream.queryName(f"silver_by_batch {warehouse.base}")
     return _started(
         writer.foreachBatch(store_batch), warehouse.checkpoint("silver_by_batch"), every
     )
@@ -135,7 +135,7 @@ def start_rollup(
     reader = warehouse.spark.readStream.schema(needed)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    writer = reader.parquet(warehouse.silver).writeStream.queryName(rollup.name)
+    writer = reader.parquet(warehouse.silver).writeStream.queryName(f"{rollup.name} {warehouse.base}")
     return _started(writer.foreachBatch(add_batch), warehouse.checkpoint(rollup.name), every)
 
 

@@ -211,7 +211,8 @@ def test_sql_over_views_and_database(spark, base, parts):
     total = spark.sql("select sum(total_rides) from gold_rides_by_city").first()[0]
     assert total == spark.sql("select count(*) from silver_ride_events").first()[0]
     names = warehouse.offer_database("ride_reports")
-    assert len(names) == len(gold.GOLD_TABLES)
+    assert len(names) == len(gold.GOLD_TABLES) + 1  # bronze is empty here
+    assert spark.sql("select count(*) from ride_reports.silver_ride_events").first()[0] == total
     assert spark.sql("select sum(total_rides) from ride_reports.gold_rides_by_city").first()[0] == total
     assert spark.sql("select sum(total_rides) from ride_reports.gold_live_kpis").first()[0] == total
     described = {
@@ -220,6 +221,7 @@ def test_sql_over_views_and_database(spark, base, parts):
     }
     assert described["Comment"] == gold.LIVE_KPIS.comment
     assert "quality=gold" in described["Table Properties"]
+    assert warehouse.offer_database("ride_reports") == names
 
 
 def test_on_days_is_pruned(spark, base):

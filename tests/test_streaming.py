@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from kerbline.__main__ import main
 from kerbline.operators.cleaning import clean
 from kerbline.plans import gold
 from kerbline.sources.landing import landing_path, read_landing, write_landing
@@ -205,6 +206,14 @@ def test_many_small_batches_are_merged_on_the_way(warehouse):
     assert [row.total_rides for row in warehouse.read_gold("gold_pickup_demand").collect()] == [7]
 
 
+def test_as_a_job(warehouse, capsys):
+    land(warehouse, "a.jsonl", a_ride())
+    words = ["--base", warehouse.base, "--tables", "gold_rides_by_city"]
+    for action, said in (("once", "incremental"), ("refresh", "skipped")):
+        main([action, *words])
+        assert capsys.readouterr().out.split() == ["gold_rides_by_city", said]
+
+
 def test_landing_path_setting(spark):
     with pytest.raises(ValueError):
         landing_path(spark)
