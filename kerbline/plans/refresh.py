@@ -81,7 +81,7 @@ def refresh(
 ) -> list[Outcome]:
     """Brings the named tables (default: all) up to date in one call.
 
-    Without ``mode`` each table uses the cheapest mode declared for it.  Most tables are
+    What is new is told by the roll-up logs, so run the roll-up streams first.  Without ``mode`` each table uses the cheapest mode declared for it.  Most tables are
     small, so the jobs of ``at_once`` tables are submitted side by side.
     """
     tables = [GOLD_TABLES[name] for name in (names or GOLD_TABLES)]
@@ -106,10 +106,11 @@ def _refresh_one(
     log = warehouse.rollup(table.source.name)
     source = log.latest()
     # A clocked table is stale when the clock moved; without a fixed clock it always did.
+    # Without a roll-up log nothing is known about the source, so nothing is skipped.
     note = {"source": source, "as_of": str(as_of) if table.clocked else None}
     before = store.applied() if store.current() is not None else None
     fixed = not table.clocked or as_of is not None
-    if before == note and fixed:
+    if before == note and fixed and source is not None:
         return Outcome(table.name, "skipped")
 
     days: Days | None = None

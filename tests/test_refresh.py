@@ -96,6 +96,16 @@ def test_skip_and_clock(spark, base, parts):
     assert actions(None) == ["incremental", "skipped"]
 
 
+def test_without_a_log_nothing_is_skipped(spark, base, parts):
+    warehouse = Warehouse(spark, base).create()
+    names = ["gold_rides_by_city"]
+    for part in parts[1:]:
+        append(part, warehouse.silver, "event_date")
+        assert refresh(warehouse, names, "full")[0].action == "full"
+    expected = gold.RIDES_BY_CITY.build(warehouse.read_silver())
+    assert bag(warehouse.store(gold.RIDES_BY_CITY).read()) == bag(expected)
+
+
 def test_a_refresh_that_died_before_its_note_is_repeated(spark, base, parts):
     warehouse = Warehouse(spark, base).create()
     table = gold.HOURLY_DEMAND
