@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
+    "op6_minhash_near_dedup": OP6_SQL,
 }
