@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from kerbline.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
+    "op2_benchmark_decontamination": OP2_SQL,
     "op6_minhash_near_dedup": OP6_SQL,
 }
