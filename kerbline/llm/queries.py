@@ -5,12 +5,14 @@ from __future__ import annotations
 from kerbline.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from kerbline.llm.language import op3_language_id
 from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
+from kerbline.llm.sharding import op5_virtual_slot_sharding
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_language_id": op3_language_id,
+    "op5_virtual_slot_sharding": op5_virtual_slot_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 
