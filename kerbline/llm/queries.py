@@ -7,6 +7,7 @@ from kerbline.llm.language import op3_language_id
 from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
 from kerbline.llm.sharding import op5_virtual_slot_sharding
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
+from kerbline.llm.warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -14,10 +15,12 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op5_virtual_slot_sharding": op5_virtual_slot_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_warc": op7_warc,
 }
 
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
     "op2_benchmark_decontamination": OP2_SQL,
     "op6_minhash_near_dedup": OP6_SQL,
+    "op7_warc": OP7_SQL,
 }
