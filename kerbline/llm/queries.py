@@ -7,12 +7,14 @@ from kerbline.llm.language import op3_language_id
 from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
 from kerbline.llm.sharding import op5_virtual_slot_sharding
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
+from kerbline.llm.tokenfiles import op4_token_files
 from kerbline.llm.warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_language_id": op3_language_id,
+    "op4_token_files": op4_token_files,
     "op5_virtual_slot_sharding": op5_virtual_slot_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_warc": op7_warc,
