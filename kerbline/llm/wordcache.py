@@ -50,20 +50,11 @@ def joined(offsets: np.ndarray, values: np.ndarray, chosen: np.ndarray) -> np.nd
     return values[np.arange(total) + shift]
 
 
-class WordCache:
-    """A tokenizer of the tokenizers library and the ids of the words met so far.
+class IdCache:
+    """The ids of pieces of text met so far.  Pieces go by 64-bit hashes, so two are mistaken for
+    one another with a chance of 2**-64 a pair."""
 
-    Words go by 64-bit hashes, so two words are mistaken for one another with a chance of 2**-64 a pair.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        #: Texts with these are encoded as they are: a token may span white space and marks.
-        self.special = [token.content.lower().encode() for token in added]
+    def __init__(self):
         self._forget()
 
     def _forget(self) -> None:
@@ -71,13 +62,13 @@ class WordCache:
         self.offsets = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        """Adds words; ``hashes`` are ascending and new."""
-        if len(self.hashes) + len(hashes) > MOST_WORDS:
-            self._forget()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+    def learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new pieces end to end, and how many each has."""
+        raise NotImplementedError
+
+    def _add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """Adds pieces; ``hashes`` are new."""
+        flat, sizes = self.learn(pieces)
         offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
         every = np.concatenate([self.hashes, hashes])
         order = np.argsort(every, kind="stable")
@@ -85,27 +76,48 @@ class WordCache:
         self.offsets = np.concatenate([[0], np.cumsum(np.diff(offsets)[order])])
         self.hashes = every[order]
 
-    def encode(self, rows: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
-        """The ids of each text."""
-        pieces = _Pieces(rows, data)
+    def ids_of(self, pieces: Words) -> list[np.ndarray]:
+        """For each row the ids of its pieces."""
         distinct, sample, back = np.unique(pieces.hashes(), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(distinct) > MOST_WORDS:
+            self._forget()
         place = np.searchsorted(self.hashes, distinct)
-        known = np.zeros(len(distinct), bool)
+        fresh = np.ones(len(distinct), bool)
         inside = place < len(self.hashes)
-        known[inside] = self.hashes[place[inside]] == distinct[inside]
-        if not known.all():
-            # If the memory starts anew, all words of this text have to be learned again.
-            fresh = ~known if len(self.hashes) + len(distinct) <= MOST_WORDS else np.ones_like(known)
-            if fresh.all():
-                self._forget()
+        fresh[inside] = self.hashes[place[inside]] != distinct[inside]
+        if fresh.any():
             text = pieces.data.tobytes()
-            spans = zip(pieces.starts[sample[fresh]].tolist(), pieces.ends[sample[fresh]].tolist(), strict=True)
-            self._learn(distinct[fresh], [text[a:b].decode() for a, b in spans])
+            starts, ends = pieces.starts[sample[fresh]].tolist(), pieces.ends[sample[fresh]].tolist()
+            self._add(distinct[fresh], [text[a:b] for a, b in zip(starts, ends, strict=True)])
             place = np.searchsorted(self.hashes, distinct)
         chosen = place[back]
-        flat = joined(self.offsets, self.ids, chosen)
         ends = np.concatenate([[0], np.cumsum(np.diff(self.offsets)[chosen])])
-        result = np.split(flat, ends[pieces.first[1:-1]])
+        return np.split(joined(self.offsets, self.ids, chosen), ends[pieces.first[1:-1]])
+
+
+class WordCache(IdCache):
+    """A tokenizer of the tokenizers library, which encodes each distinct word once."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: Texts with these are encoded as they are: a token may span white space and marks.
+        self.special = [token.content.lower().encode() for token in added]
+
+    def learn(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [piece.decode() for piece in pieces]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+
+    def encode(self, rows: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text."""
+        pieces = _Pieces(rows, data)
+        result = self.ids_of(pieces)
         text = pieces.data.tobytes()
         if any(token in text for token in self.special):
             for r in range(len(rows) - 1):
