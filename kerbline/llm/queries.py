@@ -10,6 +10,7 @@ from kerbline.llm.sharding import op5_virtual_slot_sharding
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
 from kerbline.llm.tokenfiles import op4_token_files
 from kerbline.llm.warc import OP7_SQL, op7_warc
+from kerbline.llm.winnowing import op9_winnowing
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_warc": op7_warc,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_winnowing": op9_winnowing,
 }
 
 ORACLES = {
