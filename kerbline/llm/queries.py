@@ -8,6 +8,7 @@ from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
 from kerbline.llm.pieces import op8_sentencepiece
 from kerbline.llm.sharding import op5_virtual_slot_sharding
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
+from kerbline.llm.suffixes import OP10_SQL, op10_suffix_array_dedup
 from kerbline.llm.tokenfiles import op4_token_files
 from kerbline.llm.warc import OP7_SQL, op7_warc
 from kerbline.llm.winnowing import op9_winnowing
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_winnowing": op9_winnowing,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES = {
@@ -29,4 +31,5 @@ ORACLES = {
     "op2_benchmark_decontamination": OP2_SQL,
     "op6_minhash_near_dedup": OP6_SQL,
     "op7_warc": OP7_SQL,
+    "op10_suffix_array_dedup": OP10_SQL,
 }
