@@ -13,7 +13,7 @@ Links are confirmed on the full sets of shingles.  As groups of copies may hold
 rows, pairs are never listed group by group.  Documents of equal sets are one class.  In a bucket
 (all signatures under one key) everyone is first compared with the bucket's least member, then,
 where a bucket still holds several components, with a few other members, and at last with all
-members of other components, in blocks of bounded size.  The last step is exhaustive, so no link
+members of other components, in blocks of bounded size that give back links alone.  The last step is exhaustive, so no link
 between components is lost; links inside a component change nothing and are not looked for.
 
 A class goes by 64 bits of its set's digest, ``rep``; ids come back in at the end.
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from kerbline.llm.bytesets import Rolling, Words, chunks, last_starts, mixed, text_buffer
 from kerbline.llm.components import components
 from kerbline.llm.shared import LAST_ID, known_id, stored, table
+from kerbline.llm.wordcache import joined
 
 CHUNKS, WIDTH = 12, 5
 PLACES = CHUNKS * WIDTH
@@ -156,36 +157,45 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _across(batches):
-    """All close pairs of different components, block by block; rows arrive sorted by block.
+def _by_block(work):
+    """A task function that gathers the rows of each block, which arrive sorted, for ``work``."""
 
-    A pair is told only under the first key that its signatures share.
-    """
-    held: list[pa.RecordBatch] = []
-    at = None
-    for batch in batches:
-        blocks = list(zip(*(batch[c].to_pylist() for c in ("bucket", "low", "high")), strict=True))
-        start = 0
-        for i in range(len(blocks) + 1):
-            if i < len(blocks) and blocks[i] == at:
-                continue
-            if i > start:
-                held.append(batch.slice(start, i - start))
-            if i < len(blocks):
-                if held:
-                    yield from _block_pairs(pa.Table.from_batches(held))
-                held, at, start = [], blocks[i], i
-    if held:
-        yield from _block_pairs(pa.Table.from_batches(held))
-
-
-def _block_pairs(rows: pa.Table):
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        at = None
+        for batch in batches:
+            blocks = list(zip(*(batch[c].to_pylist() for c in BLOCK_OF), strict=True))
+            start = 0
+            for i in range(len(blocks) + 1):
+                if i < len(blocks) and blocks[i] == at:
+                    continue
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                if i < len(blocks):
+                    if held:
+                        yield from work(pa.Table.from_batches(held))
+                    held, at, start = [], blocks[i], i
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    return run
+
+
+BLOCK_OF = ["bucket", "low", "high"]
+_MEMBER = (
+    "bucket long, low int, high int, number int, block int, rep long, component long, "
+    "n_shingles long, signature binary"
+)
+
+
+def _candidates(rows: pa.Table, percent: int):
+    """For each member of a block the later ones that it has to be compared with: those of other
+    components whose size and signature allow a link, if this is the first key they share."""
     places = np.concatenate([_matrix(c) for c in rows["signature"].chunks])
     rep, component = rows["rep"].to_numpy(), rows["component"].to_numpy()
     part, size = rows["block"].to_numpy(), rows["n_shingles"].to_numpy()
     low, high, number = (rows[c][0].as_py() for c in ("low", "high", "number"))
-    percent = rows["percent"][0].as_py()
-    pairs = []
+    chunk, out = divmod(number, WIDTH)
     for i in range(len(rep)):
         others = np.flatnonzero(
             (component != component[i])
@@ -193,20 +203,66 @@ def _block_pairs(rows: pa.Table):
             & ((part != part[i]) | (low == high))
             & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
         )
-        if not len(others):
-            continue
-        same = places[others] == places[i]
-        near = PLACES - same.sum(axis=1) <= FARTHEST
-        others, same = others[near], same[near].reshape(-1, CHUNKS, WIDTH)
-        chunk, out = divmod(number, WIDTH)
-        wrong = WIDTH - same.sum(axis=2)
-        earlier = (wrong[:, :chunk] <= 1).any(axis=1)
-        here = np.where(wrong[:, chunk] == 0, 0, np.argmin(same[:, chunk], axis=1))
-        pairs.append((rep[i], rep[others[~earlier & (here == out)]]))
-    if pairs:
-        a = np.concatenate([np.full(len(b), a) for a, b in pairs])
-        b = np.concatenate([b for _, b in pairs])
-        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        if len(others):
+            same = places[others] == places[i]
+            near = PLACES - same.sum(axis=1) <= FARTHEST
+            others, same = others[near], same[near].reshape(-1, CHUNKS, WIDTH)
+            wrong = WIDTH - same.sum(axis=2)
+            earlier = (wrong[:, :chunk] <= 1).any(axis=1)
+            here = np.where(wrong[:, chunk] == 0, 0, np.argmin(same[:, chunk], axis=1))
+            others = others[~earlier & (here == out)]
+        if len(others):
+            yield i, others
+
+
+def _compared(percent: int):
+    """The members of a block that have to be compared with others."""
+
+    def work(rows: pa.Table):
+        chosen = np.zeros(len(rows), bool)
+        for i, others in _candidates(rows, percent):
+            chosen[i] = chosen[others] = True
+        if chosen.any():
+            yield from rows.filter(pa.array(chosen)).to_batches()
+
+    return _by_block(work)
+
+
+def _linked(percent: int):
+    """Links between components in a block, by the members' full sets.  Of a member's links with
+    one component the first will do."""
+
+    def work(rows: pa.Table):
+        sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        offsets, flat = np.concatenate([[0], np.cumsum(sizes)]), np.concatenate(sets)
+        rep, component = rows["rep"].to_numpy(), rows["component"].to_numpy()
+        pairs = []
+        for i, others in _candidates(rows, percent):
+            values = joined(offsets, flat, others)
+            place = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
+            shared = (sets[i][place] == values).astype(np.int64)
+            both = np.add.reduceat(shared, np.cumsum(sizes[others]) - sizes[others])
+            good = others[100 * both >= percent * (sizes[i] + sizes[others] - both)]
+            _, first = np.unique(component[good], return_index=True)
+            pairs += [(rep[i], rep[k]) for k in good[first]]
+        if pairs:
+            a, b = zip(*pairs, strict=True)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return _by_block(work)
+
+
+def _sets_of(size: int):
+    def run(batches):
+        for batch in batches:
+            rows, data = text_buffer(batch["text"])
+            found: list[bytes] = []
+            for a, b in chunks(rows):
+                found += [x.tobytes() for x in _shingle_sets(rows[a : b + 1], data, size)]
+            yield pa.RecordBatch.from_pydict({"rep": batch["rep"], "shingles": pa.array(found, pa.binary())})
+
+    return run
 
 
 class _Join:
@@ -346,21 +402,17 @@ class _Join:
             F.explode(F.sequence(F.lit(0), parts - 1)).alias("mate"),
         )
         rows = rows.join(self.classes.select("rep", "n_shingles", "signature"), "rep")
-        rows = rows.select(
-            "bucket",
-            F.least("block", "mate").alias("low"),
-            F.greatest("block", "mate").alias("high"),
-            "number",
-            "block",
-            "rep",
-            "component",
-            "n_shingles",
-            "signature",
-            F.lit(self.percent).alias("percent"),
+        rows = rows.withColumns({"low": F.least("block", "mate"), "high": F.greatest("block", "mate")})
+        members = [f.split()[0] for f in _MEMBER.split(", ")]
+        rows = rows.select(*members).repartition(*BLOCK_OF).sortWithinPartitions(*BLOCK_OF)
+        # Full sets travel only to the blocks in which signatures leave something to compare.
+        compared = stored(rows.mapInArrow(_compared(self.percent), _MEMBER), "compared")
+        sets = self.texts.join(compared.select("rep").distinct(), "rep").mapInArrow(
+            _sets_of(self.size), "rep long, shingles binary"
         )
-        order = ["bucket", "low", "high"]
-        pairs = rows.repartition(*order).sortWithinPartitions(*order)
-        self.add(stored(pairs.mapInArrow(_across, "a long, b long"), "pairs"))
+        rows = compared.join(sets, "rep").select(*members, "shingles")
+        rows = rows.repartition(*BLOCK_OF).sortWithinPartitions(*BLOCK_OF)
+        self.add(rows.mapInArrow(_linked(self.percent), "a long, b long").distinct())
 
 
 def near_duplicates(
