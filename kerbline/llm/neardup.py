@@ -422,7 +422,8 @@ def near_duplicates(
     shingle: int = SHINGLE,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept, text_md5`` for every row of ``docs``; the last tells
+    rows of one id apart.
 
     Words are runs without ASCII white space after A-Z become a-z.  A document's set holds its
     distinct shingles of ``shingle`` words; a shorter text is one shingle; a null or empty text has
@@ -444,20 +445,23 @@ def near_duplicates(
     placed = placed.withColumn("component", F.coalesce("component", "rep"))
     least = placed.groupBy("component").agg(F.min("did").alias("least"))
     placed = placed.select("rep", "component").join(least, "component")
-    rows = join.sets.where("n_shingles > 0").select("did", "n_shingles", "rep")
-    rows = rows.join(placed, "rep").select("did", "n_shingles", "least")
-    empty = join.sets.where("n_shingles = 0").select("did", "n_shingles", F.col("did").alias("least"))
+    rows = join.sets.where("n_shingles > 0").join(placed, "rep")
+    rows = rows.select("did", "n_shingles", "least", "original")
+    empty = join.sets.where("n_shingles = 0").withColumn("least", F.col("did"))
+    empty = empty.select("did", "n_shingles", "least", "original")
     return rows.unionAll(empty).select(
         F.nullif("did", F.lit(LAST_ID)).alias("doc_id"),
         "n_shingles",
         F.nullif("least", F.lit(LAST_ID)).alias("component_id"),
         (F.col("did") == F.col("least")).alias("kept"),
+        F.lower(F.hex("original")).alias("text_md5"),
     )
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups by sets of two-word shingles."""
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    groups = near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 OP6_SQL = r"""
