@@ -33,10 +33,21 @@ def tally(name: str, condition: Callable[[], Column]) -> Fact:
     return Fact(name, lambda: condition().cast("int"))
 
 
+#: Sums are kept as whole numbers of this part of a unit, so that they do not depend on the order of
+#: addition: a stored roll-up and a full build agree to the last bit.
+PARTS_OF_UNIT = 10_000
+
+
+def _in_parts(value: Column) -> Column:
+    """Null for what is too large to be counted in parts."""
+    return F.round(value * PARTS_OF_UNIT).try_cast("bigint")
+
+
 def mean_parts(name: str, value: Callable[[], Column]) -> tuple[Fact, Fact]:
+    """The exact sum of a measure, four decimals of it, and how many rows have one."""
     return (
-        Fact(f"{name}_sum", value),
-        tally(f"{name}_n", lambda: value().isNotNull()),
+        Fact(f"{name}_sum", lambda: _in_parts(value())),
+        tally(f"{name}_n", lambda: _in_parts(value()).isNotNull()),
     )
 
 
@@ -86,7 +97,7 @@ def total_of(name: str, fact: str, digits: int | None = 2, empty: float | None =
     """A sum; ``empty`` is shown where nothing was added up."""
 
     def value() -> Column:
-        summed = F.col(fact)
+        summed = F.col(fact) / PARTS_OF_UNIT
         return _rounded(summed if empty is None else F.coalesce(summed, F.lit(empty)), digits)
 
     return Measure(name, value, (fact,))
@@ -95,7 +106,11 @@ def total_of(name: str, fact: str, digits: int | None = 2, empty: float | None =
 def mean_of(name: str, fact: str, digits: int) -> Measure:
     """Sum over count; null where the count is zero."""
     parts = (f"{fact}_sum", f"{fact}_n")
-    return Measure(name, lambda: _rounded(F.try_divide(*parts), digits), parts)
+
+    def value() -> Column:
+        return _rounded(F.try_divide(parts[0], F.col(parts[1]) * PARTS_OF_UNIT), digits)
+
+    return Measure(name, value, parts)
 
 
 def percent_of(name: str, part: str, whole: str, digits: int = 1) -> Measure:

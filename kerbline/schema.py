@@ -4,38 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "text": T.StringType(),
-    "number": T.DoubleType(),
-    "whole": T.IntegerType(),
-    "flag": T.BooleanType(),
-}
-
 # The 20 fields of a landed event, in file order.  Never inferred.
-RIDE_FIELDS = {
-    "ride_id": "text",
-    "event_time": "text",
-    "status": "text",
-    "city": "text",
-    "pickup_area": "text",
-    "drop_area": "text",
-    "vehicle_type": "text",
-    "driver_id": "text",
-    "driver_name": "text",
-    "driver_rating": "number",
-    "rider_id": "text",
-    "distance_km": "number",
-    "duration_mins": "whole",
-    "base_fare": "number",
-    "surge_multiplier": "number",
-    "final_fare": "number",
-    "payment_method": "text",
-    "cancellation_reason": "text",
-    "zone_id": "text",
-    "is_peak_hour": "flag",
-}
-
-RIDE_SCHEMA = T.StructType([T.StructField(name, _TYPES[k]) for name, k in RIDE_FIELDS.items()])
+RIDE_SCHEMA = (
+    T.StructType()
+    .add("ride_id", "string")
+    .add("event_time", "string")
+    .add("status", "string")
+    .add("city", "string")
+    .add("pickup_area", "string")
+    .add("drop_area", "string")
+    .add("vehicle_type", "string")
+    .add("driver_id", "string")
+    .add("driver_name", "string")
+    .add("driver_rating", "double")
+    .add("rider_id", "string")
+    .add("distance_km", "double")
+    .add("duration_mins", "integer")
+    .add("base_fare", "double")
+    .add("surge_multiplier", "double")
+    .add("final_fare", "double")
+    .add("payment_method", "string")
+    .add("cancellation_reason", "string")
+    .add("zone_id", "string")
+    .add("is_peak_hour", "boolean")
+)
+RIDE_FIELDS = RIDE_SCHEMA.fieldNames()
 
 INGEST_TIME = "_ingest_time"
 RESCUED = "_rescued_data"

@@ -16,12 +16,13 @@ from kerbline.functions.timeparts import NTZ, is_peak
 from kerbline.operators.audit import audit_fares
 from kerbline.operators.cleaning import clean
 from kerbline.operators.quality import RIDE_RULES, rule_counts
+from kerbline.operators.rollup import PARTS_OF_UNIT
 from kerbline.operators.upsert import upsert
 from kerbline.plans import dashboard, gold, orders
 from kerbline.plans.refresh import refresh
 from kerbline.schema import INGEST_TIME, RESCUED
 from kerbline.sources.landing import read_landing, write_landing
-from kerbline.sources.rides import rides_view
+from testbed.rides import rides_view
 from kerbline.sources.scratch import scratch_path, stored
 from kerbline.sources.snapshots import append
 from kerbline.sources.warehouse import Warehouse
@@ -79,8 +80,14 @@ def dq_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_counts(rides_view(spark, sf_dir))
 
 
+def _in_units(parts: DataFrame) -> DataFrame:
+    """Sums as plain figures."""
+    sums = [name for name in parts.columns if name.endswith("_sum")]
+    return parts.withColumns({name: F.col(name) / PARTS_OF_UNIT for name in sums})
+
+
 def _rollup(rollup: gold.Rollup) -> Query:
-    return lambda spark, sf_dir: rollup.of(_silver(spark, sf_dir))
+    return lambda spark, sf_dir: _in_units(rollup.of(_silver(spark, sf_dir)))
 
 
 QUERIES["place_hours"] = _rollup(gold.PLACE_HOURS)
@@ -90,7 +97,8 @@ QUERIES["driver_days"] = _rollup(gold.DRIVER_DAYS)
 @query
 def city_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A roll-up derived from another one."""
-    return gold.CITY_TOTALS.merged(QUERIES["place_hours"](spark, sf_dir))
+    parts = gold.PLACE_HOURS.of(_silver(spark, sf_dir))
+    return _in_units(gold.CITY_TOTALS.merged(parts))
 
 
 # --- aggregate tables ----------------------------------------------------------------

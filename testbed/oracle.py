@@ -6,29 +6,26 @@ Every text starts from ``RIDES`` and ``SILVER``; nothing here is used by the job
 from __future__ import annotations
 
 RIDES = """
-b AS (SELECT e.event_id AS e, e.ts, e.user_id AS u, r.r_regionkey AS rk
- FROM events e JOIN customer c ON e.user_id=c.c_custkey JOIN nation n ON c.c_nationkey=n.n_nationkey
- JOIN region r ON n.n_regionkey=r.r_regionkey),
-k AS (SELECT b.*, CASE rk WHEN 0 THEN 'BLR' WHEN 1 THEN 'MUM' WHEN 2 THEN 'DEL' WHEN 3 THEN 'CHN' ELSE 'HYD' END code,
- CASE rk WHEN 0 THEN 'Bangalore' WHEN 1 THEN 'Mumbai' WHEN 2 THEN 'Delhi' WHEN 3 THEN 'Chennai' ELSE 'Hyderabad' END city,
- (e*19)%100 AS sr, ((e*37)%103)%20 AS vr,
- ((extract(hour from ts)>=8 AND extract(hour from ts)<10) OR (extract(hour from ts)>=18 AND extract(hour from ts)<21)) AS peak FROM b),
-m AS (SELECT k.*, CASE WHEN e%157=0 THEN 0.25e0 WHEN e%163=0 THEN 6e1 ELSE 1e0+((e*29)%43)/2e0 END dist,
- CASE WHEN e%307=0 THEN 'Boat' WHEN vr<3 THEN 'Bike' WHEN vr<7 THEN 'Auto' WHEN vr<13 THEN 'Mini' WHEN vr<18 THEN 'Sedan' ELSE 'SUV' END vt,
- CASE WHEN sr<70 THEN 'completed' WHEN sr<83 THEN 'cancelled_by_user' WHEN sr<91 THEN 'cancelled_by_driver' WHEN sr<97 THEN 'no_driver_found' WHEN sr<99 THEN 'in_progress' ELSE 'unknown' END st,
- CASE WHEN peak AND e%2=0 THEN 1.5e0 WHEN peak THEN 2e0 ELSE 1e0 END surge FROM k),
-f AS (SELECT m.*, CASE vt WHEN 'Bike' THEN 15 WHEN 'Auto' THEN 25 WHEN 'Mini' THEN 40 WHEN 'Sedan' THEN 60 ELSE 80 END + dist*CASE vt WHEN 'Bike' THEN 8 WHEN 'Auto' THEN 12 WHEN 'Mini' THEN 14 WHEN 'Sedan' THEN 18 ELSE 22 END AS basef,
- CASE vt WHEN 'Bike' THEN 3e1 WHEN 'Auto' THEN 5e1 WHEN 'Mini' THEN 1e2 WHEN 'Sedan' THEN 1.5e2 ELSE 2.5e2 END mn,
- CASE vt WHEN 'Bike' THEN 1.5e2 WHEN 'Auto' THEN 2e2 WHEN 'Mini' THEN 4e2 WHEN 'Sedan' THEN 6e2 ELSE 8e2 END mx FROM m),
-rides AS (SELECT CASE WHEN e%211=0 THEN NULL ELSE 'RD-'||CAST(e AS VARCHAR) END ride_id, ts AS event_time, st AS status, city,
- code||'-A'||CAST(((e*17)%101)%10 AS VARCHAR) pickup_area, code||'-A'||CAST((((e*17)%101)%10+1+((e*13)%97)%9)%10 AS VARCHAR) drop_area,
- vt AS vehicle_type, 'DRV-'||code||'-'||CAST(1000+(e*11)%409 AS VARCHAR) driver_id, 'Driver '||CAST((e*11)%409 AS VARCHAR) driver_name,
- CASE WHEN e%173=0 THEN NULL WHEN e%179=0 THEN 0.5e0 ELSE 3.5e0+((e*23)%7)/4e0 END driver_rating,
- 'USR-'||CAST(10000+u AS VARCHAR) rider_id, dist AS distance_km, CAST(floor(dist*3) AS INT) duration_mins, basef AS base_fare, surge AS surge_multiplier,
- CASE WHEN e%191=0 THEN 0e0 WHEN e%193=0 THEN NULL ELSE least(greatest(basef*surge,mn),mx) END final_fare,
- CASE WHEN (e*41)%100<52 THEN 'UPI' WHEN (e*41)%100<74 THEN 'Cash' WHEN (e*41)%100<89 THEN 'Card' ELSE 'Wallet' END payment_method,
- CASE WHEN st IN ('cancelled_by_user','cancelled_by_driver','no_driver_found') THEN CASE WHEN e%11=0 THEN '' ELSE 'R'||CAST(e%3 AS VARCHAR) END END cancellation_reason,
- code||'-Z'||CAST(((e*31)%53)%5+1 AS VARCHAR) zone_id, peak AS is_peak_hour, ts + INTERVAL 2 SECONDS AS _ingest_time FROM f)"""
+e AS (SELECT *, user_id AS u, CAST(regexp_extract(coalesce(props, '0'), '([0-9]+)', 1) AS INTEGER) AS k
+ FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
+ JOIN region ON n_regionkey = r_regionkey),
+rides AS (SELECT CASE WHEN k <> 42 THEN 'E-' || event_id END AS ride_id, ts AS event_time,
+ CASE WHEN event_type IN ('purchase', 'view') OR (event_type = 'click' AND k < 90) THEN 'completed'
+  WHEN event_type = 'click' THEN 'in_progress'
+  WHEN event_type = 'signup' AND k < 50 THEN 'cancelled_by_user' WHEN event_type = 'signup' THEN 'cancelled_by_driver'
+  WHEN k < 80 THEN 'no_driver_found' ELSE event_type END AS status,
+ r_name AS city, n_name AS pickup_area, n_name || '-' || (k % 10) AS drop_area,
+ CASE WHEN k = 9 THEN c_mktsegment ELSE CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Sedan' WHEN 'BUILDING' THEN 'SUV'
+  WHEN 'FURNITURE' THEN 'Mini' WHEN 'HOUSEHOLD' THEN 'Auto' ELSE 'Bike' END END AS vehicle_type,
+ 'D-' || r_name || '-' || (u % 5) || '-' || k AS driver_id, 'Driver ' || k AS driver_name,
+ CASE WHEN k <> 17 THEN 1 + (k % 45) / 10e0 END AS driver_rating, 'C-' || u AS rider_id,
+ value / 10e0 AS distance_km, CAST(floor(value / 2e0) AS INTEGER) AS duration_mins, value AS base_fare,
+ 1 + (k % 4) / 4e0 AS surge_multiplier, CASE WHEN k = 7 THEN 0e0 WHEN k <> 8 THEN value END AS final_fare,
+ CASE k % 4 WHEN 0 THEN 'UPI' WHEN 1 THEN 'Cash' WHEN 2 THEN 'Card' ELSE 'Wallet' END AS payment_method,
+ CASE WHEN event_type IN ('signup', 'error') AND k < 80
+  THEN CASE WHEN k % 11 = 0 THEN '' ELSE 'reason ' || (k % 3) END END AS cancellation_reason,
+ r_name || '-' || (k % 5) AS zone_id, extract(hour FROM ts) IN (8, 9, 18, 19, 20) AS is_peak_hour,
+ ts + INTERVAL 2 SECONDS AS _ingest_time FROM e)"""
 
 SILVER = """
 silver AS (SELECT *, CAST(event_time AS DATE) AS event_date,
@@ -63,9 +60,22 @@ DONE = "status = 'completed'"
 N = "CAST(count(ride_id) AS BIGINT)"
 N_DONE = f"CAST(count(*) FILTER ({DONE}) AS BIGINT)"
 N_CANCELLED = "CAST(count(*) FILTER (is_cancelled) AS BIGINT)"
-FARES = f"coalesce(sum(final_fare) FILTER ({DONE}), 0)"
+
+
+def _total(value: str) -> str:
+    """A sum that does not depend on the order of addition."""
+    return f"CAST(sum(CAST(round({value} * 10000) AS BIGINT)) AS DOUBLE) / 10000"
+
+
+def _mean(value: str) -> str:
+    return f"CAST(sum(CAST(round({value} * 10000) AS BIGINT)) AS DOUBLE) / (count({value}) * 10000)"
+
+
+_DONE_FARE = f"CASE WHEN {DONE} THEN final_fare END"
+_DONE_RATING = f"CASE WHEN {DONE} THEN driver_rating END"
+FARES = f"coalesce({_total(_DONE_FARE)}, 0)"
 CANCEL_PCT = rounded("count(*) FILTER (is_cancelled) * 100e0 / count(ride_id)", 1)
-MEAN_DONE = rounded(f"avg(final_fare) FILTER ({DONE})", 2)
+MEAN_DONE = rounded(_mean(_DONE_FARE), 2)
 
 LIVE_KPIS = f"""SELECT event_date, {N} AS total_rides, {FARES} AS total_revenue_inr,
  {CANCEL_PCT} AS cancellation_rate_pct, CAST(count(DISTINCT driver_id) AS BIGINT) AS active_drivers,
@@ -74,7 +84,7 @@ LIVE_KPIS = f"""SELECT event_date, {N} AS total_rides, {FARES} AS total_revenue_
 
 def _revenue_per_minute(as_of: str) -> str:
     return f"""SELECT date_trunc('minute', event_time) AS minute_bucket,
- {rounded('sum(final_fare)', 2)} AS revenue_inr, {N} AS completed_rides FROM silver
+ {rounded(_total('final_fare'), 2)} AS revenue_inr, {N} AS completed_rides FROM silver
  WHERE {DONE} AND event_time >= TIMESTAMP '{as_of}' - INTERVAL 60 MINUTES GROUP BY 1"""
 
 
@@ -83,8 +93,8 @@ RIDES_BY_CITY = f"""SELECT city, {N} AS total_rides, {N_DONE} AS completed_rides
 
 
 def _top_zones(as_of: str) -> str:
-    return f"""SELECT zone_id, city, {rounded('sum(final_fare)', 2)} AS total_revenue_inr, {N} AS completed_rides,
- {rounded('avg(final_fare)', 2)} AS avg_fare_inr, {rounded('avg(distance_km)', 1)} AS avg_distance_km
+    return f"""SELECT zone_id, city, {rounded(_total('final_fare'), 2)} AS total_revenue_inr, {N} AS completed_rides,
+ {rounded(_mean('final_fare'), 2)} AS avg_fare_inr, {rounded(_mean('distance_km'), 1)} AS avg_distance_km
  FROM silver WHERE event_date = CAST(TIMESTAMP '{as_of}' AS DATE) AND {DONE} GROUP BY zone_id, city
  ORDER BY total_revenue_inr DESC, zone_id, city LIMIT 10"""
 
@@ -94,17 +104,17 @@ STATUS_BREAKDOWN = (
 )
 PICKUP_DEMAND = f"""SELECT event_date, city, pickup_area, zone_id, {N} AS total_rides,
  {N_DONE} AS completed_rides, {N_CANCELLED} AS cancelled_rides, {CANCEL_PCT} AS cancellation_rate_pct,
- {rounded('avg(surge_multiplier)', 2)} AS avg_surge, {rounded(FARES, 2)} AS revenue_inr
+ {rounded(_mean('surge_multiplier'), 2)} AS avg_surge, {rounded(FARES, 2)} AS revenue_inr
  FROM silver GROUP BY event_date, city, pickup_area, zone_id"""
 CANCELLATION = f"""SELECT event_date, city, status, cancellation_reason, {N} AS cancellation_count,
- {rounded('avg(surge_multiplier)', 2)} AS avg_surge_at_cancel, {rounded('avg(distance_km)', 1)} AS avg_distance_km
+ {rounded(_mean('surge_multiplier'), 2)} AS avg_surge_at_cancel, {rounded(_mean('distance_km'), 1)} AS avg_distance_km
  FROM silver WHERE is_cancelled GROUP BY event_date, city, status, cancellation_reason"""
 HOURLY = f"""SELECT event_date, event_hour, city, {N} AS total_rides, {N_DONE} AS completed_rides,
- {N_CANCELLED} AS cancelled_rides, {rounded('avg(surge_multiplier)', 2)} AS avg_surge, is_weekend
+ {N_CANCELLED} AS cancelled_rides, {rounded(_mean('surge_multiplier'), 2)} AS avg_surge, is_weekend
  FROM silver GROUP BY event_date, event_hour, city, is_weekend"""
 LEADERBOARD = f"""SELECT *, CAST(rank() OVER (PARTITION BY event_date ORDER BY revenue_inr DESC) AS BIGINT) AS rank
- FROM (SELECT event_date, driver_id, {N} AS completed_rides, {rounded('sum(final_fare)', 2)} AS revenue_inr,
- {rounded('avg(driver_rating)', 2)} AS avg_rating FROM silver WHERE {DONE} GROUP BY event_date, driver_id)"""
+ FROM (SELECT event_date, driver_id, {N} AS completed_rides, {rounded(_total('final_fare'), 2)} AS revenue_inr,
+ {rounded(_mean('driver_rating'), 2)} AS avg_rating FROM silver WHERE {DONE} GROUP BY event_date, driver_id)"""
 STATUS_SHARES = f"""SELECT event_date, status, ride_count,
  {rounded('ride_count * 100e0 / sum(ride_count) OVER (PARTITION BY event_date)', 1)} AS pct_of_total
  FROM ({STATUS_BREAKDOWN})"""
@@ -112,11 +122,9 @@ STATUS_SHARES = f"""SELECT event_date, status, ride_count,
 
 
 def _parts(name: str, value: str) -> str:
-    return f"sum({value}) AS {name}_sum, CAST(count({value}) AS BIGINT) AS {name}_n"
+    return f"{_total(value)} AS {name}_sum, CAST(count({value}) AS BIGINT) AS {name}_n"
 
 
-_DONE_FARE = f"CASE WHEN {DONE} THEN final_fare END"
-_DONE_RATING = f"CASE WHEN {DONE} THEN driver_rating END"
 _COUNTS = f"{N} AS rides, {N_DONE} AS completed, {N_CANCELLED} AS cancelled, {_parts('fare', _DONE_FARE)}"
 PLACE_HOURS = f"""SELECT event_date, event_hour, city, pickup_area, zone_id, status, is_cancelled,
  cancellation_reason, {_COUNTS}, {_parts('surge', 'surge_multiplier')}, {_parts('distance', 'distance_km')}
@@ -153,12 +161,12 @@ _BASE = f"({_VEHICLE.format(15, 25, 40, 60, 80)} + {_VEHICLE.format(8, 12, 14, 1
 _LOW = _VEHICLE.format("30e0", "50e0", "100e0", "150e0", "250e0")
 _HIGH = _VEHICLE.format("150e0", "200e0", "400e0", "600e0", "800e0")
 FARE_AUDIT = f"""SELECT ride_id, vehicle_type, distance_km, surge_multiplier, base_fare, final_fare,
- {rounded('b', 2)} AS expected_base, {rounded('x', 2)} AS expected_fare,
- {rounded('final_fare - x', 2)} AS fare_gap,
- CASE WHEN b IS NULL THEN 'no_tariff' WHEN final_fare IS NULL THEN 'no_fare'
- WHEN abs(final_fare - x) > 0.01 THEN 'differs' ELSE 'agrees' END AS finding
- FROM (SELECT *, {_BASE} AS b, CASE WHEN {_BASE} IS NOT NULL
- THEN least(greatest({_BASE} * surge_multiplier, {_LOW}), {_HIGH}) END AS x FROM rides)"""
+ {rounded('b', 2)} AS expected_base, x AS expected_fare, gap AS fare_gap,
+ CASE WHEN b IS NULL THEN 'no_tariff' WHEN x IS NULL THEN 'not_priceable' WHEN final_fare IS NULL THEN 'no_fare'
+ WHEN abs(gap) > 0.01 THEN 'differs' ELSE 'agrees' END AS finding
+ FROM (SELECT *, {rounded('final_fare - x', 2)} AS gap FROM (SELECT *, {rounded('raw', 2)} AS x
+ FROM (SELECT *, {_BASE} AS b, CASE WHEN {_BASE} IS NOT NULL AND surge_multiplier IS NOT NULL
+ THEN least(greatest({_BASE} * surge_multiplier, {_LOW}), {_HIGH}) END AS raw FROM rides)))"""
 
 
 def _peak(time: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kerbline.operators.cleaning import clean
 from kerbline.operators.ranking import rank_within
 from kerbline.plans import dashboard, gold
-from kerbline.sources.rides import rides_view
+from testbed.rides import rides_view
 from tests.conftest import SF_DIR, a_ride, bag, plan_of
 
 AS_OF = "2024-01-30 12:00:00"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kerbline.operators.cleaning import clean
 from kerbline.plans import dashboard, gold
 from kerbline.plans.refresh import changed_days, compact, refresh
-from kerbline.sources.rides import rides_view
+from testbed.rides import rides_view
 from kerbline.sources.snapshots import StoredTable, append, on_days
 from kerbline.sources.warehouse import Warehouse
 from tests.conftest import SF_DIR, a_ride, bag

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbline.operators.cleaning import clean
 from kerbline.plans import gold
-from kerbline.sources.rides import rides_view
+from testbed.rides import rides_view
 from tests.conftest import SF_DIR, bag, plan_of
 
 ALWAYS_SHUFFLE = {

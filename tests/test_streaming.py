@@ -13,7 +13,7 @@ from kerbline.__main__ import main
 from kerbline.operators.cleaning import clean
 from kerbline.plans import gold
 from kerbline.sources.landing import landing_path, read_landing, write_landing
-from kerbline.sources.rides import rides_view
+from testbed.rides import rides_view
 from kerbline.sources.snapshots import write_batch
 from kerbline.sources.warehouse import Warehouse
 from kerbline.streaming import flows
