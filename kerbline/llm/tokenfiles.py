@@ -30,7 +30,7 @@ BLOCK = 256
 SHARE = 0.9
 #: A segment is closed once it has this many ids.
 SEGMENT_IDS = 1 << 17
-TEXT_BYTES = 1 << 21
+TEXT_BYTES = 1 << 20
 END = 2
 
 _MAGIC = b"PFR1"
@@ -97,15 +97,15 @@ def unpack_blocks(data: np.ndarray, starts: np.ndarray, n: int, first: int = 0)
     head = data[starts[:-1, None] + np.arange(7)]
     least = head[:, :4].copy().view("<u4")
     width, counts = head[:, 4].astype(np.int64), head[:, 5:].copy().view("<u2").reshape(-1)
+    # Every place of the data as the start of a 64-bit number: an id is the low bits of one, shifted.
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    numbers = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
     for w in np.unique(width):
         if w:
             mine = np.flatnonzero(width == w)
-            packed = data[starts[mine, None] + 7 + np.arange(int(w) * (BLOCK // 8))]
-            bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, int(w))
-            raw = np.zeros((len(bits), 4), np.uint8)
-            some = np.packbits(bits, axis=1, bitorder="little")
-            raw[:, : some.shape[1]] = some
-            rest[mine] = raw.view("<u4").reshape(len(mine), BLOCK)
+            bit = np.arange(BLOCK) * int(w)
+            found = numbers[starts[mine, None] + 7 + (bit >> 3)] >> (bit & 7).astype(np.uint64)
+            rest[mine] = found & np.uint64((1 << int(w)) - 1)
     for k in np.flatnonzero(counts):
         at, c = int(starts[k]) + 7 + int(width[k]) * (BLOCK // 8), int(counts[k])
         values = data[at + c : at + 5 * c].copy().view("<u4")

@@ -14,7 +14,7 @@ import numpy as np
 
 from kerbline.llm.bytesets import SPACE, Words
 
-#: Words remembered by a task's process; beyond, it starts anew.
+#: Words remembered by a task's process; beyond, new ones are encoded whenever they occur.
 MOST_WORDS = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -55,9 +55,6 @@ class IdCache:
     one another with a chance of 2**-64 a pair."""
 
     def __init__(self):
-        self._forget()
-
-    def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.offsets = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -66,33 +63,31 @@ class IdCache:
         """The ids of new pieces end to end, and how many each has."""
         raise NotImplementedError
 
-    def _add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        """Adds pieces; ``hashes`` are new."""
-        flat, sizes = self.learn(pieces)
-        offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-        every = np.concatenate([self.hashes, hashes])
-        order = np.argsort(every, kind="stable")
-        self.ids = joined(offsets, np.concatenate([self.ids, flat]), order)
-        self.offsets = np.concatenate([[0], np.cumsum(np.diff(offsets)[order])])
-        self.hashes = every[order]
-
     def ids_of(self, pieces: Words) -> list[np.ndarray]:
-        """For each row the ids of its pieces."""
+        """For each row the ids of its pieces.  New pieces are remembered while there is room."""
         distinct, sample, back = np.unique(pieces.hashes(), return_index=True, return_inverse=True)
-        if len(self.hashes) + len(distinct) > MOST_WORDS:
-            self._forget()
         place = np.searchsorted(self.hashes, distinct)
         fresh = np.ones(len(distinct), bool)
         inside = place < len(self.hashes)
         fresh[inside] = self.hashes[place[inside]] != distinct[inside]
+        offsets, ids = self.offsets, self.ids
         if fresh.any():
             text = pieces.data.tobytes()
             starts, ends = pieces.starts[sample[fresh]].tolist(), pieces.ends[sample[fresh]].tolist()
-            self._add(distinct[fresh], [text[a:b] for a, b in zip(starts, ends, strict=True)])
-            place = np.searchsorted(self.hashes, distinct)
+            flat, sizes = self.learn([text[a:b] for a, b in zip(starts, ends, strict=True)])
+            # The new ones stand behind those remembered.
+            offsets = np.concatenate([offsets, offsets[-1] + np.cumsum(sizes)])
+            ids = np.concatenate([ids, flat])
+            place[fresh] = len(self.hashes) + np.arange(len(sizes))
+            if len(self.hashes) + len(sizes) <= MOST_WORDS:
+                every = np.concatenate([self.hashes, distinct[fresh]])
+                order = np.argsort(every, kind="stable")
+                self.ids = joined(offsets, ids, order)
+                self.offsets = np.concatenate([[0], np.cumsum(np.diff(offsets)[order])])
+                self.hashes = every[order]
         chosen = place[back]
-        ends = np.concatenate([[0], np.cumsum(np.diff(self.offsets)[chosen])])
-        return np.split(joined(self.offsets, self.ids, chosen), ends[pieces.first[1:-1]])
+        ends = np.concatenate([[0], np.cumsum(np.diff(offsets)[chosen])])
+        return np.split(joined(offsets, ids, chosen), ends[pieces.first[1:-1]])
 
 
 class WordCache(IdCache):
