@@ -62,6 +62,28 @@ def rule_counts(df: DataFrame, rules: Mapping[str, str] = RIDE_RULES) -> DataFra
     ).select("rule", "rows_in", "violations")
 
 
+#: The columns that the rules and watches read.
+RULE_INPUTS = (
+    "ride_id",
+    "final_fare",
+    "distance_km",
+    "driver_rating",
+    "status",
+    "vehicle_type",
+    "event_time",
+)
+
+
+def violations(
+    df: DataFrame,
+    rules: Mapping[str, str] = RIDE_RULES,
+    watches: Mapping[str, str] = RIDE_WATCHES,
+) -> DataFrame:
+    """One row: rows seen, rows that break each rule, rows dropped, rows that fail each watch."""
+    extra = [F.count_if(~holds(rule)).alias(name) for name, rule in watches.items()]
+    return df.agg(*_counters(rules), *extra)
+
+
 def watched(
     df: DataFrame,
     rules: Mapping[str, str] = RIDE_RULES,

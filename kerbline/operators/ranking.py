@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbline.sources.scratch import stored
-
 
 def share_of_group(
     df: DataFrame, value: str, group: Sequence[str], name: str, digits: int = 1
@@ -39,9 +37,9 @@ def rank_within(
     back to its rows.  Rows with the same value are spread over the join like any others
     (adaptive execution splits a hot one).  Nulls rank last.
 
-    ``df`` is read twice, so it is written to the shared scratch folder first.
+    ``df`` is read twice: pass an aggregate or a stored table.
     """
-    rows = stored(df, "rank")
+    rows = df
     banded = rows.select(group, by, F.floor(F.col(by) / step).alias("_band"))
     values = banded.groupBy(group, "_band", by).agg(F.count(F.lit(1)).alias("_rows"))
     bands = values.groupBy(group, "_band").agg(F.sum("_rows").alias("_rows"))

@@ -14,22 +14,22 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from threading import Lock
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from kerbline.operators.upsert import upsert
 from kerbline.plans.gold import GOLD_TABLES, AsOf, GoldTable, Rollup
-from kerbline.sources.scratch import stored
+from kerbline.plans.views import VIEWS, View
+from kerbline.sources import files
+from kerbline.sources.scratch import scratch_path
 from kerbline.sources.snapshots import Days, StoredTable, on_days
 from kerbline.sources.warehouse import Warehouse
 
 MODES = ("full", "partitions", "incremental")
-# More changed days than this are not listed one by one: all days are rebuilt instead.
-MOST_DAYS = 5000
 
 
 @dataclass(frozen=True)
@@ -39,20 +39,21 @@ class Outcome:
     days: tuple[date | None, ...] | None = None  # rewritten days; None means the whole table
 
 
-def changed_days(parts: DataFrame, most: int = MOST_DAYS) -> list[date | None] | None:
-    """The days that occur in ``parts``, or None if there are more than ``most``."""
-    rows = parts.select("event_date").distinct().limit(most + 1).collect()
-    return None if len(rows) > most else [row[0] for row in rows]
+def changed_days(parts: DataFrame) -> list[date | None]:
+    """The days that occur in ``parts``: as many as the calendar has, whatever the rows."""
+    return [row[0] for row in parts.select("event_date").distinct().collect()]
 
 
 class _Parts:
     """Roll-ups computed from cleaned rides during one refresh, each written once and then
-    shared by the tables that need it."""
+    shared by the tables that need it.  Different ones are made side by side."""
 
-    def __init__(self, silver: Callable[[], DataFrame]):
+    def __init__(self, spark: SparkSession, silver: Callable[[], DataFrame]):
+        self._spark = spark
         self._silver = silver
-        self._made: dict[tuple, DataFrame] = {}
-        self._making = Lock()
+        self._made: dict[tuple, Future] = {}
+        self._paths: list[str] = []
+        self._asking = Lock()
 
     def rows(self, days: Days | None) -> DataFrame:
         silver = self._silver()
@@ -62,14 +63,36 @@ class _Parts:
         if rollup.parent is not None:
             return rollup.merged(self.of(rollup.parent, days))
         key = (rollup.name, None if days is None else frozenset(days))
-        with self._making:
-            if key not in self._made:
-                self._made[key] = stored(rollup.of(self.rows(days)), rollup.name)
-            return self._made[key]
+        with self._asking:
+            first = key not in self._made
+            made = self._made.setdefault(key, Future())
+        if first:
+            try:
+                frame = rollup.of(self.rows(days))
+                path = scratch_path(self._spark, rollup.name)
+                self._paths.append(path)
+                frame.write.parquet(path)
+                made.set_result(self._spark.read.schema(frame.schema).parquet(path))
+            except BaseException as failure:
+                made.set_exception(failure)
+        return made.result()
+
+    def forget(self) -> None:
+        """Removes what was written; the tables made from it are stored by now."""
+        for path in self._paths:
+            files.remove(self._spark, path)
+
+
+def default_mode(table: GoldTable | View) -> str:
+    return table.modes[-1]
 
 
-def default_mode(table: GoldTable) -> str:
-    return table.modes[-1]
+def check_modes(names: Iterable[str] | None, mode: str | None) -> None:
+    """Refuses a mode that would not be exact for one of the tables."""
+    for name in names or GOLD_TABLES:
+        table = VIEWS.get(name) or GOLD_TABLES[name]
+        if mode is not None and mode not in table.modes:
+            raise ValueError(f"{name}: mode {mode!r} is not exact; use one of {table.modes}")
 
 
 def refresh(
@@ -78,25 +101,40 @@ def refresh(
     mode: str | None = None,
     as_of: AsOf = None,
     at_once: int = 4,
+    keep: int | None = None,
 ) -> list[Outcome]:
-    """Brings the named tables (default: all) up to date in one call.
+    """Brings the named tables (default: all over rides) up to date in one call.
 
-    What is new is told by the roll-up logs, so run the roll-up streams first.  Without ``mode`` each table uses the cheapest mode declared for it.  Most tables are
-    small, so the jobs of ``at_once`` tables are submitted side by side.
+    What is new is told by the roll-up logs, so run the roll-up streams first.  Without ``mode``
+    each table uses the cheapest mode declared for it.  Most tables are small, so the jobs of
+    ``at_once`` tables are submitted side by side.  Versions are kept for ever unless the
+    caller says how many to ``keep``; those that a reader has pinned stay in any case.
     """
-    tables = [GOLD_TABLES[name] for name in (names or GOLD_TABLES)]
-    for table in tables:
-        if mode is not None and mode not in table.modes:
-            raise ValueError(f"{table.name}: mode {mode!r} is not exact; use one of {table.modes}")
+    chosen = list(names or GOLD_TABLES)
+    views = [VIEWS[name] for name in chosen if name in VIEWS]
+    tables = [GOLD_TABLES[name] for name in chosen if name not in VIEWS]
+    check_modes(chosen, mode)
     users = Counter(table.rollup.root.name for table in tables if table.rollup)
-    parts = _Parts(warehouse.read_silver)
-
-    def bring_up(table: GoldTable) -> Outcome:
-        shared = table.rollup is not None and users[table.rollup.root.name] > 1
-        return _refresh_one(warehouse, table, mode or default_mode(table), as_of, parts, shared)
-
-    with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(bring_up, tables))
+    parts = _Parts(warehouse.spark, warehouse.read_silver)
+
+    def bring_up(table: GoldTable | View) -> Outcome:
+        chosen_mode = mode or default_mode(table)
+        if isinstance(table, View):
+            outcome = Outcome(table.name, table.refresh(warehouse.spark, warehouse.base, chosen_mode))
+            store = table.store(warehouse.spark, warehouse.base)
+        else:
+            shared = table.rollup is not None and users[table.rollup.root.name] > 1
+            outcome = _refresh_one(warehouse, table, chosen_mode, as_of, parts, shared)
+            store = warehouse.store(table)
+        if keep is not None:
+            store.drop_old(keep)
+        return outcome
+
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            return list(pool.map(bring_up, [*tables, *views]))
+    finally:
+        parts.forget()
 
 
 def _refresh_one(
@@ -126,7 +164,6 @@ def _refresh_one(
 
     if days is None:
         store.replace(result)
-        store.drop_old()
     else:
         store.overwrite_days(result, days)
     store.note_applied(note)
@@ -140,8 +177,10 @@ def upsert_stored(
     return store.replace(upsert(store.read(), source, keys, delete_missing))
 
 
-def compact(warehouse: Warehouse, rollup: Rollup, keep: int = 2) -> None:
-    """Merges the batches of a roll-up that every table stored from it already reflects."""
+def compact(warehouse: Warehouse, rollup: Rollup, keep: int = 2, at_least: int = 1) -> bool:
+    """Merges the batches of a roll-up that every table stored from it already reflects, if
+    there are ``at_least`` so many not merged yet.  While a table lags behind, nothing is written
+    again and again."""
     notes = [
         warehouse.store(table).applied()
         for table in GOLD_TABLES.values()
@@ -150,5 +189,7 @@ def compact(warehouse: Warehouse, rollup: Rollup, keep: int = 2) -> None:
     sources = [note["source"] for note in notes if note and note["source"] is not None]
     if sources:
         log = warehouse.rollup(rollup.name)
-        log.merge_through(min(sources))
-        log.drop_old(keep)
+        if log.merge_through(min(sources), at_least):
+            log.drop_old(keep)
+            return True
+    return False

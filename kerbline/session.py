@@ -26,8 +26,6 @@ def build_session(
         .config("spark.sql.session.timeZone", time_zone)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Rule counts are read from progress reports, so keep those of a long backlog.
-        .config("spark.sql.streaming.numRecentProgressUpdates", "10000")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
     )
     if master:

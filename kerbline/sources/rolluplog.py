@@ -60,8 +60,9 @@ class RollupLog:
     def read(self) -> DataFrame:
         return self.since(None)
 
-    def merge_through(self, batch_id: int) -> None:
-        """Adds up the batches up to ``batch_id`` into one part, as a new version.
+    def merge_through(self, batch_id: int, at_least: int = 1) -> bool:
+        """Adds up the batches up to ``batch_id`` into one part, as a new version, if that many
+        are not merged yet; else nothing is written.
 
         The newest batch always stays apart, because it is the one a restarted stream may
         write again.  Call it from the stream's own batch function or while the stream
@@ -69,8 +70,10 @@ class RollupLog:
         """
         newest = self.latest()
         if newest is None:
-            return
+            return False
         last = min(batch_id, newest - 1)
+        if sum(MERGED < known <= last for known in self.batch_ids()) < at_least:
+            return False
         parts = self._table.read()
         old = parts.filter(F.col(BATCH) <= last).drop(BATCH)
         merged = self.rollup.merged(old).withColumn(BATCH, F.lit(MERGED).cast("bigint"))
@@ -80,6 +83,7 @@ class RollupLog:
         order = [BATCH, *self.rollup.grain]
         both = merged.unionByName(kept).repartitionByRange(*order).sortWithinPartitions(*order)
         StoredTable(self.spark, self.path, BATCH).replace(both, arranged=True)
+        return True
 
-    def drop_old(self, keep: int = 2) -> None:
+    def drop_old(self, keep: int) -> None:
         self._table.drop_old(keep)

@@ -1,25 +1,28 @@
 """Stored tables that can be replaced while they are read.
 
-A table is a folder of numbered versions.  A version counts from the moment its
-``_schema.json`` exists, which is written last; a job that dies half-way leaves a folder
-nobody reads.  ``overwrite_days`` rewrites single days inside the current version; if it
-dies half-way, running it again gives the right result.
+A table is a folder of numbered versions.  A version counts from the moment its ``_manifest.json``
+exists, which is written last; a job that dies half-way leaves a folder nobody reads.  A
+version of a table kept by day may hold only the days it changed: its manifest then names, for every
+other day, the earlier version that has it.  So no file is ever changed, and a reader sees one version
+whatever is written meanwhile.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbline.sources import files
 
-SCHEMA_FILE = "_schema.json"
+MANIFEST = "_manifest.json"
+PINS = "_pins"
 APPLIED_FILE = "_applied.json"
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -49,40 +52,59 @@ class StoredTable:
     def _version_path(self, version: int) -> str:
         return f"{self.path}/v={version}"
 
+    def _folders(self) -> list[int]:
+        """Numbers of all version folders, complete or not, oldest first."""
+        names = files.child_names(self.spark, self.path)
+        return sorted(int(name[2:]) for name in names if name.startswith("v="))
+
+    def _manifest(self, version: int) -> dict | None:
+        path = f"{self._version_path(version)}/{MANIFEST}"
+        return _as_json(files.read_text(self.spark, path))
+
     def versions(self) -> list[int]:
         """Complete versions, oldest first."""
-        found = [
-            int(name[2:])
-            for name in files.child_names(self.spark, self.path)
-            if name.startswith("v=")
-        ]
-        return sorted(v for v in found if self._schema(v) is not None)
-
-    def _schema(self, version: int) -> T.StructType | None:
-        text = files.read_text(self.spark, f"{self._version_path(version)}/{SCHEMA_FILE}")
-        parsed = _as_json(text)
-        return T.StructType.fromJson(parsed) if parsed else None
+        return [v for v in self._folders() if self._manifest(v) is not None]
 
     def current(self) -> int | None:
-        versions = self.versions()
-        return versions[-1] if versions else None
+        return next((v for v in reversed(self._folders()) if self._manifest(v) is not None), None)
+
+    def _known(self, version: int | None = None) -> tuple[int, dict]:
+        """A version, by default the newest complete one, and its manifest."""
+        for candidate in reversed(self._folders()) if version is None else [version]:
+            manifest = self._manifest(candidate)
+            if manifest is not None:
+                return candidate, manifest
+        raise LookupError(f"nothing stored yet at {self.path}")
 
     def current_path(self) -> str:
-        version = self.current()
-        if version is None:
-            raise LookupError(f"nothing stored yet at {self.path}")
-        return self._version_path(version)
-
-    def read(self) -> DataFrame:
-        version = self.current()
-        if version is None:
-            raise LookupError(f"nothing stored yet at {self.path}")
-        schema = self._schema(version)
-        return (
-            self.spark.read.schema(schema)
-            .parquet(self._version_path(version))
-            .select(*schema.fieldNames())
-        )
+        return self._version_path(self._known()[0])
+
+    def day_paths(self, version: int | None = None) -> dict[str, str]:
+        """For a table kept by day, the folder that holds each day."""
+        version, manifest = self._known(version)
+        homes = manifest["days"]
+        if homes is None:
+            mark = f"{self.day_column}="
+            names = files.child_names(self.spark, self._version_path(version))
+            homes = {name[len(mark) :]: version for name in names if name.startswith(mark)}
+        return {
+            day: f"{self._version_path(home)}/{self.day_column}={day}" for day, home in homes.items()
+        }
+
+    def read(self, version: int | None = None) -> DataFrame:
+        version, manifest = self._known(version)
+        schema = T.StructType.fromJson(manifest["schema"])
+        reader = self.spark.read.schema(schema)
+        if manifest["days"] is None:
+            return reader.parquet(self._version_path(version)).select(*schema.fieldNames())
+        paths = list(self.day_paths(version).values())
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return reader.option("basePath", self.path).parquet(*paths).select(*schema.fieldNames())
+
+    def noted(self) -> dict | None:
+        """What was noted with the newest version when it was written."""
+        return self._known()[1]["note"] if self.current() is not None else None
 
     def _writer(self, df: DataFrame, arranged: bool = False):
         if self.day_column is None:
@@ -93,52 +115,101 @@ class StoredTable:
         return df.write.mode("overwrite").partitionBy(self.day_column)
 
     def _next_version(self) -> int:
-        """One more than any version folder, complete or not."""
-        names = files.child_names(self.spark, self.path)
-        return max((int(n[2:]) for n in names if n.startswith("v=")), default=0) + 1
+        return max(self._folders(), default=0) + 1
 
-    def replace(self, df: DataFrame, arranged: bool = False) -> int:
+    def replace(self, df: DataFrame, arranged: bool = False, note: dict | None = None) -> int:
         """Writes ``df`` as the next version.  ``df`` may read the current one.  Rows that
-        are already ``arranged`` among the files are left as they are."""
+        are already ``arranged`` among the files are left as they are.  ``note`` comes to count at
+        the same moment as the rows."""
         version = self._next_version()
         self._writer(df, arranged).parquet(self._version_path(version))
-        self._complete(version, df.schema)
+        self._complete(version, df.schema, None, note)
         return version
 
     def create(self, schema: T.StructType) -> int:
         """An empty next version, into which parts are then written."""
         version = self._next_version()
         files.make_directory(self.spark, self._version_path(version))
-        self._complete(version, schema)
+        self._complete(version, schema, None, None)
         return version
 
-    def _complete(self, version: int, schema: T.StructType) -> None:
-        path = f"{self._version_path(version)}/{SCHEMA_FILE}"
-        files.write_text(self.spark, path, schema.json())
+    def _complete(self, version: int, schema: T.StructType, days: dict | None, note: dict | None) -> None:
+        manifest = {"schema": schema.jsonValue(), "days": days, "note": note}
+        files.write_text(
+            self.spark, f"{self._version_path(version)}/{MANIFEST}", json.dumps(manifest)
+        )
 
-    def overwrite_days(self, df: DataFrame, days: Days) -> None:
-        """Replaces the rows of ``days`` by ``df``, leaving all other days' files alone.
+    def overwrite_days(self, df: DataFrame, days: Days) -> int:
+        """A next version in which the rows of ``days`` are those of ``df``; the files of all
+        other days are shared with the current version.
 
         ``df`` must hold rows of these days only.  A day with no rows left is removed.
         """
-        target = self.current_path()
-        seen = Observation()
-        day = F.col(self.day_column)
-        df = df.observe(
-            seen, F.collect_set(day).alias("days"), F.count_if(day.isNull()).alias("undated")
-        )
-        self._writer(df).option("partitionOverwriteMode", "dynamic").parquet(target)
-        written = set(seen.get["days"] or [])
-        if seen.get["undated"]:
-            written.add(None)
-        for gone in set(days) - written:
-            name = NULL_DAY if gone is None else gone.isoformat()
-            files.remove(self.spark, f"{target}/{self.day_column}={name}")
-
-    def drop_old(self, keep: int = 2) -> None:
-        """Removes all but the newest ``keep`` versions; readers of older ones must be done."""
-        for version in self.versions()[:-keep]:
-            files.remove(self.spark, self._version_path(version))
+        current, manifest = self._known()
+        homes = manifest["days"] or dict.fromkeys(self.day_paths(current), current)
+        version = self._next_version()
+        path = self._version_path(version)
+        self._writer(df).parquet(path)
+        gone = {NULL_DAY if day is None else day.isoformat() for day in days}
+        homes = {day: home for day, home in homes.items() if day not in gone}
+        mark = f"{self.day_column}="
+        for name in files.child_names(self.spark, path):
+            if name.startswith(mark):
+                homes[name[len(mark) :]] = version
+        self._complete(version, T.StructType.fromJson(manifest["schema"]), homes, None)
+        return version
+
+    def pin(self, reader: str, version: int | None = None) -> int:
+        """Keeps a version, by default the newest, for a named reader until it unpins."""
+        version, _ = self._known(version)
+        path = f"{self.path}/{PINS}/{reader}.json"
+        files.write_text(self.spark, path, json.dumps({"version": version}))
+        return version
+
+    def unpin(self, reader: str) -> None:
+        files.remove(self.spark, f"{self.path}/{PINS}/{reader}.json")
+
+    def pinned(self) -> set[int]:
+        folder = f"{self.path}/{PINS}"
+        notes = [
+            _as_json(files.read_text(self.spark, f"{folder}/{name}"))
+            for name in files.child_names(self.spark, folder)
+            if name.endswith(".json")
+        ]
+        return {note["version"] for note in notes if note}
+
+    @contextmanager
+    def reading(self, reader: str) -> Iterator[DataFrame]:
+        """The newest version, kept as long as the block runs."""
+        version = self.pin(reader)
+        try:
+            yield self.read(version)
+        finally:
+            self.unpin(reader)
+
+    def drop_old(self, keep: int) -> None:
+        """Removes all but the newest ``keep`` versions, those that a reader has pinned, and the days
+        of others that these share.  Readers that pinned nothing must be done."""
+        versions = self.versions()
+        if not versions:
+            return
+        kept = {*versions[-keep:], *self.pinned()} & set(versions)
+        shared: dict[int, set[str]] = {}
+        for version in kept:
+            for day, home in (self._manifest(version)["days"] or {}).items():
+                shared.setdefault(home, set()).add(f"{self.day_column}={day}")
+        for version in self._folders():
+            # A folder beyond the newest version may be one that is being written.
+            if version in kept or version > versions[-1]:
+                continue
+            path = self._version_path(version)
+            files.remove(self.spark, f"{path}/{MANIFEST}")
+            if version not in shared:
+                files.remove(self.spark, path)
+                continue
+            for name in files.child_names(self.spark, path):
+                if name not in shared[version]:
+                    files.remove(self.spark, f"{path}/{name}")
 
     def applied(self) -> dict | None:
         """What the stored result reflects, as noted by the last refresh."""

@@ -13,17 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from kerbline.functions.timeparts import parsed_time
 from kerbline.operators.cleaning import checked, clean, enrich
+from kerbline.operators.quality import RULE_INPUTS, violations
 from kerbline.plans.gold import GOLD_TABLES, PLACE_HOURS, ROLLUPS, ROOTS, AsOf, Rollup
-from kerbline.plans.refresh import Outcome, compact, refresh
+from kerbline.plans.refresh import Outcome, check_modes, compact, refresh
 from kerbline.sources.landing import landing_path, stream_landing
 from kerbline.sources.snapshots import write_batch
 from kerbline.sources.warehouse import Warehouse, bronze_schema, silver_schema
 
 log = logging.getLogger(__name__)
 
-QUALITY = "quality"
-
 
 def _started(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
@@ -67,31 +67,57 @@ def start_silver(
     gather_days: bool = False,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Cleans bronze into silver, stored by day, counting rule violations on the way.
+    """Cleans bronze into silver, stored by day.  ``start_rule_counts`` counts what breaks the rules.
 
     Live data falls into one or two days, so by default nothing is shuffled.  Set
     ``gather_days`` when working off a backlog of many days: rows are then rebalanced by
     day, which avoids a file per day *and* task and still splits a day that is too big.
-    The rules are checked after that shuffle, in the tasks that write: Spark adds up what
-    these observed exactly once, while a repeated map task would be counted again.
     """
-    rides = enrich(_bronze_stream(warehouse, files_per_trigger))
+    rides = checked(enrich(_bronze_stream(warehouse, files_per_trigger)))
     if gather_days:
         rides = rides.hint("rebalance", "event_date")
-    rides = checked(rides, observe=QUALITY)
     writer = rides.writeStream.queryName(f"silver {warehouse.base}").outputMode("append").partitionBy("event_date")
     writer = writer.format("parquet").option("path", warehouse.silver)
     return _started(writer, warehouse.checkpoint("silver"), every)
 
 
+def _store_counts(events: DataFrame, path: str, batch_id: int) -> None:
+    """Counts the rules of one batch and stores them under its id, replacing an earlier try."""
+    write_batch(violations(enrich(events)), path, batch_id, "batch_id")
+
+
+def start_rule_counts(
+    warehouse: Warehouse, every: str | None = None, files_per_trigger: int | None = None
+) -> StreamingQuery:
+    """Counts, batch by batch, the events of bronze that break each rule.
+
+    A stream of its own: counts are rows of a table, stored under the batch's id, so they
+    survive restarts and long runs, and a batch that is repeated is not counted twice.
+    """
+    needed = bronze_schema()
+    used = {name for name in needed.fieldNames() if name in RULE_INPUTS}
+    reader = warehouse.spark.readStream.schema(T.StructType([f for f in needed if f.name in used]))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.withColumn("event_time", parsed_time(batch))
+        write_batch(violations(timed), warehouse.quality, batch_id, "batch_id")
+
+    writer = reader.parquet(warehouse.bronze).writeStream.queryName(f"rules {warehouse.base}")
+    return _started(writer.foreachBatch(count), warehouse.checkpoint("rules"), every)
+
+
 def start_silver_by_batch(
     warehouse: Warehouse, path: str, every: str | None = None
 ) -> StreamingQuery:
     """The same cleaning as a per-batch function, for sinks that have no streaming form.
-    A failing batch is logged and stops the query; when replayed it replaces itself."""
+    A failing batch is logged and stops the query; when replayed it replaces itself, and so
+    do its rule counts."""
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
         try:
+            _store_counts(batch, f"{warehouse.quality}_by_batch", batch_id)
             write_batch(clean(batch), path, batch_id)
         except Exception:
             log.exception("cleaning failed in batch %d", batch_id)
@@ -111,24 +137,30 @@ def start_rollup(
     as_of: AsOf = None,
     files_per_trigger: int | None = None,
     most_parts: int = 100,
+    keep: int | None = None,
+    clocked: bool = True,
 ) -> StreamingQuery:
     """Adds newly cleaned rides to one roll-up and those derived from it.  With
     ``refresh_tables`` the tables that depend on them follow after each batch, each in the
-    mode declared for it.  Beyond ``most_parts`` stored batches, old ones are merged.
+    mode declared for it (``clocked=False``: but for those that depend on the clock).  Once
+    ``most_parts`` batches are there that all tables reflect, they are merged.
 
     A batch function sees a finished batch, through which no column pruning passes, so the
     stream itself reads only the columns the roll-up needs.
     """
     family = [rollup, *[child for child in ROLLUPS.values() if child.parent == rollup]]
-    names = [table.name for table in GOLD_TABLES.values() if table.source in family]
+    names = [
+        table.name
+        for table in GOLD_TABLES.values()
+        if table.source in family and (clocked or not table.clocked)
+    ]
 
     def add_batch(batch: DataFrame, batch_id: int) -> None:
         warehouse.add_rides(rollup, batch, batch_id)
         if refresh_tables:
-            refresh(warehouse, names, as_of=as_of)
+            refresh(warehouse, names, as_of=as_of, keep=keep)
         for member in family:
-            if len(warehouse.rollup(member.name).batch_ids()) > most_parts:
-                compact(warehouse, member)
+            compact(warehouse, member, at_least=most_parts)
 
     schema = silver_schema(warehouse.spark)
     needed = T.StructType([field for field in schema if field.name in rollup.inputs])
@@ -156,25 +188,33 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
         raise
 
 
-def start_all(warehouse: Warehouse, every: str = "10 seconds", **bronze) -> list[StreamingQuery]:
-    """Continuous operation: tables are refreshed after each batch of cleaned rides."""
+def start_clock(warehouse: Warehouse, every: str, keep: int | None = None) -> StreamingQuery:
+    """Refreshes the tables that depend on the clock, also while no ride arrives."""
+    names = [table.name for table in GOLD_TABLES.values() if table.clocked]
+
+    def tick(batch: DataFrame, batch_id: int) -> None:
+        if warehouse.rollup(PLACE_HOURS.name).latest() is not None:
+            refresh(warehouse, names, keep=keep)
+
+    ticks = warehouse.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    writer = ticks.writeStream.queryName(f"clock {warehouse.base}").foreachBatch(tick)
+    return _started(writer, warehouse.checkpoint("clock"), every)
+
+
+def start_all(
+    warehouse: Warehouse, every: str = "10 seconds", keep: int | None = None, **bronze
+) -> list[StreamingQuery]:
+    """Continuous operation: tables are refreshed after each batch of cleaned rides, those that
+    depend on the clock also in between.  ``keep`` bounds the versions kept of each table."""
     return [
         start_bronze(warehouse, every=every, **bronze),
         start_silver(warehouse, every=every),
-        *start_rollups(warehouse, every=every, refresh_tables=True),
+        start_rule_counts(warehouse, every=every),
+        *start_rollups(warehouse, every=every, refresh_tables=True, keep=keep, clocked=False),
+        start_clock(warehouse, every, keep),
     ]
 
 
-def quality_reports(query: StreamingQuery) -> list[dict]:
-    """Rule counts per micro-batch, from the query's recent progress reports."""
-    reports = []
-    for progress in query.recentProgress:
-        counts = progress.observedMetrics.get(QUALITY)
-        if counts is not None:
-            reports.append({"batch_id": progress.batchId, **counts.asDict()})
-    return reports
-
-
 def run_once(
     warehouse: Warehouse,
     landing: str | None = None,
@@ -183,28 +223,20 @@ def run_once(
     as_of: AsOf = None,
     gather_days: bool = False,
     files_per_trigger: int | None = None,
+    keep: int | None = None,
+    archive: str | None = None,
 ) -> list[Outcome]:
     """Takes in everything that has landed and refreshes the tables, then returns.
 
     The steps run one after another, so the refresh sees a silver table at rest.
     """
     warehouse.create()
-    await_all([start_bronze(warehouse, landing, files_per_trigger=files_per_trigger)])
-    silver = start_silver(warehouse, gather_days=gather_days)
-    await_all([silver])
-    reports = quality_reports(silver)
-    if reports:
-        _keep_reports(warehouse, reports)
+    check_modes(tables, mode)
+    bronze = start_bronze(warehouse, landing, files_per_trigger=files_per_trigger, archive=archive)
+    await_all([bronze])
+    await_all([start_silver(warehouse, gather_days=gather_days), start_rule_counts(warehouse)])
     await_all(start_rollups(warehouse))
     if warehouse.rollup(PLACE_HOURS.name).latest() is None:
         return []
-    return refresh(warehouse, tables, mode, as_of)
-
+    return refresh(warehouse, tables, mode, as_of, keep=keep)
 
-def _keep_reports(warehouse: Warehouse, reports: list[dict]) -> None:
-    """Stores the counts by batch; a batch that is reported again replaces itself."""
-    schema = ", ".join(f"{name} bigint" for name in reports[0])
-    frame = warehouse.spark.createDataFrame([tuple(r.values()) for r in reports], schema)
-    frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "batch_id"
-    ).parquet(warehouse.quality)

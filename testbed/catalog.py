@@ -20,6 +20,7 @@ from kerbline.operators.rollup import PARTS_OF_UNIT
 from kerbline.operators.upsert import upsert
 from kerbline.plans import dashboard, gold, orders
 from kerbline.plans.refresh import refresh
+from kerbline.plans.views import VIEWS
 from kerbline.schema import INGEST_TIME, RESCUED
 from kerbline.sources.landing import read_landing, write_landing
 from testbed.rides import rides_view
@@ -38,6 +39,19 @@ LATE_FROM = "2024-01-20"
 ORDERS_KNOWN_UNTIL = "1999-07-01"
 ORDERS_PURGED_BEFORE = "1997-01-01"
 
+# For each table a count and an amount whose sums tell whether its numbers are right.
+CHECKED = {
+    "gold_live_kpis": ("total_rides", "total_revenue_inr"),
+    "gold_revenue_per_minute": ("completed_rides", "revenue_inr"),
+    "gold_rides_by_city": ("total_rides", "revenue_inr"),
+    "gold_top_zones": ("completed_rides", "total_revenue_inr"),
+    "gold_ride_status_breakdown": ("ride_count", None),
+    "gold_pickup_demand": ("total_rides", "revenue_inr"),
+    "gold_cancellation_analysis": ("cancellation_count", None),
+    "gold_hourly_demand": ("total_rides", None),
+    "gold_driver_leaderboard": ("completed_rides", "revenue_inr"),
+}
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -256,13 +270,85 @@ def refresh_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tables brought up to date by one call, after a first and a late load."""
     names = list(gold.GOLD_TABLES)
     warehouse = _loaded_twice(spark, sf_dir, names)
-    counts = [
-        warehouse.store(table).read().agg(F.count("*").alias("rows")).select(
-            F.lit(name).alias("table_name"), "rows"
+    sums = []
+    for name, (counted, money) in CHECKED.items():
+        table = warehouse.store(gold.GOLD_TABLES[name]).read()
+        paise = F.sum(F.round(F.col(money) * 100).cast("bigint")) if money else F.lit(0)
+        sums.append(
+            table.agg(
+                F.lit(name).alias("table_name"),
+                F.count("*").alias("rows"),
+                F.sum(counted).cast("bigint").alias("counted"),
+                paise.cast("bigint").alias("paise"),
+            )
         )
-        for name, table in gold.GOLD_TABLES.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, sums)
+
+
+def _placed(frame: DataFrame) -> DataFrame:
+    """Each row with its place in the order it is read in; for tables of few rows."""
+    return frame.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@query
+def ordered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored status counts in the order they are meant to be read in: falling."""
+    warehouse = Warehouse(spark, scratch_path(spark, "refresh")).create()
+    name = "gold_ride_status_breakdown"
+    _load(warehouse, stored(_zoned(_silver(spark, sf_dir)), "cleaned"), [name], 0)
+    refresh(warehouse, [name])
+    return _placed(warehouse.read_gold(name))
+
+
+@query
+def ordered_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue per minute in rising order."""
+    table = gold.REVENUE_PER_MINUTE
+    return _placed(table.in_order(table.build(_silver(spark, sf_dir), AS_OF)))
+
+
+def _view_twice(spark: SparkSession, sf_dir: str, mode: str) -> tuple[Warehouse, list[str]]:
+    """The category view after a first batch of orders and after a second one."""
+    warehouse = Warehouse(spark, scratch_path(spark, "view")).create()
+    view = VIEWS["revenue_by_category"]
+    table = _orders(spark, sf_dir).select(
+        F.col("o_orderpriority").alias("category"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+        F.when(F.col("o_orderstatus") == "F", "delivered").otherwise("open").alias("status"),
+        (F.col("o_orderdate") >= ORDERS_KNOWN_UNTIL).alias("newer"),
+    )
+    actions = []
+    for batch_id, newer in enumerate((False, True)):
+        rows = table.filter(F.col("newer") == newer).drop("newer")
+        view.add_rows(spark, warehouse.base, rows, batch_id)
+        (outcome,) = refresh(warehouse, [view.name], mode)
+        actions.append(outcome.action)
+    return warehouse, actions
+
+
+def _view_rows(warehouse: Warehouse) -> DataFrame:
+    return VIEWS["revenue_by_category"].read(warehouse.spark, warehouse.base)
+
+
+@query
+def view_refresh_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view_rows(_view_twice(spark, sf_dir, "full")[0])
+
+
+@query
+def view_refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view_rows(_view_twice(spark, sf_dir, "incremental")[0])
+
+
+@query
+def view_refresh_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third refresh without new orders leaves the two stored versions as they are."""
+    warehouse, _ = _view_twice(spark, sf_dir, "incremental")
+    (third,) = refresh(warehouse, ["revenue_by_category"])
+    versions = VIEWS["revenue_by_category"].store(spark, warehouse.base).versions()
+    return _view_rows(warehouse).withColumns(
+        {"versions": F.lit(len(versions)), "third_refresh": F.lit(third.action)}
+    )
 
 
 # --- fares and peak hours ------------------------------------------------------------
@@ -337,11 +423,37 @@ def stream_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule violations as observed while the stream ran."""
     warehouse = _landed(spark, sf_dir)
     flows.run_once(warehouse, tables=["gold_ride_status_breakdown"], as_of=AS_OF)
-    seen = spark.read.parquet(warehouse.quality)
+    return _summed_counts(warehouse)
+
+
+def _summed_counts(warehouse: Warehouse) -> DataFrame:
+    seen = warehouse.spark.read.parquet(warehouse.quality)
     summed = seen.agg(*[F.sum(name).alias(name) for name in ("rows_in", *RIDE_RULES)])
     return summed.unpivot(["rows_in"], list(RIDE_RULES), "rule", "violations")
 
 
+@query
+def continuous_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule violations counted by streams that run at an interval, in several micro-batches, and
+    are stopped and started again in between."""
+    warehouse = Warehouse(spark, scratch_path(spark, "stream")).create()
+    rides = rides_view(spark, sf_dir)
+    number = F.col("duration_mins") % 4
+    for turn in ((0, 1), (2, 3)):
+        running = [
+            flows.start_bronze(warehouse, every="200 milliseconds"),
+            flows.start_rule_counts(warehouse, every="200 milliseconds", files_per_trigger=2),
+        ]
+        for part in turn:
+            chosen = F.coalesce(number, F.lit(0)) == part
+            write_landing(rides.filter(chosen), warehouse.landing)
+            for running_query in running:
+                running_query.processAllAvailable()
+        for running_query in running:
+            running_query.stop()
+    return _summed_counts(warehouse)
+
+
 @query
 def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _landed(spark, sf_dir)

@@ -190,9 +190,11 @@ def _orders_by(keys: str, where: str) -> str:
 _BY_YEAR = "CAST(extract(year FROM o_orderdate) AS INTEGER) AS order_year, o_orderpriority AS category"
 
 
-def oracle_texts(as_of: str, known_until: str, purged_before: str) -> dict[str, str]:
+def oracle_texts(
+    as_of: str, known_until: str, purged_before: str, checked: dict[str, tuple]
+) -> dict[str, str]:
     """Query name -> SQL.  The dates are the fixed clock and the two cut-offs of the
-    upsert queries."""
+    upsert queries; ``checked`` names the sums that tell whether a table is right."""
     newest = _orders_by(_BY_YEAR, "TRUE")
     kept = _orders_by(_BY_YEAR, f"o_orderdate >= TIMESTAMP '{purged_before}'")
     earlier = _orders_by(_BY_YEAR, f"o_orderdate < TIMESTAMP '{known_until}'")
@@ -237,7 +239,10 @@ def oracle_texts(as_of: str, known_until: str, purged_before: str) -> dict[str,
         ),
         "refresh_all_tables": _over_silver(
             " UNION ALL ".join(
-                f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM ({text})"
+                f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows, "
+                f"CAST(sum({checked[name][0]}) AS BIGINT) AS counted, CAST("
+                + (f"sum(CAST(round({checked[name][1]} * 100) AS BIGINT))" if checked[name][1] else "0")
+                + f" AS BIGINT) AS paise FROM ({text})"
                 for name, text in {
                     "gold_live_kpis": LIVE_KPIS,
                     "gold_revenue_per_minute": minute,
@@ -251,6 +256,19 @@ def oracle_texts(as_of: str, known_until: str, purged_before: str) -> dict[str,
                 }.items()
             )
         ),
+        "ordered_reads": _over_silver(
+            f"""SELECT *, row_number() OVER (ORDER BY ride_count DESC, event_date, status) - 1 AS place
+ FROM ({STATUS_BREAKDOWN})"""
+        ),
+        "ordered_minutes": _over_silver(
+            f"SELECT *, row_number() OVER (ORDER BY minute_bucket) - 1 AS place FROM ({minute})"
+        ),
+        "view_refresh_full": _orders_by("o_orderpriority AS category", "TRUE"),
+        "view_refresh_incremental": _orders_by("o_orderpriority AS category", "TRUE"),
+        "view_refresh_skip": "SELECT *, 2 AS versions, 'skipped' AS third_refresh FROM ("
+        + _orders_by("o_orderpriority AS category", "TRUE")
+        + ")",
+        "continuous_rule_metrics": _over_rides(RULE_COUNTS),
         "fare_audit": _over_rides(FARE_AUDIT),
         "peak_hour_flag": _over_rides(PEAK_FLAGS),
         "dash_kpis": _over_silver(DASH_KPIS),

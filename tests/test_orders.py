@@ -6,7 +6,7 @@ import pytest
 
 from kerbline.operators.audit import audit_fares
 from kerbline.operators.cleaning import clean
-from kerbline.operators.upsert import check_unique, upsert
+from kerbline.operators.upsert import upsert
 from kerbline.plans import orders
 from kerbline.plans.refresh import upsert_stored
 from kerbline.sources.snapshots import StoredTable, append
@@ -106,9 +106,24 @@ def test_new_key_is_inserted(table):
     assert ("Food", 1, 45, 45.0) in bag(upsert(target, source, ["category"]))
 
 
-def test_ambiguous_source_is_reported(spark):
-    source = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
-    assert bag(check_unique(source, ["k"])) == [("a", 2)]
+def test_an_ambiguous_source_fails(spark):
+    target = spark.createDataFrame([("a", 1), (None, 2)], "k string, n int")
+    source = spark.createDataFrame([("a", 2), ("a", 3)], "k string, n int")
+    for delete_missing in (False, True):
+        with pytest.raises(Exception, match="several source rows"):
+            upsert(target, source, ["k"], delete_missing).collect()
+    nulls = spark.createDataFrame([(None, 7), (None, 8), ("b", None)], "k string, n int")
+    assert bag(upsert(target, nulls, ["k"])) == bag(
+        spark.createDataFrame([("a", 1), (None, 2), (None, 7), (None, 8), ("b", None)], "k string, n int")
+    )
+
+
+def test_an_upsert_reads_each_table_once(spark, tmp_path):
+    for name in ("target", "source"):
+        spark.createDataFrame([("a", 1)], "k string, n int").write.parquet(f"{tmp_path}/{name}")
+    target, source = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("target", "source"))
+    plan = plan_of(upsert(target, source, ["k"]))
+    assert plan.count("FileScan") == 2
 
 
 def test_fare_audit(rides_of):

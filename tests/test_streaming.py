@@ -82,18 +82,17 @@ def test_bad_lines(spark, warehouse):
     assert read_landing(spark, warehouse.landing).count() == 4
 
 
-@pytest.mark.parametrize("gather", [False, True])
-def test_violations_are_observed(warehouse, gather):
+def test_violations_are_counted_once_by_batch(spark, warehouse):
     land(warehouse, "a.jsonl", a_ride(), a_ride(final_fare=0.0, driver_rating=9.0))
+    to_silver(warehouse)
+    flows.await_all([flows.start_rule_counts(warehouse)])
     land(warehouse, "b.jsonl", a_ride(event_time="nope"))
-    silver = to_silver(warehouse, gather_days=gather)
-    (report,) = flows.quality_reports(silver)
-    plan = silver._jsq.explainInternal(False)
-    assert ("REBALANCE" in plan) == gather
-    if gather:  # observed above the shuffle
-        assert plan.index("CollectMetrics") < plan.index("REBALANCE")
-    assert report["rows_in"] == 3 and report["rows_dropped"] == 1
-    assert report["valid_fare"] == report["valid_rating"] == report["parsed_event_time"] == 1
+    to_silver(warehouse)
+    for _ in range(2):  # the second run has nothing left to count
+        flows.await_all([flows.start_rule_counts(warehouse)])
+    counts = spark.read.parquet(warehouse.quality).orderBy("batch_id").collect()
+    assert [(r.rows_in, r.rows_dropped) for r in counts] == [(2, 1), (1, 0)]
+    assert [(r.valid_fare, r.valid_rating, r.parsed_event_time) for r in counts] == [(1, 1, 0), (0, 0, 1)]
 
 
 def test_days_are_partitions_and_an_undated_ride_is_kept(warehouse):
@@ -134,6 +133,8 @@ def test_cleaning_by_batch(spark, warehouse):
     flows.await_all([flows.start_silver_by_batch(warehouse, target)])
     flows.await_all([flows.start_silver_by_batch(warehouse, target)])
     assert spark.read.parquet(target).count() == 1
+    (counts,) = spark.read.parquet(f"{warehouse.quality}_by_batch").collect()
+    assert (counts.rows_in, counts.rows_dropped, counts.valid_fare) == (2, 1, 1)
 
 
 def test_a_failing_query_is_raised_and_the_others_stopped(spark, warehouse):
@@ -214,6 +215,20 @@ def test_as_a_job(warehouse, capsys):
         assert capsys.readouterr().out.split() == ["gold_rides_by_city", said]
 
 
+@pytest.mark.parametrize(
+    "words",
+    [
+        ["continuous", "--tables", "gold_live_kpis"],
+        ["continuous", "--mode", "full"],
+        ["once", "--mode", "partitions"],
+        ["refresh", "--tables", "no_such_table"],
+    ],
+)
+def test_options_that_would_be_ignored_or_refused_later_are_errors(warehouse, words):
+    with pytest.raises(SystemExit):
+        main([*words, "--base", warehouse.base])
+
+
 def test_landing_path_setting(spark):
     with pytest.raises(ValueError):
         landing_path(spark)
