@@ -21,18 +21,22 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row offsets and bytes of a text or binary column; a null counts as empty."""
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
     _, offsets, data = column.buffers()
     rows = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     return rows, np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
 
 
-def chunks(rows: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most ``limit`` bytes together, or of one longer row."""
+def chunks(
+    rows: np.ndarray, limit: int = CHUNK_BYTES, most_rows: int = 1 << 12
+) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most_rows`` rows of at most ``limit`` bytes together, or of one longer row."""
     first, last = 0, len(rows) - 1
     while first < last:
         after = int(np.searchsorted(rows, rows[first] + limit, "right")) - 1
-        after = min(max(after, first + 1), last)
+        after = min(max(after, first + 1), first + most_rows, last)
         yield first, after
         first = after
 

@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from kerbline.llm.bytesets import chunks, mixed, text_buffer
-from kerbline.llm.shared import table
+from kerbline.llm.shared import in_arrow, table
 
 #: Training texts of each language at most.
 SAMPLE = 400
 BUCKETS = 4096
+#: Texts worked on at once.
+ROWS = 256
 #: Longest n-gram, in bytes.
 LONGEST = 4
 UNKNOWN = "und"
@@ -88,7 +90,7 @@ def _sample_features(batches):
     for batch in batches:
         rows, data = text_buffer(batch["text"])
         packed = []
-        for a, b in chunks(rows):
+        for a, b in chunks(rows, most_rows=ROWS):
             for line in _features(rows[a : b + 1], data):
                 used = np.flatnonzero(line)
                 packed.append(used.astype(np.uint16).tobytes() + line[used].tobytes())
@@ -199,7 +201,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(draw))
     chosen = drawn.withColumn("turn", turn).where(F.col("turn") <= SAMPLE).select("lang", "text")
     rows: dict[str, list[np.ndarray]] = {}
-    for line in chosen.mapInArrow(_sample_features, "lang string, features binary").collect():
+    for line in in_arrow(chosen, _sample_features, "lang string, features binary").collect():
         many = len(line["features"]) // 6
         row = np.zeros(BUCKETS, np.float32)
         row[np.frombuffer(line["features"], np.uint16, many)] = np.frombuffer(
@@ -215,7 +217,7 @@ def _predictions(model: LanguageModel | None, text_name: str, names: list[str]):
             rows, data = text_buffer(batch[text_name])
             languages: list[str] = []
             scores: list[float] = []
-            for a, b in chunks(rows):
+            for a, b in chunks(rows, most_rows=ROWS):
                 if model is None:
                     named, score = [UNKNOWN] * (b - a), np.zeros(b - a)
                 else:
@@ -248,7 +250,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel | None, text_col: st
     fields = [StructField(n, docs.schema[c].dataType) for c, n in zip(own, names, strict=True)]
     fields += [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     run = _predictions(model, names[own.index(text_col)], names)
-    return plain.mapInArrow(run, StructType(fields)).toDF(*own, *ADDED)
+    return in_arrow(plain, run, StructType(fields)).toDF(*own, *ADDED)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from kerbline.llm.bytesets import Rolling, Words, chunks, last_starts, mixed, text_buffer
 from kerbline.llm.components import components
-from kerbline.llm.shared import LAST_ID, known_id, stored, table
+from kerbline.llm.shared import LAST_ID, in_arrow, known_id, stored, table
 from kerbline.llm.wordcache import joined
 
 CHUNKS, WIDTH = 12, 5
@@ -271,7 +271,8 @@ class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int):
         self.size, self.percent = size, percent
         self.sets = stored(
-            docs.mapInArrow(
+            in_arrow(
+                docs,
                 _signatures_of(size),
                 "did long, n_shingles long, rep long, signature binary, original binary",
             ),
@@ -283,8 +284,8 @@ class _Join:
             .agg(F.min(F.struct("did", "original")).alias("first")),
             "classes",
         )
-        keyed = self.classes.select("rep", "signature").mapInArrow(
-            _keys, "bucket long, number int, rep long"
+        keyed = in_arrow(
+            self.classes.select("rep", "signature"), _keys, "bucket long, number int, rep long"
         )
         several = (
             keyed.groupBy("bucket")
@@ -318,8 +319,10 @@ class _Join:
         a = self.texts.select(F.col("rep").alias("a"), F.col("text").alias("a_text"))
         b = self.texts.select(F.col("rep").alias("b"), F.col("text").alias("b_text"))
         linked = stored(
-            pairs.join(a, "a").join(b, "b").mapInArrow(
-                _confirm(self.size, self.percent), "a long, b long"
+            in_arrow(
+                pairs.join(a, "a").join(b, "b"),
+                _confirm(self.size, self.percent),
+                "a long, b long",
             ),
             "links",
         )
@@ -336,12 +339,9 @@ class _Join:
                 F.col("n_shingles").alias(f"{name}_n"),
             )
 
-        return (
-            pairs.join(side("a"), "a")
-            .join(side("b"), "b")
-            .where(F.expr(f"100 * least(a_n, b_n) >= {self.percent} * greatest(a_n, b_n)"))
-            .mapInArrow(_close, "a long, b long")
-        )
+        sizes = F.expr(f"100 * least(a_n, b_n) >= {self.percent} * greatest(a_n, b_n)")
+        both = pairs.join(side("a"), "a").join(side("b"), "b").where(sizes)
+        return in_arrow(both, _close, "a long, b long")
 
     def with_least(self) -> None:
         """Everyone with the least member of its buckets that looks near."""
@@ -406,13 +406,15 @@ class _Join:
         members = [f.split()[0] for f in _MEMBER.split(", ")]
         rows = rows.select(*members).repartition(*BLOCK_OF).sortWithinPartitions(*BLOCK_OF)
         # Full sets travel only to the blocks in which signatures leave something to compare.
-        compared = stored(rows.mapInArrow(_compared(self.percent), _MEMBER), "compared")
-        sets = self.texts.join(compared.select("rep").distinct(), "rep").mapInArrow(
-            _sets_of(self.size), "rep long, shingles binary"
+        compared = stored(in_arrow(rows, _compared(self.percent), _MEMBER), "compared")
+        sets = in_arrow(
+            self.texts.join(compared.select("rep").distinct(), "rep"),
+            _sets_of(self.size),
+            "rep long, shingles binary",
         )
         rows = compared.join(sets, "rep").select(*members, "shingles")
         rows = rows.repartition(*BLOCK_OF).sortWithinPartitions(*BLOCK_OF)
-        self.add(rows.mapInArrow(_linked(self.percent), "a long, b long").distinct())
+        self.add(in_arrow(rows, _linked(self.percent), "a long, b long").distinct())
 
 
 def near_duplicates(

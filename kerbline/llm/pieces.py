@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from kerbline.llm.bytesets import Rolling, chunks, mixed, text_buffer
-from kerbline.llm.shared import table
+from kerbline.llm.shared import in_arrow, table
 from kerbline.llm.wordcache import IdCache, joined
 
 MARKER = "▁"
 #: Score of a character that no piece covers, below the least score of all pieces.
 PENALTY = 10.0
-TEXT_BYTES = 1 << 20
+#: Bytes of text searched at once; a search takes some 150 bytes of memory for each.
+TEXT_BYTES = 1 << 18
 
 
 @dataclass
@@ -294,10 +295,9 @@ def _encoded(model: str, vocabulary, text_name: str, names: list[str]):
         encoder = _encoder(model, vocabulary.value)
         for batch in batches:
             rows, data = text_buffer(batch[text_name])
-            found: list[np.ndarray] = []
             for a, b in chunks(rows, TEXT_BYTES):
-                found += encoder.encode([data[rows[r] : rows[r + 1]].tobytes() for r in range(a, b)])
-            yield _with_lists(batch, names, found)
+                found = encoder.encode([data[rows[r] : rows[r + 1]].tobytes() for r in range(a, b)])
+                yield _with_lists(batch.slice(a, b - a), names, found)
 
     return run
 
@@ -324,7 +324,7 @@ def encode_texts(docs: DataFrame, model: str, text_col: str = "text", ids_col: s
     fields = [StructField(n, docs.schema[c].dataType) for c, n in zip(own, names, strict=True)]
     fields.append(StructField("ids", ArrayType(IntegerType())))
     run = _encoded(model, vocabulary, names[own.index(text_col)], names)
-    return plain.mapInArrow(run, StructType(fields)).toDF(*own, ids_col)
+    return in_arrow(plain, run, StructType(fields)).toDF(*own, ids_col)
 
 
 def _decoded(vocabulary, ids_name: str, names: list[str]):
@@ -358,7 +358,7 @@ def decode_ids(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str
     fields = [StructField(n, rows.schema[c].dataType) for c, n in zip(own, names, strict=True)]
     fields.append(StructField("decoded", StringType()))
     run = _decoded(vocabulary, names[own.index(ids_col)], names)
-    return plain.mapInArrow(run, StructType(fields)).toDF(*own, text_col)
+    return in_arrow(plain, run, StructType(fields)).toDF(*own, text_col)
 
 
 def default_model() -> str:

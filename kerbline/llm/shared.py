@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,6 +52,38 @@ def reread(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows that go to Python at once, at most: texts are long, and Spark's default is 10,000.
+BATCH_ROWS = 500
+
+
+def _tidy(run):
+    """A task function that gives freed memory back when it ends: Python processes wait for the next
+    task for a while, and then would hold it beside those that work."""
+
+    @wraps(run)
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return tidy
+
+
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` with small batches.  The session's batch size is lowered, never raised;
+    the setting counts when the result is computed, so it stays."""
+    settings = df.sparkSession.conf
+    if not 0 < int(settings.get(ARROW_ROWS)) <= BATCH_ROWS:
+        settings.set(ARROW_ROWS, str(BATCH_ROWS))
+    return df.mapInArrow(_tidy(run), schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -39,7 +39,7 @@ from kerbline.llm.bytesets import (
     sliding_min,
     text_buffer,
 )
-from kerbline.llm.shared import known_id, stored, table
+from kerbline.llm.shared import in_arrow, known_id, stored, table
 
 #: Words of a window, and of the slices its anchor is chosen from.
 LENGTH = 50
@@ -223,8 +223,10 @@ def remove_repeated_passages(
     )
 
     anchors = stored(
-        base.select("did", F.col(text).alias("text")).mapInArrow(
-            _anchors_of(length), "did long, anchor long"
+        in_arrow(
+            base.select("did", F.col(text).alias("text")),
+            _anchors_of(length),
+            "did long, anchor long",
         ),
         "anchors",
     )
@@ -238,12 +240,8 @@ def remove_repeated_passages(
     known = base.join(copies, "did", "left").withColumn(
         "is_copy", F.coalesce(F.array_contains("copied", digest), F.lit(False))
     )
-    windows = (
-        known.join(todo, "did")
-        .where("not is_copy")
-        .withColumnRenamed(text, "text")
-        .mapInArrow(_candidates_of(length), "did long, window long")
-    )
+    candidates = known.join(todo, "did").where("not is_copy").withColumnRenamed(text, "text")
+    windows = in_arrow(candidates, _candidates_of(length), "did long, window long")
     repeated = windows.groupBy("window").agg(F.min("did").alias("lo"), F.max("did").alias("hi"))
     drop = (
         windows.join(repeated.where("lo < hi"), "window")
@@ -261,8 +259,8 @@ def remove_repeated_passages(
     ]
     if keep_text:
         fields.append(StructField("kept_text", StringType()))
-    cut = known.join(drop, "did", "left").mapInArrow(
-        _cut(length, text, keep_text, names), StructType(fields)
+    cut = in_arrow(
+        known.join(drop, "did", "left"), _cut(length, text, keep_text, names), StructType(fields)
     )
     return cut.toDF(*own, *(f.name for f in fields[len(own) :]))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbline.llm.bytesets import chunks, text_buffer
-from kerbline.llm.shared import shared_path, table
+from kerbline.llm.shared import in_arrow, shared_path, table
 from kerbline.llm.wordcache import word_cache
 
 BLOCK = 256
@@ -214,7 +214,7 @@ def write_token_files(
         F.xxhash64(text_col).alias("tie"),
     )
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    segments = ordered.select("doc_id", "text").mapInArrow(_segments_of(tokenizer, end), _SEGMENT)
+    segments = in_arrow(ordered.select("doc_id", "text"), _segments_of(tokenizer, end), _SEGMENT)
     segments.write.parquet(path)
 
 
@@ -270,7 +270,7 @@ def located_segments(spark: SparkSession, path: str) -> DataFrame:
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, ids`` of every document in the files of ``path``."""
-    return located_segments(spark, path).mapInArrow(_token_rows, _TOKENS)
+    return in_arrow(located_segments(spark, path), _token_rows, _TOKENS)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,6 +280,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
     write_token_files(docs, path, str(public_tokenizers.path("word_bpe_49k.json")))
-    return located_segments(spark, path).mapInArrow(
-        _digest_rows, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return in_arrow(
+        located_segments(spark, path),
+        _digest_rows,
+        "doc_id long, start long, n_tokens long, ids_crc32 long",
     )

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm.shared import shared_path, table
+from kerbline.llm.shared import in_arrow, shared_path, table
 
 #: Bytes of a record's block, and of a chunk of an HTTP body, at most.
 SEGMENT = 1 << 15
@@ -206,7 +206,7 @@ def write_archives(
     )
     rows = plain.withColumns({"key": key, "digest": digest}).join(revisits, ["key", "digest"], "left")
     rows = rows.select("page_id", "url", "html", "refers_to", F.col("refers_to").isNotNull().alias("revisit"))
-    records = rows.mapInArrow(_records_of(segment), "record binary")
+    records = in_arrow(rows, _records_of(segment), "record binary")
     lines = records.select(F.col("record").cast("string").alias("record"))
     writer = lines.write.option("lineSep", "\r\n").option("compression", "gzip")
     writer.option("maxRecordsPerFile", FILE_RECORDS).text(path)
@@ -333,8 +333,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     and digest that its record states.  A continuation without its first record is left out.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
-    single = files.mapInArrow(_parsed(False), _READ).withColumn("whole", F.lit(True))
-    parts = files.mapInArrow(_parsed(True), _READ)
+    single = in_arrow(files, _parsed(False), _READ).withColumn("whole", F.lit(True))
+    parts = in_arrow(files, _parsed(True), _READ)
     grouped = parts.groupBy("origin").agg(
         F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts"),
         F.max("total").alias("total"),
@@ -354,7 +354,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
     single = single.withColumn("block", F.array("block"))
     single = single.where("record_type <> 'continuation'").select(joined.columns)
-    return single.unionAll(joined).mapInArrow(_decoded, _DECODED)
+    return in_arrow(single.unionAll(joined), _decoded, _DECODED)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
