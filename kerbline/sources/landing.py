@@ -23,16 +23,32 @@ def _with_rescue(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType = RIDE_SCHEMA) -> DataFrame:
-    """All landed files, once.  A line that does not parse keeps its text in the rescue column."""
-    return (
-        spark.read.schema(_with_rescue(schema))
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .json(path)
-        .withColumn(INGEST_TIME, F.current_timestamp())
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines of JSON as rows.  What a line has beyond the schema's fields is kept in the rescue
+    column, as JSON; a line that does not parse, or has a wrong type, is kept there as it is."""
+    options = {"columnNameOfCorruptRecord": RESCUED}
+    fields = F.from_json("value", _with_rescue(schema), options)
+    rows = lines.filter(F.length(F.trim("value")) > 0).select("value", fields.alias("fields"))
+    known = F.array(*map(F.lit, schema.fieldNames()))
+    keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
+    unknown = F.map_filter(
+        F.from_json("value", "map<string, string>"), lambda name, _: ~F.array_contains(known, name)
+    )
+    # Only a line with other fields is parsed a second time.
+    extra = F.when(F.size(F.array_except(keys, known)) > 0, F.to_json(unknown))
+    rescued = F.coalesce(F.col(f"fields.{RESCUED}"), extra)
+    return rows.select(
+        *[F.col(f"fields.{name}").alias(name) for name in schema.fieldNames()],
+        rescued.alias(RESCUED),
+        F.current_timestamp().alias(INGEST_TIME),
     )
 
 
+def read_landing(spark: SparkSession, path: str, schema: T.StructType = RIDE_SCHEMA) -> DataFrame:
+    """All landed files, once."""
+    return _parsed(spark.read.text(path), schema)
+
+
 def stream_landing(
     spark: SparkSession,
     path: str,
@@ -44,16 +60,14 @@ def stream_landing(
     """Landed files as they arrive.  The checkpoint of the query that reads this remembers
     which files were taken; the two limits bound one micro-batch of a large backlog.  With
     ``archive`` taken files are moved there, so that listing the folder stays cheap."""
-    reader = (
-        spark.readStream.schema(_with_rescue(schema)).option("columnNameOfCorruptRecord", RESCUED)
-    )
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.json(path).withColumn(INGEST_TIME, F.current_timestamp())
+    return _parsed(reader.text(path), schema)
 
 
 def write_landing(rides: DataFrame, path: str, mode: str = "append") -> None:

@@ -77,7 +77,7 @@ def test_bad_lines(spark, warehouse):
     assert bronze[None]._rescued_data == "this is no JSON"
     assert bronze["T"].final_fare is None and bronze["T"].duration_mins is None
     assert json.loads(bronze["T"]._rescued_data) == wrong_types
-    assert bronze["X"]._rescued_data is None
+    assert json.loads(bronze["X"]._rescued_data) == {"tip": "5"}
     assert {row[0] for row in warehouse.read_silver().select("ride_id").collect()} == {"G", "X"}
     assert read_landing(spark, warehouse.landing).count() == 4
 
