@@ -160,6 +160,7 @@ class GoldTable:
     finish: Callable[[DataFrame], DataFrame] = lambda df: df
     order: Callable[[], Sequence[Column]] = tuple
     clocked: bool = False  # depends on as_of
+    small: bool = False  # has so few rows a day that a file for each day would not pay
 
     @property
     def dated(self) -> bool:
@@ -254,6 +255,7 @@ LIVE_KPIS = GoldTable(
     DRIVER_DAYS,
     distinct=("driver_id", "active_drivers"),
     order=lambda: [F.asc("event_date")],
+    small=True,
 )
 
 
@@ -318,6 +320,7 @@ STATUS_BREAKDOWN = GoldTable(
     (count_of("ride_count", "rides"),),
     PLACE_HOURS,
     order=_desc("ride_count", "event_date", "status"),
+    small=True,
 )
 
 PICKUP_DEMAND = GoldTable(
@@ -363,6 +366,7 @@ HOURLY_DEMAND = GoldTable(
     ),
     PLACE_HOURS,
     order=lambda: [F.asc("event_date"), F.asc("event_hour"), F.asc("city")],
+    small=True,
 )
 
 DRIVER_LEADERBOARD = GoldTable(

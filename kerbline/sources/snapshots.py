@@ -143,8 +143,12 @@ class StoredTable:
         """A next version in which the rows of ``days`` are those of ``df``; the files of all
         other days are shared with the current version.
 
-        ``df`` must hold rows of these days only.  A day with no rows left is removed.
+        ``df`` must hold rows of these days only.  A day with no rows left is removed.  A
+        table that is not kept by day is written as a whole, its other days as they were.
         """
+        if self.day_column is None:
+            other = ~F.coalesce(on_days(days), F.lit(False))
+            return self.replace(self.read().filter(other).unionByName(df))
         current, manifest = self._known()
         homes = manifest["days"] or dict.fromkeys(self.day_paths(current), current)
         version = self._next_version()

@@ -70,7 +70,7 @@ class Warehouse:
         return RollupLog(self.spark, f"{self.base}/rollups/{name}", ROLLUPS[name])
 
     def store(self, table: GoldTable) -> StoredTable:
-        day = "event_date" if table.dated else None
+        day = "event_date" if table.dated and not table.small else None
         return StoredTable(self.spark, f"{self.base}/gold/{table.name}", day)
 
     def add_rides(self, rollup: Rollup, rides: DataFrame, batch_id: int) -> None:
@@ -141,10 +141,10 @@ class Warehouse:
                 continue
             full = f"{database}.{name}"
             version = store.pin(f"catalog-{database}")
-            days = store.day_paths(version) if table.dated else {}
+            days = store.day_paths(version) if store.day_column else {}
             schema = store.read(version).schema
             run(f"DROP TABLE IF EXISTS {full}")  # external: only the catalog entry goes
-            if table.dated:
+            if store.day_column:
                 columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
                 run(
                     f"CREATE TABLE {full} ({columns}) USING parquet PARTITIONED BY (event_date) "
