@@ -64,22 +64,25 @@ def _chosen(hashes: Column, window: int) -> Column:
 
 
 def fingerprint_of(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The chosen hashes of a text and their places, ``array<struct<hash, place>>``, by place.
+    """The chosen hashes of a text and their places, ``struct<hashes, places>`` of arrays, by place.
 
     Words are runs without white space.  A null text and one without words have an empty fingerprint.
     """
     words = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
     return _let(
         _grams(words, gram),
-        lambda hashes: F.transform(
+        lambda hashes: _let(
             _chosen(hashes, window),
-            lambda p: F.struct(F.element_at(hashes, p + 1).alias("hash"), p.alias("place")),
+            lambda places: F.struct(
+                F.transform(places, lambda p: F.element_at(hashes, p + 1)).alias("hashes"),
+                places.alias("places"),
+            ),
         ),
     )
 
 
 def hashes_of(fingerprint: Column) -> Column:
-    return F.array_distinct(F.transform(fingerprint, lambda x: x["hash"]))
+    return F.array_distinct(fingerprint["hashes"])
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -98,7 +101,12 @@ def likeness(left: Column, right: Column) -> Column:
 def as_text(fingerprint: Column) -> Column:
     """A fingerprint in print: hash in hex and place of each choice."""
     return F.array_join(
-        F.transform(fingerprint, lambda x: F.concat(F.lower(F.hex(x["hash"])), F.lit("@"), x["place"])), " "
+        F.zip_with(
+            fingerprint["hashes"],
+            fingerprint["places"],
+            lambda h, p: F.concat(F.lower(F.hex(h)), F.lit("@"), p.cast("string")),
+        ),
+        " ",
     )
 
 
@@ -107,14 +115,18 @@ def matches(left: DataFrame, right: DataFrame, id_col: str = "doc_id", print_col
     right_id, right_place, hash``, one row for each pair of choices."""
 
     def choices(rows: DataFrame, side: str) -> DataFrame:
-        rows = rows.select(F.col(id_col).alias(f"{side}_id"), F.explode(print_col).alias("x"))
-        return rows.select(f"{side}_id", F.col("x.place").alias(f"{side}_place"), F.col("x.hash").alias("hash"))
+        pairs = F.arrays_zip(F.col(f"{print_col}.hashes"), F.col(f"{print_col}.places"))
+        rows = rows.select(F.col(id_col).alias(f"{side}_id"), F.explode(pairs).alias("x"))
+        return rows.select(
+            f"{side}_id", F.col("x.places").alias(f"{side}_place"), F.col("x.hashes").alias("hash")
+        )
 
     return choices(left, "left").join(choices(right, "right"), "hash")
 
 
-#: Ranges of ids by quantile, and rows that a bucket of neighbouring ids should have.
-RANGES, BUCKET_ROWS = 100, 2000
+#: Ranges of ids by quantile, rows that a bucket of neighbouring ids should have, and steps that a
+#: range is cut into at most.
+RANGES, BUCKET_ROWS, MOST_STEPS = 100, 2000, 500
 
 
 def with_next(rows: DataFrame, order: list[str], carried: list[str]) -> DataFrame:
@@ -124,7 +136,8 @@ def with_next(rows: DataFrame, order: list[str], carried: list[str]) -> DataFram
     The first column of ``order`` is a long and never null.  Rows are dealt into buckets of
     neighbouring values, about ``BUCKET_ROWS`` each: quantiles cut the values into ranges, and
     each range into equal steps.  So no task sees all rows, and rows move once.  Only
-    the first row of each bucket is looked up for the bucket before it.  Rows with equal values
+    the first row of each bucket is looked up for the bucket before it, by a table of a row for each
+    bucket, of which there are ``RANGES * MOST_STEPS`` at most.  Rows with equal values
     of the first column share a bucket.
     """
     value = F.col(order[0])
@@ -136,13 +149,14 @@ def with_next(rows: DataFrame, order: list[str], carried: list[str]) -> DataFram
         F.percentile_approx(value, marks).alias("marks"),
     ).first()
     bounds = sorted({found["lo"] or 0, *(found["marks"] or [])})
-    steps = max(1, found["many"] // (RANGES * BUCKET_ROWS))
+    steps = min(MOST_STEPS, max(1, found["many"] // (RANGES * BUCKET_ROWS)))
     ends = [*bounds[1:], (found["hi"] or 0) + 1]
     lows, spans = F.array(*map(F.lit, bounds)), F.array(*(F.lit(float(max(1, e - b))) for b, e in zip(bounds, ends, strict=True)))
     part = F.size(F.filter(lows, lambda b: b <= value))
     share = (value - F.element_at(lows, part)) / F.element_at(spans, part)
     step = F.least(F.floor(share * steps), F.lit(steps - 1))
-    dealt = rows.withColumn("bucket", (part * steps + step).cast("long"))
+    bucket = (part * steps + step).cast("long")
+    dealt = rows.withColumn("bucket", bucket)
     falling = [F.col(c).desc_nulls_last() for c in order]
 
     # The first row of each bucket, for the bucket of larger values before it.  One row a bucket.
@@ -156,7 +170,7 @@ def with_next(rows: DataFrame, order: list[str], carried: list[str]) -> DataFram
     condition = same[0]
     for one in same[1:]:
         condition = condition & one
-    heads = rows.join(keys, condition).select(
+    heads = rows.join(F.broadcast(keys), condition).select(
         F.col("for_bucket").alias("bucket"), F.struct(*carried).alias("head")
     )
     heads = heads.groupBy("bucket").agg(F.first("head").alias("head"))
@@ -182,14 +196,20 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
         F.coalesce("doc_id", F.lit(-(2**63))).alias("rank"),
         F.xxhash64("text").alias("tie"),
-        fingerprint_of(F.col("text")).alias("print"),
     )
-    rows = with_next(docs, ["rank", "tie"], ["text", "print"])
+    # Texts move once, without their fingerprints: those take more room than time.
+    rows = with_next(docs, ["rank", "tie"], ["text"])
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), size - half), F.substring("next.text", F.lit(1), half))
     rows = rows.withColumns({"n_chars": size.cast("long"), "edited": edited})
-    rows = rows.withColumn("edited_print", fingerprint_of(F.col("edited")))
+    rows = rows.withColumns(
+        {
+            "print": fingerprint_of(F.col("text")),
+            "next_print": fingerprint_of(F.col("next.text")),
+            "edited_print": fingerprint_of(F.col("edited")),
+        }
+    )
     return rows.select(
         "doc_id",
         "n_chars",
@@ -197,5 +217,5 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_text(F.col("print")).alias("fingerprint"),
         as_text(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
-        likeness(F.col("print"), F.col("next.print")).alias("near_next"),
+        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
     )

@@ -104,9 +104,9 @@ def test_the_rightmost_least_hash_of_each_window_is_chosen(spark):
         fingerprint_of(F.col("text")).alias("print"), winnowing._grams(words, GRAM).alias("all")
     ).collect()
     for row in found:
-        places = [x["place"] for x in row["print"]]
+        places = row["print"]["places"]
         assert places == _print_by_hand(row["all"])
-        assert [x["hash"] for x in row["print"]] == [row["all"][p] for p in places]
+        assert row["print"]["hashes"] == [row["all"][p] for p in places]
 
 
 def test_a_shared_passage_of_the_guaranteed_length_is_found(spark):
