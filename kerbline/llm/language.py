@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from kerbline.llm.bytesets import chunks, mixed, text_buffer
-from kerbline.llm.shared import in_arrow, table
+from kerbline.llm.shared import in_arrow, stored, table
 
 #: Training texts of each language at most.
 SAMPLE = 400
 BUCKETS = 4096
+#: Labels whose counts are sent to all tasks, at most.
+MOST_SENT_LABELS = 10_000
 #: Texts worked on at once.
 ROWS = 256
 #: Longest n-gram, in bytes.
@@ -194,10 +196,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ).where(~is_held_out("id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     draw = F.xxhash64("id", "text")
     counts = known.groupBy("lang").agg(F.count("*").alias("many"))
+    counts = stored(counts, "labels")
+    # A row for each label.  Should labels be that many, they are joined by shuffling.
+    some = F.broadcast(counts) if counts.count() <= MOST_SENT_LABELS else counts
     share = 2 * SAMPLE / F.col("many")
-    drawn = known.join(F.broadcast(counts), "lang").where(
-        F.pmod(draw, F.lit(1 << 20)) < share * (1 << 20)
-    )
+    drawn = known.join(some, "lang").where(F.pmod(draw, F.lit(1 << 20)) < share * (1 << 20))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(draw))
     chosen = drawn.withColumn("turn", turn).where(F.col("turn") <= SAMPLE).select("lang", "text")
     rows: dict[str, list[np.ndarray]] = {}

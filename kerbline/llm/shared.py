@@ -28,7 +28,8 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
     if app not in _local:
         _local[app] = tempfile.mkdtemp(prefix="kerbline-llm-")

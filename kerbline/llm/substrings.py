@@ -4,7 +4,7 @@ Every window of ``length`` words gets a Rabin-Karp hash.  Windows are counted in
 that also start in a document of smaller id merge into maximal removal intervals.
 
 Most windows occur once, so they are not worth a shuffle.  Each window therefore has an anchor:
-the least hash among its inner slices of ``INNER`` words.  Equal windows have equal anchors, and
+the least hash among its inner slices of ``INNER_SHARE`` of its words.  Equal windows have equal anchors, and
 neighbouring windows mostly share one, so there are some fifteen times fewer anchors than
 windows.  Only windows whose anchor occurs in two documents are counted.  All counts are minima
 and maxima, which Spark combines before the shuffle, so that a passage in a third of all
