@@ -344,25 +344,21 @@ class _Join:
         return in_arrow(both, _close, "a long, b long")
 
     def with_least(self) -> None:
-        """Everyone with the least member of its buckets that looks near."""
-        pairs = self.members.where("least < rep").select(
-            F.col("least").alias("a"), F.col("rep").alias("b")
-        )
-        near = self.close(pairs.distinct())
-        self.add(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        """Everyone with one of the least members of its buckets: that which is least in most."""
+        met = self.members.where("least < rep").groupBy("rep", "least").agg(F.count("*").alias("keys"))
+        best = F.max_by("least", F.struct("keys", -F.col("least")))
+        pairs = met.groupBy(F.col("rep").alias("b")).agg(best.alias("a"))
+        self.add(self.close(pairs.select("a", "b")))
 
     def mixed_buckets(self, rows: DataFrame) -> DataFrame:
-        """Rows of buckets that hold several components."""
+        """Rows of buckets that hold several components, with a member picked by hash."""
         several = (
             rows.groupBy("bucket")
             .agg(
                 F.min("component").alias("c_lo"),
                 F.max("component").alias("c_hi"),
                 F.count("*").alias("many"),
-                *(
-                    F.min_by("rep", F.xxhash64("rep", F.lit(t))).alias(f"other{t}")
-                    for t in range(SECOND_TRY)
-                ),
+                F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "bucket")).alias("other"),
             )
             .where("c_lo < c_hi")
         )
@@ -370,24 +366,13 @@ class _Join:
 
     def with_some(self) -> None:
         """Everyone with a few members of its buckets that are in other components."""
-        rows = stored(self.located(), "located")
-        others = self.mixed_buckets(rows).select(
-            "rep", F.explode(F.array(*(f"other{t}" for t in range(SECOND_TRY)))).alias("other")
-        )
-        pairs = others.where("rep <> other").select(
-            F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
-        )
-        place = rows.select("rep", "component").distinct()
-        pairs = (
-            pairs.distinct()
-            .join(place.toDF("a", "a_component"), "a")
-            .join(place.toDF("b", "b_component"), "b")
-            .where("a_component <> b_component")
-            .select("a", "b")
-        )
-        order = Window.partitionBy("b").orderBy(F.xxhash64("a", "b"))
-        chosen = self.close(pairs).withColumn("turn", F.row_number().over(order))
-        self.add(chosen.where(F.col("turn") <= SECOND_TRY).select("a", "b"))
+        rows = self.mixed_buckets(stored(self.located(), "located"))
+        apart = rows.where("component <> other.component")
+        pairs = apart.select("rep", F.col("other.rep").alias("other")).distinct()
+        order = Window.partitionBy("rep").orderBy(F.xxhash64("rep", "other"))
+        some = pairs.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= SECOND_TRY)
+        both = some.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
+        self.add(self.close(both.distinct()))
 
     def with_all(self) -> None:
         """All pairs of different components that share a bucket."""
