@@ -27,7 +27,8 @@ class Queues:
     """First-in-first-out queues of positions, by symbol; what they hold beyond a bound of bytes
     is on disk."""
 
-    def __init__(self, symbols: int, memory: int = MEMORY):
+    def __init__(self, symbols: int, kind: np.dtype, memory: int = MEMORY):
+        self._kind = kind
         self._parts: list[list] = [[] for _ in range(symbols)]
         self._memory, self._held = memory, 0
         self._file = None
@@ -56,14 +57,24 @@ class Queues:
         if isinstance(part, np.ndarray):
             return part
         self._file.seek(part[0])
-        return np.fromfile(self._file, np.int64, part[1])
+        return np.fromfile(self._file, self._kind, part[1])
 
     def batches(self, symbol: int) -> Iterator[np.ndarray]:
         """What the queue holds and what is put in meanwhile, in order; everything stays in."""
-        seen = 0
-        while seen < len(self._parts[symbol]):
-            yield self._load(self._parts[symbol][seen])
-            seen += 1
+        parts, seen = self._parts[symbol], 0
+        while seen < len(parts):
+            # Small parts that wait are taken together, and stay together.
+            end, size = seen, 0
+            while end < len(parts) and (end == seen or size < self._memory // 4):
+                size += parts[end].nbytes if isinstance(parts[end], np.ndarray) else parts[end][1] * self._kind.itemsize
+                end += 1
+            found = [self._load(part) for part in parts[seen:end]]
+            together = found[0] if len(found) == 1 else np.concatenate(found)
+            if end > seen + 1 and all(isinstance(part, np.ndarray) for part in parts[seen:end]):
+                parts[seen:end] = [together]
+                end = seen + 1
+            seen = end
+            yield together
 
     def backwards(self, symbol: int) -> Iterator[np.ndarray]:
         for part in reversed(self._parts[symbol]):
@@ -93,14 +104,15 @@ def _before(positions: np.ndarray, rising: np.ndarray, kind: bool) -> np.ndarray
 
 def _induce(text: np.ndarray, rising: np.ndarray, starts: np.ndarray, symbols: int, memory: int):
     """Yields all positions in order, given those of rising starts in order of their symbols."""
-    falling_queues, rising_queues = Queues(symbols, memory), Queues(symbols, memory)
+    falling_queues = Queues(symbols, starts.dtype, memory)
+    rising_queues = Queues(symbols, starts.dtype, memory)
     try:
         cuts = np.searchsorted(text[starts], np.arange(symbols + 1))
         for symbol in range(symbols):
             for batch in falling_queues.batches(symbol):
                 _deal(falling_queues, text, _before(batch, rising, False))
             _deal(falling_queues, text, _before(starts[cuts[symbol] : cuts[symbol + 1]], rising, False))
-        rising_queues.put(int(text[-1]), np.array([len(text) - 1]))
+        rising_queues.put(int(text[-1]), np.array([len(text) - 1], starts.dtype))
         for symbol in reversed(range(symbols)):
             for batch in rising_queues.batches(symbol):
                 _deal(rising_queues, text, _before(batch, rising, True))
@@ -150,10 +162,10 @@ def suffix_order(text: np.ndarray, depth: int, symbols: int = 258, memory: int =
         behind = np.zeros_like(names)
         behind[:-reach] = names[reach:]
         key = names * (len(names) + 1) + behind
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.ones(len(key), np.int64)
         fresh[1:] = key[order][1:] != key[order][:-1]
         names[order] = np.cumsum(fresh)
         reach *= 2
-    starts = starts[np.argsort(names, kind="stable")]
+    starts = starts[np.argsort(names)]
     yield from _induce(text, rising, starts, symbols, memory)

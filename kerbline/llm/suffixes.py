@@ -31,12 +31,13 @@ from pyspark.sql.types import (
 
 from kerbline.llm.bytesets import Rolling, chunks, last_starts, mixed, sliding_min, text_buffer
 from kerbline.llm.induced import suffix_order
-from kerbline.llm.shared import known_id, stored, table
+from kerbline.llm.shared import in_arrow, known_id, stored, table
 
 LENGTH = 100
-INNER = 12
-#: Bytes of pieces that a shard should have; a shard of one frequent anchor may have more.
-SHARD_BYTES = 1 << 22
+INNER = 24
+#: Bytes of pieces that a task should get, and that are sorted at once; pieces with one frequent anchor
+#: may be more, and are then sorted with queues on disk.
+TASK_BYTES, SORT_BYTES = 1 << 25, 1 << 19
 #: Bytes of distinct pieces that a task remembers in order to send equal ones once.
 MEMORY = 1 << 25
 
@@ -46,7 +47,7 @@ _PLACE = np.uint64((1 << 24) - 1)
 
 def _anchors(rows: np.ndarray, data: np.ndarray, length: int, ties: bool = False):
     """Of each string of ``length`` bytes in the rows: where it starts, its row, its anchor and, if
-    asked for, whether the anchor stands in it more than once.
+    asked for, whether the anchor stands in it, or in it and the one before, more than once.
 
     The least hash is found by its high bits, and of equal ones the leftmost is taken.
     """
@@ -68,6 +69,9 @@ def _anchors(rows: np.ndarray, data: np.ndarray, length: int, ties: bool = False
     if ties:
         right = _PLACE - (sliding_min(high | (_PLACE - place), width)[at] & _PLACE)
         again = left != right
+        # Or in its neighbour, at another place, if no string holds both.
+        same = (hashes[where[1:]] == hashes[where[:-1]]) & (row[1:] == row[:-1])
+        again[1:] |= same & (where[1:] != where[:-1])
     return at, row, hashes[where], again
 
 
@@ -191,23 +195,66 @@ _MARKS = "digest binary, first_did long, first_start long, repeats array<int>"
 
 
 def _marks_of(length: int):
-    """For each distinct piece of a shard its earliest place, and which of its strings, as ranges,
-    also start earlier than that elsewhere."""
+    """For each distinct piece its earliest place, and which of its strings, as ranges, also start
+    earlier than that elsewhere.  Rows arrive sorted by anchor; a shard is a stretch of them."""
+
+    def shard(known: dict[bytes, tuple], several: dict[int, int]):
+        # A piece that is the only one with its anchor, which stands in it once, repeats nothing.
+        alone = [digest for digest, x in known.items() if several[x[3]] == 1]
+        unlike = _unlike([known[digest] for digest in alone], length)
+        plain = {digest: known.pop(digest) for digest, good in zip(alone, unlike, strict=True) if good}
+        if plain:
+            yield _unmarked(plain)
+        if known:
+            yield _marked(known, length)
 
     def run(batches):
         known: dict[bytes, tuple] = {}
+        several: dict[int, int] = {}
+        held, last = 0, None
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("digest", "did", "start", "piece")]
-            for digest, did, start, piece in zip(*columns, strict=True):
+            columns = [batch[c].to_pylist() for c in ("digest", "did", "start", "piece", "anchor")]
+            for digest, did, start, piece, anchor in zip(*columns, strict=True):
+                if anchor != last and held > SORT_BYTES:
+                    yield from shard(known, several)
+                    known, several, held = {}, {}, 0
+                last = anchor
                 old = known.get(digest)
+                if old is None:
+                    several[anchor] = several.get(anchor, 0) + 1
+                    held += len(piece)
                 if old is None or (did, start) < old[:2]:
-                    known[digest] = (did, start, piece)
+                    known[digest] = (did, start, piece, anchor)
         if known:
-            yield _marked(known, length)
+            yield from shard(known, several)
 
     return run
 
 
+def _unlike(pieces: list[tuple], length: int) -> np.ndarray:
+    """Whether the anchor stands in each piece but once."""
+    if not pieces:
+        return np.zeros(0, bool)
+    raw = np.frombuffer(b"".join(x[2] for x in pieces), np.uint8)
+    sizes = np.array([len(x[2]) for x in pieces], np.int64)
+    anchors = np.array([x[3] for x in pieces], np.int64).view(np.uint64)
+    hashes = mixed(Rolling(raw.astype(np.uint64) + np.uint64(1)).windows(min(INNER, length)))
+    whole = np.repeat(np.arange(len(sizes)), sizes)[: len(hashes)]
+    # Those across two pieces count too: then a piece is sorted in vain.
+    return np.bincount(whole[hashes == anchors[whole]], minlength=len(sizes)) <= 1
+
+
+def _unmarked(known: dict[bytes, tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "digest": pa.array(list(known), pa.binary()),
+            "first_did": pa.array([x[0] for x in known.values()], pa.int64()),
+            "first_start": pa.array([x[1] for x in known.values()], pa.int64()),
+            "repeats": pa.array([[]] * len(known), pa.list_(pa.int32())),
+        }
+    )
+
+
 def _marked(known: dict[bytes, tuple], length: int) -> pa.RecordBatch:
     digests = list(known)
     dids = np.array([x[0] for x in known.values()], np.int64)
@@ -353,8 +400,10 @@ def remove_repeated_strings(
     )
 
     anchors = stored(
-        base.select("did", filled.alias("text")).mapInArrow(
-            _anchors_of(length), "did long, anchor long, again boolean"
+        in_arrow(
+            base.select("did", filled.alias("text")),
+            _anchors_of(length),
+            "did long, anchor long, again boolean",
         ),
         "anchors",
     )
@@ -373,18 +422,15 @@ def remove_repeated_strings(
     known = base.join(copies, "did", "left").withColumns(
         {"is_copy": F.coalesce(F.array_contains("copied", digest), F.lit(False)), "tie": F.xxhash64(text)}
     )
-    cut = stored(
-        known.join(todo, "did")
-        .where("not is_copy")
-        .select("did", "tie", filled.alias("text"), "anchors")
-        .mapInArrow(_cut_of(length), _CUT),
-        "pieces",
-    )
+    wanted = known.join(todo, "did").where("not is_copy")
+    wanted = wanted.select("did", "tie", filled.alias("text"), "anchors")
+    cut = stored(in_arrow(wanted, _cut_of(length), _CUT), "pieces")
     pieces = cut.where("piece is not null").select("digest", "anchor", "piece", "did", "start")
     total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(usual, -(-total // SHARD_BYTES))
-    marks = pieces.repartition(shards, "anchor").mapInArrow(_marks_of(length), _MARKS)
+    tasks = max(usual, -(-total // TASK_BYTES))
+    dealt = pieces.repartition(tasks, "anchor").sortWithinPartitions("anchor")
+    marks = in_arrow(dealt, _marks_of(length), _MARKS)
     # A piece in another place than its earliest is a repeat as a whole.
     places = cut.where("piece is null").select("digest", "did", "start", "tie", "strings")
     found = places.join(marks, "digest")
@@ -416,8 +462,10 @@ def remove_repeated_strings(
     ]
     if keep_text:
         fields.append(StructField("kept_bytes", BinaryType()))
-    kept = known.join(drop, "did", "left").mapInArrow(
-        _kept_of(length, text, keep_text, names), StructType(fields)
+    kept = in_arrow(
+        known.join(drop, "did", "left"),
+        _kept_of(length, text, keep_text, names),
+        StructType(fields),
     )
     return kept.toDF(*own, *(f.name for f in fields[len(own) :]))
 

@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from kerbline.llm import neardup
+from kerbline.llm import neardup, suffixes
 from kerbline.llm.components import components
 from kerbline.llm.induced import suffix_order
 from kerbline.llm.neardup import near_duplicates
@@ -84,8 +84,9 @@ def _strings(rows, length):
     return {doc: sorted(lines, key=repr) for doc, lines in expected.items()}
 
 
-@pytest.mark.parametrize("length", [100, 20])
-def test_strings_as_by_hand(spark, length):
+@pytest.mark.parametrize("length, at_once", [(100, 1 << 19), (20, 1 << 19), (100, 300)])
+def test_strings_as_by_hand(spark, length, at_once, monkeypatch):
+    monkeypatch.setattr(suffixes, "SORT_BYTES", at_once)
     rows = documents(3)
     kept = remove_repeated_strings(
         spark.createDataFrame(rows, SCHEMA).repartition(3), length=length, keep_text=True
