@@ -118,15 +118,15 @@ _CUT = "digest binary, anchor long, piece binary, did long, start long, tie long
 
 
 def _cut_of(length: int):
-    """Pieces (each distinct one of the task, with its earliest place) and places of pieces."""
+    """Pieces (each distinct one of the task, with its earliest place and, as ``strings``, how many
+    it has) and places of pieces (``strings`` long)."""
 
     def run(batches):
         known: dict[bytes, tuple] = {}
         held = 0
 
         def pieces():
-            columns = list(zip(*known.values(), strict=True)) or [[]] * 4
-            anchors, texts, dids, starts = columns
+            anchors, texts, dids, starts, times = zip(*known.values(), strict=True)
             n = len(known)
             return pa.RecordBatch.from_pydict(
                 {
@@ -136,7 +136,7 @@ def _cut_of(length: int):
                     "did": pa.array(dids, pa.int64()),
                     "start": pa.array(starts, pa.int64()),
                     "tie": pa.nulls(n, pa.int64()),
-                    "strings": pa.nulls(n, pa.int32()),
+                    "strings": pa.array(times, pa.int32()),
                 }
             )
 
@@ -162,9 +162,10 @@ def _cut_of(length: int):
                         digest = hashlib.blake2b(text, digest_size=16).digest()
                         place = (doc, low - shift)
                         old = known.get(digest)
-                        if old is None or place < old[2:]:
-                            known[digest] = (int(anchor[f].view(np.int64)), text, *place)
-                            held += len(text) if old is None else 0
+                        held += len(text) if old is None else 0
+                        times = 1 if old is None else old[4] + 1
+                        first = place if old is None else min(place, old[2:4])
+                        known[digest] = (int(anchor[f].view(np.int64)), text, *first, times)
                         digests.append(digest)
                         dids.append(doc)
                         places.append(place[1])
@@ -203,6 +204,8 @@ def _marks_of(length: int):
         alone = [digest for digest, x in known.items() if several[x[3]] == 1]
         unlike = _unlike([known[digest] for digest in alone], length)
         plain = {digest: known.pop(digest) for digest, good in zip(alone, unlike, strict=True) if good}
+        # Nothing is told of a piece in one place that repeats nothing.
+        plain = {digest: x for digest, x in plain.items() if x[4] > 1}
         if plain:
             yield _unmarked(plain)
         if known:
@@ -213,18 +216,21 @@ def _marks_of(length: int):
         several: dict[int, int] = {}
         held, last = 0, None
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("digest", "did", "start", "piece", "anchor")]
-            for digest, did, start, piece, anchor in zip(*columns, strict=True):
+            columns = [batch[c].to_pylist() for c in ("did", "start", "piece", "anchor", "strings")]
+            for did, start, piece, anchor, times in zip(*columns, strict=True):
                 if anchor != last and held > SORT_BYTES:
                     yield from shard(known, several)
                     known, several, held = {}, {}, 0
                 last = anchor
+                digest = hashlib.blake2b(piece, digest_size=16).digest()
                 old = known.get(digest)
                 if old is None:
                     several[anchor] = several.get(anchor, 0) + 1
                     held += len(piece)
-                if old is None or (did, start) < old[:2]:
-                    known[digest] = (did, start, piece, anchor)
+                    known[digest] = (did, start, piece, anchor, times)
+                else:
+                    first = min((did, start), old[:2])
+                    known[digest] = (*first, piece, anchor, old[4] + times)
         if known:
             yield from shard(known, several)
 
@@ -309,7 +315,8 @@ def _marked(known: dict[bytes, tuple], length: int) -> pa.RecordBatch:
         repeats.append(
             np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]]))).tolist() if mine.any() else []
         )
-    return pa.RecordBatch.from_pydict(
+    told = [bool(r) or x[4] > 1 for r, x in zip(repeats, known.values(), strict=True)]
+    rows = pa.RecordBatch.from_pydict(
         {
             "digest": pa.array(digests, pa.binary()),
             "first_did": pa.array(dids),
@@ -317,6 +324,7 @@ def _marked(known: dict[bytes, tuple], length: int) -> pa.RecordBatch:
             "repeats": pa.array(repeats, pa.list_(pa.int32())),
         }
     )
+    return rows.filter(pa.array(told))
 
 
 def _kept_of(length: int, text_name: str, keep_text: bool, names: list[str]):
@@ -425,7 +433,7 @@ def remove_repeated_strings(
     wanted = known.join(todo, "did").where("not is_copy")
     wanted = wanted.select("did", "tie", filled.alias("text"), "anchors")
     cut = stored(in_arrow(wanted, _cut_of(length), _CUT), "pieces")
-    pieces = cut.where("piece is not null").select("digest", "anchor", "piece", "did", "start")
+    pieces = cut.where("piece is not null").select("anchor", "piece", "did", "start", "strings")
     total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(usual, -(-total // TASK_BYTES))
