@@ -7,6 +7,11 @@ pieces, a piece for each stretch of neighbouring strings with one anchor; pieces
 anchors meet in one shard.  A shard sorts the suffixes of its pieces by external induced
 sorting; strings that agree are then neighbours, and all but the earliest are marked.
 
+No anchor brings more than ``MOST_BYTES`` of distinct pieces to a shard.  Pieces of one that would are
+cut again, by the least hash among longer inner strings, which equal strings share too; then by still
+longer ones, and at last by the whole string, each string a piece.  What a piece's parts repeat is
+what the piece repeats, so this is exact.
+
 Equal pieces count once, and combine in the tasks that cut them, so a passage in a third of all texts
 sends a row a task.  Texts that are copies as a whole are not cut at all.
 """
@@ -29,15 +34,15 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from kerbline.llm.bytesets import Rolling, chunks, last_starts, mixed, sliding_min, text_buffer
+from kerbline.llm.bytesets import CHUNK_BYTES, Rolling, chunks, last_starts, mixed, sliding_min, text_buffer
 from kerbline.llm.induced import suffix_order
 from kerbline.llm.shared import in_arrow, known_id, stored, table
 
 LENGTH = 100
 INNER = 24
-#: Bytes of pieces that a task should get, and that are sorted at once; pieces with one frequent anchor
-#: may be more, and are then sorted with queues on disk.
-TASK_BYTES, SORT_BYTES = 1 << 25, 1 << 19
+#: Bytes of pieces that a task should get, and that are sorted at once, but for the last anchor's; and
+#: bytes of distinct pieces that one anchor may have.
+TASK_BYTES, SORT_BYTES, MOST_BYTES = 1 << 25, 1 << 19, 1 << 21
 #: Bytes of distinct pieces that a task remembers in order to send equal ones once.
 MEMORY = 1 << 25
 
@@ -45,7 +50,7 @@ MEMORY = 1 << 25
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def _anchors(rows: np.ndarray, data: np.ndarray, length: int, ties: bool = False):
+def _anchors(rows: np.ndarray, data: np.ndarray, length: int, ties: bool = False, inner: int = INNER):
     """Of each string of ``length`` bytes in the rows: where it starts, its row, its anchor and, if
     asked for, whether the anchor stands in it, or in it and the one before, more than once.
 
@@ -53,7 +58,7 @@ def _anchors(rows: np.ndarray, data: np.ndarray, length: int, ties: bool = False
     """
     part = data[rows[0] : rows[-1]]
     first = rows - rows[0]
-    inner = min(INNER, length)
+    inner = min(inner, length)
     if len(part) < length:
         none = np.zeros(0, np.int64)
         return none, none, none.view(np.uint64), none.astype(bool)
@@ -192,17 +197,118 @@ def _cut_of(length: int):
     return run
 
 
+def _finer(length: int) -> list[int]:
+    """Sizes of the inner strings by which pieces of frequent anchors are cut again, one after another."""
+    inner = min(INNER, length)
+    return sorted({(inner + length) // 2, (inner + 3 * length) // 4, length})
+
+
+def _stretches(rows: np.ndarray, length: int):
+    """Edges of rows to be worked on at once, the first row and where in it they begin.  A row of more
+    than a chunk comes in stretches, each string in one of them."""
+    for a, b in chunks(rows):
+        low, high = int(rows[a]), int(rows[b])
+        if b > a + 1 or high - low <= CHUNK_BYTES:
+            yield rows[a : b + 1], a, 0
+            continue
+        for at in range(low, high - length + 1, CHUNK_BYTES):
+            yield np.array([at, min(high, at + CHUNK_BYTES + length - 1)]), a, at - low
+
+
+#: Places that go back from Python at once.
+PLACES = 1 << 14
+_PARTS = "digest binary, anchor long, piece binary, did long, start long, strings int, whole binary, low int"
+
+
+def _parts_of(length: int, inner: int):
+    """Parts of pieces (each distinct one of the task, as ``_cut_of`` gives pieces) and, for each part of
+    a piece, the digest of the piece as ``whole`` and where in it the part is.  ``did, start`` are
+    those of the part at the piece's earliest place."""
+
+    def run(batches):
+        known: dict[bytes, tuple] = {}
+        held = 0
+
+        def parts():
+            anchors, texts, dids, starts, times = zip(*known.values(), strict=True)
+            n = len(known)
+            return pa.RecordBatch.from_pydict(
+                {
+                    "digest": pa.array(list(known), pa.binary()),
+                    "anchor": pa.array(anchors, pa.int64()),
+                    "piece": pa.array(texts, pa.binary()),
+                    "did": pa.array(dids, pa.int64()),
+                    "start": pa.array(starts, pa.int64()),
+                    "strings": pa.array(times, pa.int32()),
+                    "whole": pa.nulls(n, pa.binary()),
+                    "low": pa.nulls(n, pa.int32()),
+                }
+            )
+
+        def found(places):
+            digests, dids, starts, counts, wholes, lows = zip(*places, strict=True)
+            n = len(places)
+            return pa.RecordBatch.from_pydict(
+                {
+                    "digest": pa.array(digests, pa.binary()),
+                    "anchor": pa.nulls(n, pa.int64()),
+                    "piece": pa.nulls(n, pa.binary()),
+                    "did": pa.array(dids, pa.int64()),
+                    "start": pa.array(starts, pa.int64()),
+                    "strings": pa.array(counts, pa.int32()),
+                    "whole": pa.array(wholes, pa.binary()),
+                    "low": pa.array(lows, pa.int32()),
+                }
+            )
+
+        for batch in batches:
+            rows, data = text_buffer(batch["piece"])
+            columns = [batch[c].to_pylist() for c in ("digest", "did", "start")]
+            for edges, first_row, shift in _stretches(rows, length):
+                base = int(edges[0])
+                at, row, anchor, _ = _anchors(edges, data, length, inner=inner)
+                if inner == length:
+                    starts, ends = np.arange(len(at)), np.arange(1, len(at) + 1)
+                else:
+                    starts, ends = _runs(at, row, anchor)
+                places = []
+                for f, g in zip(starts.tolist(), ends.tolist(), strict=True):
+                    whole, did, start = (column[first_row + int(row[f])] for column in columns)
+                    low = base + int(at[f])
+                    text = data[low : low + g - f + length - 1].tobytes()
+                    digest = hashlib.blake2b(text, digest_size=16).digest()
+                    offset = low - int(edges[row[f]]) + shift
+                    old = known.get(digest)
+                    held += len(text) if old is None else 0
+                    place = (did, start + offset)
+                    first = place if old is None else min(place, old[2:4])
+                    known[digest] = (int(anchor[f].view(np.int64)), text, *first, 1 if old is None else old[4] + 1)
+                    places.append((digest, *place, g - f, whole, offset))
+                    if len(places) == PLACES:
+                        yield found(places)
+                        places = []
+                if places:
+                    yield found(places)
+                if held > MEMORY:
+                    yield parts()
+                    known, held = {}, 0
+        if known:
+            yield parts()
+
+    return run
+
+
 _MARKS = "digest binary, first_did long, first_start long, repeats array<int>"
 
 
-def _marks_of(length: int):
+def _marks_of(length: int, inner: int = INNER):
     """For each distinct piece its earliest place, and which of its strings, as ranges, also start
     earlier than that elsewhere.  Rows arrive sorted by anchor; a shard is a stretch of them."""
 
     def shard(known: dict[bytes, tuple], several: dict[int, int]):
         # A piece that is the only one with its anchor, which stands in it once, repeats nothing.
         alone = [digest for digest, x in known.items() if several[x[3]] == 1]
-        unlike = _unlike([known[digest] for digest in alone], length)
+        unlike = _unlike([known[digest] for digest in alone], min(inner, length))
         plain = {digest: known.pop(digest) for digest, good in zip(alone, unlike, strict=True) if good}
         # Nothing is told of a piece in one place that repeats nothing.
         plain = {digest: x for digest, x in plain.items() if x[4] > 1}
@@ -237,14 +343,14 @@ def _marks_of(length: int):
     return run
 
 
-def _unlike(pieces: list[tuple], length: int) -> np.ndarray:
+def _unlike(pieces: list[tuple], inner: int) -> np.ndarray:
     """Whether the anchor stands in each piece but once."""
     if not pieces:
         return np.zeros(0, bool)
     raw = np.frombuffer(b"".join(x[2] for x in pieces), np.uint8)
     sizes = np.array([len(x[2]) for x in pieces], np.int64)
     anchors = np.array([x[3] for x in pieces], np.int64).view(np.uint64)
-    hashes = mixed(Rolling(raw.astype(np.uint64) + np.uint64(1)).windows(min(INNER, length)))
+    hashes = mixed(Rolling(raw.astype(np.uint64) + np.uint64(1)).windows(inner))
     whole = np.repeat(np.arange(len(sizes)), sizes)[: len(hashes)]
     # Those across two pieces count too: then a piece is sorted in vain.
     return np.bincount(whole[hashes == anchors[whole]], minlength=len(sizes)) <= 1
@@ -327,6 +433,64 @@ def _marked(known: dict[bytes, tuple], length: int) -> pa.RecordBatch:
     return rows.filter(pa.array(told))
 
 
+def _frequent(pieces: DataFrame, total: int) -> DataFrame | None:
+    """The anchors of more than ``MOST_BYTES`` of distinct pieces, if there are any."""
+    if total <= MOST_BYTES:
+        return None
+    # Anchors are added up in buckets first, of which few have a frequent one: so little is shuffled.
+    size = F.octet_length("piece")
+    bucket = F.pmod("anchor", F.lit(8 * total // MOST_BYTES))
+    full = pieces.groupBy(bucket.alias("bucket")).agg(F.sum(size).alias("size"))
+    full = full.where(F.col("size") > MOST_BYTES).select("bucket")
+    some = pieces.select("anchor", "digest", size.alias("size"), bucket.alias("bucket"))
+    distinct = some.join(F.broadcast(full), "bucket", "left_semi").groupBy("anchor", "digest").agg(F.max("size").alias("size"))
+    found = distinct.groupBy("anchor").agg(F.sum("size").alias("size")).where(F.col("size") > MOST_BYTES)
+    found = stored(found.select("anchor"), "frequent")
+    return None if found.isEmpty() else found
+
+
+def _marks(pieces: DataFrame, length: int, inner: int, finer: list[int]) -> DataFrame:
+    """What ``_marks_of`` tells of all pieces, whose anchors are of inner strings of ``inner`` bytes; those of
+    frequent anchors are cut again by the first size of ``finer``."""
+    total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
+    usual = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(usual, -(-total // TASK_BYTES))
+    # At the last size, pieces with one anchor are one string.
+    frequent = _frequent(pieces, total) if finer else None
+    rest = pieces if frequent is None else pieces.join(F.broadcast(frequent), "anchor", "left_anti")
+    dealt = rest.select("anchor", "piece", "did", "start", "strings").repartition(tasks, "anchor")
+    marks = in_arrow(dealt.sortWithinPartitions("anchor"), _marks_of(length, inner), _MARKS)
+    if frequent is None:
+        return marks
+    whole = pieces.join(F.broadcast(frequent), "anchor", "left_semi").groupBy("digest")
+    whole = stored(
+        whole.agg(
+            F.first("piece").alias("piece"),
+            F.min(F.struct("did", "start")).alias("place"),
+            F.sum("strings").cast("int").alias("strings"),
+        ).select("digest", "piece", "place.did", "place.start", "strings"),
+        "frequent-pieces",
+    )
+    parts = stored(in_arrow(whole, _parts_of(length, finer[0]), _PARTS), "parts")
+    texts = parts.where("piece is not null").select("digest", "anchor", "piece", "did", "start", "strings")
+    told = _repeats(parts.where("piece is null"), _marks(texts, length, finer[0], finer[1:]))
+    # From places in the part to places in the piece.
+    told = told.select("whole", F.transform("marked", lambda x: x + F.col("low")).alias("marked"))
+    told = told.groupBy(F.col("whole").alias("digest")).agg(F.flatten(F.collect_list("marked")).alias("repeats"))
+    folded = whole.join(told, "digest", "left").where("strings > 1 or repeats is not null")
+    none = F.array().cast("array<int>")
+    return marks.unionAll(folded.select("digest", "did", "start", F.coalesce("repeats", none)))
+
+
+def _repeats(places: DataFrame, marks: DataFrame) -> DataFrame:
+    """The places (of pieces) that repeat something, with the ranges of these strings as ``marked``."""
+    found = places.join(marks, "digest")
+    # A piece in another place than its earliest is a repeat as a whole.
+    later = (F.col("did") > F.col("first_did")) | (F.col("start") > F.col("first_start"))
+    marked = F.when(later, F.array(F.lit(0), F.col("strings"))).otherwise(F.col("repeats"))
+    return found.withColumn("marked", marked).where(F.size("marked") > 0)
+
+
 def _kept_of(length: int, text_name: str, keep_text: bool, names: list[str]):
     def run(batches):
         for batch in batches:
@@ -433,17 +597,9 @@ def remove_repeated_strings(
     wanted = known.join(todo, "did").where("not is_copy")
     wanted = wanted.select("did", "tie", filled.alias("text"), "anchors")
     cut = stored(in_arrow(wanted, _cut_of(length), _CUT), "pieces")
-    pieces = cut.where("piece is not null").select("anchor", "piece", "did", "start", "strings")
-    total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(usual, -(-total // TASK_BYTES))
-    dealt = pieces.repartition(tasks, "anchor").sortWithinPartitions("anchor")
-    marks = in_arrow(dealt, _marks_of(length), _MARKS)
-    # A piece in another place than its earliest is a repeat as a whole.
+    pieces = cut.where("piece is not null").select("digest", "anchor", "piece", "did", "start", "strings")
+    marks = _marks(pieces, length, INNER, _finer(length))
     places = cut.where("piece is null").select("digest", "did", "start", "tie", "strings")
-    found = places.join(marks, "digest")
-    later = (F.col("did") > F.col("first_did")) | (F.col("start") > F.col("first_start"))
-    marked = F.when(later, F.array(F.lit(0), F.col("strings"))).otherwise(F.col("repeats"))
     ranges = F.transform(
         F.sequence(F.lit(1), F.size("marked"), F.lit(2)),
         lambda i: F.struct(
@@ -453,8 +609,7 @@ def remove_repeated_strings(
         ),
     )
     drop = (
-        found.withColumn("marked", marked)
-        .where(F.size("marked") > 0)
+        _repeats(places, marks)
         .withColumn("ranges", ranges)
         .groupBy("did")
         .agg(F.flatten(F.collect_list("ranges")).alias("ranges"))

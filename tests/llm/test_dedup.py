@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from kerbline.llm import neardup, suffixes
+from kerbline.llm.bytesets import CHUNK_BYTES
 from kerbline.llm.components import components
 from kerbline.llm.induced import suffix_order
 from kerbline.llm.neardup import near_duplicates
@@ -97,6 +99,62 @@ def test_strings_as_by_hand(spark, length, at_once, monkeypatch):
         assert hashlib.sha256(row["kept_bytes"]).hexdigest() == row["kept_sha256"]
 
 
+def _around_one_passage(many):
+    """Texts that share 95 bytes, each with bytes of its own on both sides and some also with others'."""
+    draw = random.Random(11)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage, sides = letters(95), [letters(60) for _ in range(5)]
+    texts = [letters(60) + draw.choice(sides) + passage + draw.choice([letters(60), *sides]) for _ in range(many)]
+    return [(i, text, None, None, None) for i, text in enumerate([*texts, "z" * 700, "z" * 900, "xy" * 300])]
+
+
+@pytest.mark.parametrize("length, most", [(100, 3000), (100, 1), (20, 1)])
+def test_pieces_of_one_frequent_anchor_are_cut_until_a_task_can_hold_them(spark, length, most, monkeypatch, tmp_path):
+    monkeypatch.setattr(suffixes, "MOST_BYTES", most, raising=False)
+    real = suffixes._marks_of
+
+    def noting(*args):
+        run, notes = real(*args), str(tmp_path)
+
+        def noted(batches):
+            import uuid
+            from collections import defaultdict
+
+            held = defaultdict(set)
+
+            def seen():
+                for batch in batches:
+                    for anchor, piece in zip(batch["anchor"].to_pylist(), batch["piece"].to_pylist(), strict=True):
+                        held[anchor].add(piece)
+                    yield batch
+
+            yield from run(seen())
+            with open(f"{notes}/{uuid.uuid4().hex}", "w") as file:
+                file.write(str(max((sum(map(len, pieces)) for pieces in held.values()), default=0)))
+
+        return noted
+
+    monkeypatch.setattr(suffixes, "_marks_of", noting)
+    rows = _around_one_passage(120) if most > 1 else documents(3) + _around_one_passage(20)[-10:]
+    kept = remove_repeated_strings(spark.createDataFrame(rows, SCHEMA).repartition(3), length=length)
+    assert by_id(kept, "n_bytes", "n_removed", "n_spans", "kept_sha256") == _strings(rows, length)
+    largest = max(int(file.read_text()) for file in tmp_path.iterdir())
+    assert 0 < largest <= max(most, length)
+
+
+def test_a_long_row_is_worked_on_in_stretches():
+    rows = np.array([0, 50, 50 + 3 * CHUNK_BYTES, 100 + 3 * CHUNK_BYTES])
+    found = sorted(
+        (row + r, shift + at)
+        for edges, row, shift in suffixes._stretches(rows, 30)
+        for r in range(len(edges) - 1)
+        for at in (0, int(edges[r + 1] - edges[r]) - 30)
+    )
+    last = 3 * CHUNK_BYTES - 30
+    middle = [x for k in (1, 2) for x in (k * CHUNK_BYTES - 1, k * CHUNK_BYTES)]
+    assert found == [(0, 0), (0, 20), *((1, x) for x in [0, *middle, last]), (2, 0), (2, 20)]
+
+
 def test_suffixes_are_sorted_also_when_queues_are_on_disk():
     import numpy as np
 
