@@ -133,9 +133,9 @@ def with_next(rows: DataFrame, order: list[str], carried: list[str]) -> DataFram
     """``rows`` with ``next``: a struct of the ``carried`` columns of the row that follows in
     descending order, and of the first row for the last.
 
-    The first column of ``order`` is a long and never null.  Rows are dealt into buckets of
+    The first column of ``order`` is a long; nulls come last.  Rows are dealt into buckets of
     neighbouring values, about ``BUCKET_ROWS`` each: quantiles cut the values into ranges, and
-    each range into equal steps.  So no task sees all rows, and rows move once.  Only
+    each range into equal steps; nulls have a bucket of their own.  So no task sees all rows, and rows move once.  Only
     the first row of each bucket is looked up for the bucket before it, by a table of a row for each
     bucket, of which there are ``RANGES * MOST_STEPS`` at most.  Rows with equal values
     of the first column share a bucket.
@@ -152,10 +152,12 @@ def with_next(rows: DataFrame, order: list[str], carried: list[str]) -> DataFram
     steps = min(MOST_STEPS, max(1, found["many"] // (RANGES * BUCKET_ROWS)))
     ends = [*bounds[1:], (found["hi"] or 0) + 1]
     lows, spans = F.array(*map(F.lit, bounds)), F.array(*(F.lit(float(max(1, e - b))) for b, e in zip(bounds, ends, strict=True)))
-    part = F.size(F.filter(lows, lambda b: b <= value))
-    share = (value - F.element_at(lows, part)) / F.element_at(spans, part)
+    part = F.greatest(F.size(F.filter(lows, lambda b: b <= value)), F.lit(1))
+    # Two longs may be farther apart than a long can tell.
+    wide = "decimal(20,0)"
+    share = (value.cast(wide) - F.element_at(lows, part).cast(wide)).cast("double") / F.element_at(spans, part)
     step = F.least(F.floor(share * steps), F.lit(steps - 1))
-    bucket = (part * steps + step).cast("long")
+    bucket = F.when(value.isNull(), F.lit(0)).otherwise(part * steps + step).cast("long")
     dealt = rows.withColumn("bucket", bucket)
     falling = [F.col(c).desc_nulls_last() for c in order]
 
@@ -194,7 +196,7 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.select(
         "doc_id",
         "text",
-        F.coalesce("doc_id", F.lit(-(2**63))).alias("rank"),
+        F.col("doc_id").cast("long").alias("rank"),
         F.xxhash64("text").alias("tie"),
     )
     # Texts move once, without their fingerprints: those take more room than time.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 
@@ -149,6 +150,32 @@ def test_edited_texts_and_likeness(spark, tmp_path, monkeypatch, rows_each):
     assert len(found) == len(rows)
 
 
+@pytest.mark.parametrize("rows_each", [1, 2000])
+@pytest.mark.parametrize("ids", [range(1000), [-(2**63), *range(-300, 700), 2**63 - 1]])
+def test_null_ids_come_last(spark, tmp_path, monkeypatch, ids, rows_each):
+    monkeypatch.setattr(winnowing, "BUCKET_ROWS", rows_each)
+    rows = [(doc, f"text {doc} ") for doc in ids] + [(None, f"null {i} ") for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    found = [(r["doc_id"], r["edited_sha256"]) for r in winnowing.op9_winnowing(spark, str(tmp_path)).collect()]
+
+    def edited(text, after):
+        half = len(text) // 2
+        return hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()
+
+    order = [text for _, text in sorted(rows[:-3], reverse=True)]
+    known = {doc: x for doc, x in found if doc is not None}
+    for i, doc in enumerate(sorted(ids, reverse=True)[:-1]):
+        assert known[doc] == edited(order[i], order[i + 1])
+    # Among null ids the order is that of a hash: the three form a chain from the last id to the first.
+    nulls = [text for _, text in rows[-3:]]
+    last = sorted(ids)[0]
+    assert any(
+        known[last] == edited(order[-1], a)
+        and sorted(x for doc, x in found if doc is None) == sorted([edited(a, b), edited(b, c), edited(c, order[0])])
+        for a, b, c in itertools.permutations(nulls)
+    )
+
+
 def test_next_of_one_row_none_and_repeats(spark):
     one = spark.createDataFrame([(5, 1, "a")], "rank long, tie long, text string")
     assert with_next(one, ["rank", "tie"], ["text"]).first()["next"]["text"] == "a"
