@@ -125,6 +125,20 @@ def test_a_shared_passage_of_the_guaranteed_length_is_found(spark):
     assert pairs == {(a, b) for a in range(20) for b in range(20)}
 
 
+@pytest.mark.parametrize("first", [0x4E00, 0x0E01, 0x3041, 0x20000])
+def test_a_passage_of_a_text_without_spaces_is_found(spark, first):
+    draw = random.Random(5)
+    letters = lambda n: "".join(chr(first + draw.randrange(40)) for _ in range(n))
+    shared = letters(GRAM + WINDOW - 1)
+    texts = [(doc, letters(50) + shared + letters(50)) for doc in range(4)] + [(4, letters(300))]
+    prints = spark.createDataFrame(texts, "doc_id long, text string").select(
+        "doc_id", fingerprint_of(F.col("text")).alias("print")
+    )
+    pairs = {(r["left_id"], r["right_id"]) for r in matches(prints, prints).collect()}
+    assert pairs >= {(a, b) for a in range(4) for b in range(4)}
+    assert all(len(r["print"]["places"]) > 10 for r in prints.collect())
+
+
 @pytest.mark.parametrize("rows_each", [1, 2000])
 def test_edited_texts_and_likeness(spark, tmp_path, monkeypatch, rows_each):
     monkeypatch.setattr(winnowing, "BUCKET_ROWS", rows_each)
