@@ -1,8 +1,8 @@
 """A training-data pipeline over ``documents``, one stage after another.
 
 Every stage takes ``(spark, docs, sf_dir)``, works on all rows it is given and returns rows with the
-columns of ``docs``; the last adds columns.  ``lang`` may be used to learn a language model; other
-columns but ``doc_id``, ``text`` and ``n_chars`` are passed through, whatever their names.  Null texts and
+columns of ``docs``; the last adds columns.  ``lang`` may be used to learn a language model and is filled
+in where it is null; other columns but ``doc_id``, ``text`` and ``n_chars`` are passed through, whatever their names.  Null texts and
 texts without letters leave in the first stage; no rows give no rows.
 """
 
@@ -38,16 +38,18 @@ class _Plain:
 
 
 def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: those without text or letters go.
+    """Documents whose language can be told: those without text or letters go, and no others.
 
-    Learns from the labels of ``docs``; without any, every document with a letter stays.
+    Learns from the labels of ``docs``; a null ``lang`` becomes the predicted one.  Without any label
+    there is nothing to predict with, and it stays null.
     """
     plain = _Plain(docs)
     model = train(plain.rows, plain.id, plain.text, plain["lang"])
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     predicted = predict_languages(plain.rows, model, plain.text)
-    return plain.back(predicted.where(F.col("lang_pred") != UNKNOWN))
+    predicted = predicted.where(F.col("lang_pred") != UNKNOWN)
+    return plain.back(predicted.withColumn(plain["lang"], F.coalesce(plain["lang"], "lang_pred")))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,6 +74,19 @@ def test_stages_catch_planted_cases_and_leave_the_rest(spark, tmp_path):
     assert whole == {doc: r["text"] for doc, r in rows.items()}
 
 
+def test_a_missing_language_is_filled_in(spark, tmp_path):
+    draw = random.Random(2)
+    parts = {"en": ["the", "ing", "tion"], "fr": ["eau", "ment", "que"]}
+    text = lambda lang: " ".join(draw.choice(parts[lang]) + draw.choice(parts[lang]) for _ in range(30))
+    rows = [(i, text(lang), lang, "s", 1) for i, lang in enumerate(["en", "fr"] * 30)]
+    rows += [(100, text("en"), None, "s", 1), (101, text("fr"), None, "s", 1), (102, "12", None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r["doc_id"]: r["lang"] for r in corpus_pipeline.in_a_known_language(spark, docs, str(tmp_path)).collect()}
+    assert found == {**{r[0]: r[2] for r in rows[:60]}, 100: "en", 101: "fr"}
+    blank = corpus_pipeline.in_a_known_language(spark, docs.where("lang is null"), str(tmp_path)).collect()
+    assert {r["doc_id"]: r["lang"] for r in blank} == {100: None, 101: None}
+
+
 def test_the_pipeline_of_nothing(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
