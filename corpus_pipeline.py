@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbline.llm.contamination import find_contamination
+from kerbline.llm.contamination import LENGTH, find_contamination
 from kerbline.llm.language import UNKNOWN, predict_languages, train
 from kerbline.llm.neardup import near_duplicates
 from kerbline.llm.pieces import decode_ids, default_model, encode_texts
@@ -80,11 +80,12 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no passage of ten words with ``benchmark``."""
+    """Documents that share no passage of ten words with ``benchmark``.  An item of fewer words takes none
+    away: so few words also stand in documents that never saw it."""
     plain = _Plain(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = find_contamination(plain.rows, benchmark, plain.id, plain.text)
-    return plain.back(found.where("not contaminated"))
+    return plain.back(found.where(~F.exists("hit_spans", lambda span: span["words"] >= LENGTH)))
 
 
 def in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

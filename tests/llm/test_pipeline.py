@@ -87,6 +87,17 @@ def test_a_missing_language_is_filled_in(spark, tmp_path):
     assert {r["doc_id"]: r["lang"] for r in blank} == {100: None, 101: None}
 
 
+def test_short_items_take_no_document_away(spark, tmp_path):
+    words = [f"w{i}" for i in range(10)]
+    texts = ["yes it is", "so the answer is no", " ".join(["a", *words, "b"]), " ".join(words[:9])]
+    rows = [(i, text, "en", "s", len(text)) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    items = [(1, "yes"), (2, "the answer is"), (3, " ".join(words)), (4, " ".join(words[:9]))]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.without_benchmark(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 3]
+
+
 def test_the_pipeline_of_nothing(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
