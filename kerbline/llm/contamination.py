@@ -94,7 +94,8 @@ class PhraseSearch:
 
     def proximity_matches(self, slop: int) -> DataFrame:
         """``pid, did, start, apart``: documents that have the two rarest terms of a phrase at most
-        ``slop`` words nearer or farther from each other than in the phrase."""
+        ``slop`` words nearer or farther from each other than in the phrase, and each other term at
+        most ``slop`` words from its place.  Phrases of one word have no matches."""
         first, second = self._starts(1), self._starts(2).withColumnRenamed("start", "other")
         # Starts are joined by stretches of slop + 1 words: a near one is in the same or the next.
         stretch = slop + 1
@@ -103,7 +104,12 @@ class PhraseSearch:
         near = F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell")
         pairs = first.join(second.select("pid", "did", "other", near), ["pid", "did", "cell"])
         apart = F.col("other") - F.col("start")
-        return pairs.where(F.abs(apart) <= slop).select("pid", "did", "start", apart.alias("apart"))
+        pairs = pairs.where(F.abs(apart) <= slop).select("pid", "did", "start", apart.alias("apart")).distinct()
+        terms = self.phrases.select("pid", F.size("phrase").alias("n"), F.posexplode("phrase").alias("offset", "term"))
+        hits = pairs.join(terms, "pid").join(self._of(terms.select("term").distinct()), ["term", "did"])
+        hits = hits.where(F.abs(F.col("place") - F.col("offset") - F.col("start")) <= slop)
+        met = hits.groupBy("pid", "did", "start", "apart", "n").agg(F.count_distinct("offset").alias("met"))
+        return met.where("met = n").select("pid", "did", "start", "apart")
 
 
 ADDED = ("n_words", "n_hit", "n_items", "items", "hit_spans", "contaminated")

@@ -85,6 +85,18 @@ def test_clashing_columns(spark):
     assert (row["n_hit"], row["words"], row["found"]) == (1, "w", "f")
 
 
+def test_all_words_of_a_near_phrase_are_there(spark):
+    phrase = [f"p{i}" for i in range(10)]
+    moved = [*phrase[:4], "x", *phrase[4:]]
+    two = [w if w in ("p8", "p9") else "y" for w in phrase]  # the two rarest
+    docs = [(1, " ".join(phrase)), (2, " ".join(moved)), (3, " ".join(two)), (4, " ".join([*phrase[:9], "y"]))]
+    docs += [(doc, " ".join(reversed(phrase[:8]))) for doc in (5, 6)]
+    index = build_index(spark.createDataFrame(docs, "doc_id long, text string"))
+    search = PhraseSearch(index, spark.createDataFrame([(phrase,)], "phrase array<string>"))
+    assert {r["did"] for r in search.proximity_matches(0).collect()} == {1}
+    assert {r["did"] for r in search.proximity_matches(1).collect()} == {1, 2}
+
+
 def _print_by_hand(hashes):
     """Places of the rightmost least of each window, by the hashes' high bits."""
     if not hashes:
