@@ -5,6 +5,7 @@ from __future__ import annotations
 from kerbline.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from kerbline.llm.language import op3_language_id
 from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
+from kerbline.llm.periodic import op11_periodic_runs
 from kerbline.llm.pieces import op8_sentencepiece
 from kerbline.llm.sharding import op5_virtual_slot_sharding
 from kerbline.llm.substrings import OP1_SQL, op1_substring_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_winnowing": op9_winnowing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES = {
