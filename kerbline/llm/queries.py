@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from kerbline.llm.bytepairs import op12_byte_pair_encoding
 from kerbline.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from kerbline.llm.language import op3_language_id
 from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_winnowing": op9_winnowing,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_pair_encoding": op12_byte_pair_encoding,
 }
 
 ORACLES = {
