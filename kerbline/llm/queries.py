@@ -6,6 +6,7 @@ from kerbline.llm.bytepairs import op12_byte_pair_encoding
 from kerbline.llm.contamination import OP2_SQL, op2_benchmark_decontamination
 from kerbline.llm.language import op3_language_id
 from kerbline.llm.neardup import OP6_SQL, op6_minhash_near_dedup
+from kerbline.llm.negatives import OP13_SQL, op13_hard_negatives
 from kerbline.llm.periodic import op11_periodic_runs
 from kerbline.llm.pieces import op8_sentencepiece
 from kerbline.llm.sharding import op5_virtual_slot_sharding
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_byte_pair_encoding": op12_byte_pair_encoding,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -36,4 +38,5 @@ ORACLES = {
     "op6_minhash_near_dedup": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op10_suffix_array_dedup": OP10_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
