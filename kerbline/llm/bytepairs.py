@@ -15,6 +15,7 @@ A token of two others is longer than both, so a merge never adds to the bucket i
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from dataclasses import dataclass
 from itertools import chain
@@ -29,7 +30,7 @@ from kerbline.llm.shared import in_arrow, table
 from kerbline.llm.wordcache import joined
 
 #: Pre-tokens that a task remembers with their ids, and how long they may be.
-MOST_KNOWN, KNOWN_CHARS = 1 << 19, 64
+MOST_KNOWN, KNOWN_CHARS = 1 << 20, 64
 #: Characters of a text that the pattern sees at once, and ids decoded at once.
 WINDOW, IDS_AT_ONCE = 1 << 16, 1 << 16
 #: Places or bytes from which on numbers are held in arrays, which take less room than lists.
@@ -41,101 +42,100 @@ _FAN = 256
 _BITS = [1 << i for i in range(_FAN)]
 
 
-class RankQueue:
-    """Buckets of places by rank, and a bitmap of two levels: a word of bits for every ``_FAN`` ranks tells
-    which buckets are filled, and ``top`` which words are not zero."""
-
-    def __init__(self, size: int):
-        self.buckets: dict[int, list[int] | array] = {}
-        self.unsorted: set[int] = set()
-        self.words = [0] * (size // _FAN + 1)
-        self.top = 0
-
-    def add(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            if place > bucket[-1]:  # places leave from the end
-                self.unsorted.add(rank)
-            if len(bucket) == _LARGE and type(bucket) is list:
-                bucket = self.buckets[rank] = array("i", bucket)
-            bucket.append(place)
-            return
-        self.buckets[rank] = [place]
-        at = rank // _FAN
-        word = self.words[at]
-        self.words[at] = word | _BITS[rank % _FAN]
-        if not word:
-            self.top |= 1 << at
-
-    def take(self) -> tuple[int, int]:
-        """The least rank that has a place, and the leftmost of these, which leaves the queue."""
-        top, words = self.top, self.words
-        at = (top & -top).bit_length() - 1
-        word = words[at]
-        low = word & -word
-        rank = at * _FAN + low.bit_length() - 1
-        bucket = self.buckets[rank]
-        if rank in self.unsorted:
-            if type(bucket) is list:
-                bucket.sort(reverse=True)
-            else:
-                ordered = np.sort(np.frombuffer(bucket, np.int32))[::-1]
-                bucket = self.buckets[rank] = array("i", ordered.tobytes())
-            self.unsorted.discard(rank)
-        place = bucket.pop()
-        if not bucket:
-            del self.buckets[rank]
-            words[at] = word ^ low
-            if word == low:
-                self.top = top ^ (top & -top)
-        return rank, place
-
-
 class BytePairs:
-    """Encodes pre-tokens by merge ranks."""
+    """Encodes pre-tokens by merge ranks.
+
+    The queue: ``buckets`` holds the places of each rank (a number if there is one, a list if more), ``words``
+    a bit for each filled bucket, and ``top`` a bit for each word that is not zero.  Its steps are written out,
+    as calls would take longer than they do.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
         self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values()))
+        self.words = [0] * (max(ranks.values()) // _FAN + 1)
 
     def encode(self, piece: bytes) -> list[int]:
-        ranks, queue, size = self.ranks, self.queue, len(piece)
-        get, add, take = ranks.get, queue.add, queue.take
+        ranks, size, words = self.ranks, len(piece), self.words
+        get = ranks.get
         whole = get(piece)
         if whole is not None:
             return [whole]
+        buckets: dict[int, int | list[int] | array] = {}
+        top, unsorted = 0, set()
         # The token at a place ends where the next begins; a rank belongs to a token and the next.
         after, before = range(1, size + 1), range(-1, size - 1)
-        rank_at = [get(piece[i : i + 2], -1) for i in range(size)] if size < _LARGE else array(
-            "i", (get(piece[i : i + 2], -1) for i in range(size))
-        )
-        after, before = (list(after), list(before)) if size < _LARGE else (array("i", after), array("i", before))
-        rank_at[size - 1] = -1
+        rank_at = (get(piece[i : i + 2], -1) for i in range(size))
+        if size < _LARGE:
+            after, before, rank_at = list(after), list(before), list(rank_at)
+        else:
+            after, before, rank_at = array("i", after), array("i", before), array("i", rank_at)
+        rank_at[-1] = -1
+
+        def add(rank: int, place: int) -> int:
+            """Puts a place into a bucket; the bit of ``top`` that is then set."""
+            bucket = buckets.get(rank)
+            if bucket is None:
+                buckets[rank] = place
+                at = rank // _FAN
+                words[at] |= _BITS[rank % _FAN]
+                return 1 << at
+            if type(bucket) is int:
+                bucket = buckets[rank] = [bucket]
+            elif len(bucket) == _LARGE and type(bucket) is list:
+                bucket = buckets[rank] = array("i", bucket)
+            if place > bucket[-1]:  # places leave from the end
+                unsorted.add(rank)
+            bucket.append(place)
+            return 0
+
         for place in range(size - 2, -1, -1):
             if (rank := rank_at[place]) >= 0:
-                add(rank, place)
-        while queue.top:
-            rank, place = take()
+                top |= add(rank, place)
+        while top:
+            # The least rank is the first bit set, its leftmost place the last of the bucket.
+            first = top & -top
+            at = first.bit_length() - 1
+            word = words[at]
+            low = word & -word
+            rank = at * _FAN + low.bit_length() - 1
+            place = buckets[rank]
+            if type(place) is not int:
+                bucket = place
+                if unsorted and rank in unsorted:
+                    unsorted.discard(rank)
+                    if type(bucket) is list:
+                        bucket.sort(reverse=True)
+                    else:
+                        ordered = np.sort(np.frombuffer(bucket, np.int32))[::-1]
+                        bucket = buckets[rank] = array("i", ordered.tobytes())
+                place = bucket.pop()
+                emptied = not bucket
+            else:
+                emptied = True
+            if emptied:
+                del buckets[rank]
+                words[at] = word ^ low
+                if word == low:
+                    top ^= first
             if rank_at[place] != rank:
                 continue
             mid = after[place]
             end = after[mid]
             after[place] = end
-            rank_at[mid] = -1
-            fresh = -1
+            rank_at[mid] = fresh = -1
             if end < size:
                 before[end] = place
                 fresh = get(piece[place : after[end]], -1)
                 if fresh >= 0:
-                    add(fresh, place)
+                    top |= add(fresh, place)
             rank_at[place] = fresh
             left = before[place]
             if left >= 0:
                 fresh = rank_at[left] = get(piece[left:end], -1)
                 if fresh >= 0:
-                    add(fresh, left)
+                    top |= add(fresh, left)
         ids, place = [], 0
         while place < size:
             end = after[place]
@@ -197,6 +197,35 @@ def characters_taken_for() -> dict[int, str]:
     return {ord(c): theirs.get(c, _NO_CLASS) for c in odd}
 
 
+def _for_latin(pattern: str):
+    """The pattern for texts of characters below 256 with its classes spelled out, which the standard library's
+    faster engine can search for; None if it has other classes."""
+    import regex
+
+    low = "".join(map(chr, range(256)))
+    members = {name: "".join(map(re.escape, regex.findall(name, low))) for name, _ in _CLASSES}
+    spelled, inside = [], False
+    for part in regex.findall(r"\\[pP]\{[^}]*\}|\\.|.", pattern, regex.DOTALL):
+        inside = part == "[" or (inside and part != "]")
+        if part in members:
+            part = members[part] if inside else f"[{members[part]}]"
+        elif part == r"\S" and not inside:
+            part = rf"[^{members[chr(92) + 's']}]"
+        elif part[0] == "\\" and part[1].isalpha():
+            return None
+        spelled.append(part)
+    return re.compile("".join(spelled)).findall
+
+
+def _is_latin(text: str) -> bool:
+    """Whether all characters are below 256; told much faster than by a search."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class BytePairEncoder:
     """Encodes texts; remembers pre-tokens it has met."""
 
@@ -207,6 +236,7 @@ class BytePairEncoder:
         self.find = regex.compile(vocabulary.pattern).findall
         self.taken_for = vocabulary.taken_for
         odd = sorted(vocabulary.taken_for)
+        self.find_latin = _for_latin(vocabulary.pattern) if not odd or odd[0] > 255 else None
         # As ranges: a search through a set tries its members one by one.
         first = [c for c in odd if c - 1 not in vocabulary.taken_for]
         last = [c for c in odd if c + 1 not in vocabulary.taken_for]
@@ -214,7 +244,9 @@ class BytePairEncoder:
         self.odd = regex.compile(f"[{ranges}]").search if odd else lambda text: None
 
     def _pieces(self, text: str) -> list[str]:
-        if text.isascii() or not self.odd(text):
+        if self.find_latin and _is_latin(text):
+            return self.find_latin(text)
+        if not self.odd(text):
             return self.find(text)
         found, at, pieces = self.find(text.translate(self.taken_for)), 0, []
         for piece in found:

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from kerbline.llm import bytepairs
-from kerbline.llm.bytepairs import BytePairDecoder, BytePairEncoder, BytePairs, RankQueue, decode_ids, default_vocabulary, encode_texts, op12_byte_pair_encoding
+from kerbline.llm.bytepairs import BytePairDecoder, BytePairEncoder, BytePairs, decode_ids, default_vocabulary, encode_texts, op12_byte_pair_encoding
 
 from tests.llm.cases import SCHEMA, documents
 
@@ -25,23 +25,6 @@ def encoder():
     return BytePairEncoder(VOCABULARY)
 
 
-@pytest.mark.parametrize("large", [4, 1024])
-def test_the_queue_gives_ranks_in_order(monkeypatch, large):
-    monkeypatch.setattr(bytepairs, "_LARGE", large)
-    draw = random.Random(2)
-    queue, held = RankQueue(70_000), []
-    for _ in range(4000):
-        if held and draw.random() < 0.45:
-            assert queue.take() == min(held)
-            held.remove(min(held))
-        else:
-            item = (draw.choice([draw.randrange(70_000), 5, 4096]), draw.randrange(10**6))
-            held.append(item)
-            queue.add(*item)
-    assert [queue.take() for _ in range(len(held))] == sorted(held)
-    assert not queue.top and not any(queue.words) and not queue.buckets and not queue.unsorted
-
-
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text_as_the_library(text):
@@ -64,7 +47,9 @@ def test_every_character_has_the_library_s_class(encoder):
             assert encoder.encode(text).tolist() == LIBRARY.encode_ordinary(text)
 
 
-def test_merges_that_give_lower_ranks():
+@pytest.mark.parametrize("large", [4, 1024])
+def test_merges_that_give_lower_ranks(monkeypatch, large):
+    monkeypatch.setattr(bytepairs, "_LARGE", large)
     single = {bytes([b]): 300 + b for b in range(256)}
     ranks = single | {b"ab": 9, b"abc": 2, b"bc": 5, b"abcabc": 1, b"ca": 0, b"aa": 7, b"aaa": 3, b"aaaa": 8}
     library = tiktoken.Encoding("small", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
@@ -73,6 +58,7 @@ def test_merges_that_give_lower_ranks():
     for _ in range(2000):
         text = "".join(draw.choice("abc") for _ in range(draw.randrange(1, 30)))
         assert pairs.encode(text.encode()) == library.encode_ordinary(text)
+    assert not any(pairs.words)
 
 
 @pytest.mark.parametrize("kind", ["one letter", "letters", "ideographs", "spaces"])
