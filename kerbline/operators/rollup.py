@@ -36,21 +36,31 @@ def tally(name: str, condition: Callable[[], Column]) -> Fact:
 #: Sums are kept as whole numbers of this part of a unit, so that they do not depend on the order of
 #: addition: a stored roll-up and a full build agree to the last bit.
 PARTS_OF_UNIT = 10_000
+#: Parts of one value; a sum has ten digits more.
+_PARTS = "decimal(28,0)"
 
 
 def _in_parts(value: Column) -> Column:
-    """Null for what is too large to be counted in parts."""
-    return F.round(value * PARTS_OF_UNIT).try_cast("bigint")
+    """A measure in whole parts; null stays null.  What is no number, infinite or beyond 10**24 units
+    fails the job: leaving it out would change sums and means unseen."""
+    parts = F.round(value * PARTS_OF_UNIT).try_cast(_PARTS)
+    text = F.concat(F.lit("a measure cannot be added up: "), value.cast("string"))
+    return F.when(value.isNotNull(), F.coalesce(parts, F.raise_error(text).cast(_PARTS)))
 
 
 def mean_parts(name: str, value: Callable[[], Column]) -> tuple[Fact, Fact]:
     """The exact sum of a measure, four decimals of it, and how many rows have one."""
     return (
         Fact(f"{name}_sum", lambda: _in_parts(value())),
-        tally(f"{name}_n", lambda: _in_parts(value()).isNotNull()),
+        tally(f"{name}_n", lambda: value().isNotNull()),
     )
 
 
+def in_units(parts: Column | str) -> Column:
+    """A sum of parts as a plain figure."""
+    return (F.col(parts) if isinstance(parts, str) else parts).cast("double") / PARTS_OF_UNIT
+
+
 def lift(rows: DataFrame, facts: Iterable[Fact], dimensions: Sequence[str]) -> DataFrame:
     """Source rows as a roll-up of the finest grain; unused columns are pruned later on."""
     return rows.select(*dimensions, *[fact.of_row().alias(fact.name) for fact in facts])
@@ -97,7 +107,7 @@ def total_of(name: str, fact: str, digits: int | None = 2, empty: float | None =
     """A sum; ``empty`` is shown where nothing was added up."""
 
     def value() -> Column:
-        summed = F.col(fact) / PARTS_OF_UNIT
+        summed = in_units(fact)
         return _rounded(summed if empty is None else F.coalesce(summed, F.lit(empty)), digits)
 
     return Measure(name, value, (fact,))
@@ -108,7 +118,8 @@ def mean_of(name: str, fact: str, digits: int) -> Measure:
     parts = (f"{fact}_sum", f"{fact}_n")
 
     def value() -> Column:
-        return _rounded(F.try_divide(parts[0], F.col(parts[1]) * PARTS_OF_UNIT), digits)
+        whole = F.col(parts[0]).cast("double")
+        return _rounded(F.try_divide(whole, F.col(parts[1]) * PARTS_OF_UNIT), digits)
 
     return Measure(name, value, parts)
 

@@ -16,7 +16,7 @@ from kerbline.functions.timeparts import NTZ, is_peak
 from kerbline.operators.audit import audit_fares
 from kerbline.operators.cleaning import clean
 from kerbline.operators.quality import RIDE_RULES, rule_counts
-from kerbline.operators.rollup import PARTS_OF_UNIT
+from kerbline.operators.rollup import in_units
 from kerbline.operators.upsert import upsert
 from kerbline.plans import dashboard, gold, orders
 from kerbline.plans.refresh import refresh
@@ -97,7 +97,7 @@ def dq_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _in_units(parts: DataFrame) -> DataFrame:
     """Sums as plain figures."""
     sums = [name for name in parts.columns if name.endswith("_sum")]
-    return parts.withColumns({name: F.col(name) / PARTS_OF_UNIT for name in sums})
+    return parts.withColumns({name: in_units(name) for name in sums})
 
 
 def _rollup(rollup: gold.Rollup) -> Query:

@@ -143,3 +143,25 @@ def test_plans(spark, silver, base):
     assert statuses.count("Exchange") == 1
     for table in gold.GOLD_TABLES.values():
         assert "Python" not in plan_of(table.build(stored, AS_OF))
+
+
+def test_large_measures_are_added_up_exactly(rides_of):
+    rides = [a_ride(final_fare=fare) for fare in (1e15, 5.0, 3e15)]
+    silver = clean(rides_of(*rides))
+    row = gold.LIVE_KPIS.build(silver).first()
+    assert row["total_revenue_inr"] == 4e15 + 5
+    assert row["avg_fare_inr"] == round((4e15 + 5) / 3, 2)
+    parts = gold.DRIVER_DAYS.of(silver)
+    assert gold.LIVE_KPIS.from_rollup(parts).first() == row
+
+
+@pytest.mark.parametrize("fare", [float("inf"), 1e25])
+def test_a_measure_that_cannot_be_added_up_fails(rides_of, fare):
+    silver = clean(rides_of(a_ride(), a_ride(final_fare=fare)))
+    with pytest.raises(Exception, match="cannot be added up"):
+        gold.LIVE_KPIS.build(silver).collect()
+
+
+def test_a_missing_measure_is_left_out_of_mean_and_sum(rides_of):
+    row = gold.PICKUP_DEMAND.build(clean(rides_of(a_ride(surge_multiplier=None), a_ride(surge_multiplier=2.0)))).first()
+    assert (row["avg_surge"], row["total_rides"]) == (2.0, 2)
