@@ -6,11 +6,13 @@ streams really store and stream, below the shared scratch folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbline.functions.timeparts import NTZ, is_peak
 from kerbline.operators.audit import audit_fares
@@ -26,6 +28,7 @@ from kerbline.sources.landing import read_landing, write_landing
 from testbed.rides import rides_view
 from kerbline.sources.scratch import scratch_path, stored
 from kerbline.sources.snapshots import append
+from kerbline.sources.tables import CatalogTable, create_database
 from kerbline.sources.warehouse import Warehouse
 from kerbline.streaming import flows
 
@@ -198,6 +201,82 @@ def category_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.shown(orders.add_state(state, delta))
 
 
+# --- tables of the catalog -----------------------------------------------------------
+
+
+def _database(spark: SparkSession) -> str:
+    """A new database, so that runs of a query never share a table."""
+    name = f"kerbline_{uuid.uuid4().hex}"
+    create_database(spark, name, "Tables of one query")
+    return name
+
+
+@query
+def merge_upsert_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored totals by year; those of the orders since mid-1999 are merged in, into the years that have any."""
+    known = _known(spark, sf_dir)
+    table = CatalogTable(spark, f"{_database(spark)}.order_totals")
+    table.create(known.schema, ["order_year"], "Finished orders per year and priority", "gold")
+    table.insert(known)
+    recent = F.year("o_orderdate") >= F.year(F.lit(ORDERS_KNOWN_UNTIL).cast("date"))
+    table.merge(_by_year(_orders(spark, sf_dir).filter(recent)), ["order_year", "category"])
+    return table.read()
+
+
+@query
+def sql_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders put into a catalog table by SQL, a query's rows and then literal ones, and their totals
+    seeded into another, which is replaced once the literal rows are in."""
+    database = _database(spark)
+    orders_table = CatalogTable(spark, f"{database}.orders")
+    kinds = "order_id string, category string, amount decimal(18,2), status string"
+    orders_table.create(T.StructType.fromDDL(kinds), comment="Orders as they came")
+    _orders(spark, sf_dir).createOrReplaceTempView(f"{database}_source")
+    spark.sql(
+        f"""INSERT INTO {orders_table.name}
+        SELECT concat('O-', o_orderkey), o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)),
+          if(o_orderstatus = 'F', 'delivered', 'open')
+        FROM {database}_source"""
+    )
+    totals = CatalogTable(spark, f"{database}.revenue_by_category")
+    for turn in range(2):
+        counted = orders.revenue_by_category(orders.delivered_orders(orders_table.read()))
+        totals.create(counted.schema, comment="Delivered orders per category", tier="gold", replace=turn == 1)
+        if turn == 0:
+            totals.insert(counted)
+            spark.sql(
+                f"""INSERT INTO {orders_table.name} (order_id, category, amount, status) VALUES
+                ('ORD-001', 'Electronics', 1200.00, 'delivered'), ('ORD-002', 'Food', 45.50, 'cancelled'),
+                ('ORD-003', 'Electronics', 780.00, 'delivered'), ('ORD-004', '1-URGENT', 0.25, 'delivered')"""
+            )
+        else:
+            counted.createOrReplaceTempView(f"{database}_counted")
+            spark.sql(f"INSERT INTO {totals.name} BY NAME SELECT * FROM {database}_counted")
+    for view in ("source", "counted"):
+        spark.catalog.dropTempView(f"{database}_{view}")
+    return totals.read()
+
+
+@query
+def table_day_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pickup demand kept as a catalog table by day: a late load changes some days, and only these are
+    computed and written again."""
+    database = _database(spark)
+    rides = stored(_silver(spark, sf_dir), "cleaned")
+    late = (F.col("payment_method") == "Cash") & (F.col("event_date") >= F.lit(LATE_FROM))
+    silver = CatalogTable(spark, f"{database}.silver").create(rides.schema, ["event_date"], tier="silver")
+    silver.insert(rides.filter(~late).hint("rebalance", "event_date"))
+    demand = CatalogTable(spark, f"{database}.demand")
+    first = gold.PICKUP_DEMAND.build(silver.read())
+    demand.create(first.schema, ["event_date"], gold.PICKUP_DEMAND.comment, "gold")
+    demand.overwrite_partitions(first)
+    arrived = rides.filter(late)
+    silver.insert(arrived.hint("rebalance", "event_date"))
+    changed, _ = silver.in_partitions(arrived)
+    demand.overwrite_partitions(gold.PICKUP_DEMAND.build(changed))
+    return demand.read()
+
+
 # --- stored tables and their refresh -------------------------------------------------
 
 

@@ -228,6 +228,11 @@ def oracle_texts(
         "driver_leaderboard": _over_silver(LEADERBOARD),
         "revenue_by_category": _orders_by("o_orderpriority AS category", "TRUE"),
         "merge_upsert": newest,
+        "merge_upsert_pruned": newest,
+        "sql_inserts": f"""SELECT o_orderpriority AS category, {_ORDER_SUMS} FROM (
+  SELECT o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL VALUES ('Electronics', 1200), ('Electronics', 780), ('1-URGENT', 0.25)) GROUP BY ALL""",
+        "table_day_overwrite": _over_silver(PICKUP_DEMAND),
         "merge_stale_keys": stale,
         "merge_delete_missing": kept,
         "category_incremental": _orders_by("o_orderpriority AS category", "TRUE"),
