@@ -34,6 +34,11 @@ def clock(as_of: datetime | str | None, kind: str = "timestamp") -> Column:
     return F.lit(str(as_of)).cast(kind)
 
 
+def window_start(kind: str, as_of: datetime | str | None, minutes: int) -> Column:
+    """``minutes`` before the clock, as a ``kind`` of timestamp."""
+    return clock(as_of, kind) - F.make_dt_interval(mins=F.lit(minutes))
+
+
 def trailing_window(
     df: DataFrame, as_of: datetime | str | None, minutes: int, column: str = "event_time"
 ) -> Column:
@@ -42,13 +47,32 @@ def trailing_window(
     The date condition follows from the time condition; it is stated so that whole
     ``event_date`` partitions are skipped without opening a file.
     """
-    start = clock(as_of, type_of(df, column)) - F.make_dt_interval(mins=F.lit(minutes))
+    start = window_start(type_of(df, column), as_of, minutes)
     bound = F.col(column) >= start
     if "event_date" in df.columns:
         bound = bound & (F.col("event_date") >= F.to_date(start))
     return bound
 
 
+def whole_minutes(df: DataFrame, as_of: datetime | str | None, minutes: int, column: str) -> Column:
+    """Of stored minutes, those that lie in the trailing window as a whole: all behind its first one."""
+    kind = type_of(df, column)
+    start = window_start(kind, as_of, minutes)
+    first = F.date_trunc("minute", start).cast(kind)
+    return (F.col(column) > first) & (F.col("event_date") >= F.to_date(start))
+
+
+def first_minute(
+    df: DataFrame, as_of: datetime | str | None, minutes: int, column: str = "event_time"
+) -> Column:
+    """The part of the trailing window's first minute that lies in it: no stored minute tells it."""
+    kind = type_of(df, column)
+    start = window_start(kind, as_of, minutes)
+    end = (F.date_trunc("minute", start) + F.make_dt_interval(mins=F.lit(1))).cast(kind)
+    inside = (F.col(column) >= start) & (F.col(column) < end)
+    return inside & (F.col("event_date") == F.to_date(start)) if "event_date" in df.columns else inside
+
+
 def minute_of(df: DataFrame, column: str = "event_time") -> Column:
     """Start of the minute, of the same type as the column."""
     return F.date_trunc("minute", column).cast(df.schema[column].dataType)

@@ -15,7 +15,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.functions.timeparts import clock, is_weekend, minute_of, trailing_window
+from kerbline.functions.timeparts import (
+    clock,
+    first_minute,
+    is_weekend,
+    minute_of,
+    trailing_window,
+    whole_minutes,
+)
 from kerbline.operators import ranking
 from kerbline.operators.rollup import (
     Fact,
@@ -49,6 +56,7 @@ RIDE_FACTS: dict[str, Fact] = {
     for fact in (
         tally("rides", lambda: F.col("ride_id").isNotNull()),
         tally("completed", completed),
+        tally("served", lambda: completed() & F.col("ride_id").isNotNull()),
         tally("cancelled", lambda: F.col("is_cancelled")),
         *mean_parts("fare", _when_completed("final_fare")),
         *mean_parts("rating", _when_completed("driver_rating")),
@@ -70,6 +78,7 @@ class Rollup:
     facts: tuple[str, ...]
     reads: tuple[str, ...] = ()
     parent: Rollup | None = None
+    placed: Callable[[DataFrame], DataFrame] = lambda rides: rides  # adds dimensions to rides
 
     @property
     def root(self) -> Rollup:
@@ -84,7 +93,8 @@ class Rollup:
         return [RIDE_FACTS[name] for name in self.facts]
 
     def of(self, silver: DataFrame) -> DataFrame:
-        return regroup(lift(silver, self.chosen(), self.grain), self.grain, self.chosen())
+        lifted = lift(self.placed(silver), self.chosen(), self.grain)
+        return regroup(lifted, self.grain, self.chosen())
 
     def merged(self, parts: DataFrame) -> DataFrame:
         return regroup(parts, self.grain, self.chosen())
@@ -133,11 +143,23 @@ DRIVER_DAYS = Rollup(
     ),
     ("ride_id", "status", "is_cancelled", "final_fare", "driver_rating", INGEST_TIME),
 )
+def _by_minute(rides: DataFrame) -> DataFrame:
+    return rides.withColumn("minute_bucket", minute_of(rides))
+
+
+# Whole minutes, of which a sliding window is the sum but for the part of its first minute.
+MINUTES = Rollup(
+    "minutes",
+    ("event_date", "minute_bucket"),
+    ("completed", "served", "fare_sum"),
+    ("ride_id", "event_time", "status", "final_fare"),
+    placed=_by_minute,
+)
 # Totals over all days: kept apart so that a refresh does not add up the whole history.
 CITY_TOTALS = Rollup(
     "city_totals", ("city",), ("rides", "completed", "fare_sum", "fare_n"), parent=PLACE_HOURS
 )
-ROLLUPS = {rollup.name: rollup for rollup in (PLACE_HOURS, DRIVER_DAYS, CITY_TOTALS)}
+ROLLUPS = {rollup.name: rollup for rollup in (PLACE_HOURS, DRIVER_DAYS, MINUTES, CITY_TOTALS)}
 # Those that are added up from cleaned rides.
 ROOTS = tuple(rollup for rollup in ROLLUPS.values() if rollup.parent is None)
 
@@ -156,6 +178,7 @@ class GoldTable:
     measures: tuple[Measure, ...]
     rollup: Rollup | None = None
     covers: Rows = _all_rows  # which rows count; sees cleaned rides or a roll-up
+    edge: Rows | None = None  # cleaned rides that count beside those rows of the roll-up
     distinct: tuple[str, str] | None = None  # (column counted, name shown)
     finish: Callable[[DataFrame], DataFrame] = lambda df: df
     order: Callable[[], Sequence[Column]] = tuple
@@ -193,8 +216,16 @@ class GoldTable:
             dimensions.append(self.distinct[0])
         return self._summarise(lift(rows, self.facts(), dimensions))
 
-    def from_rollup(self, parts: DataFrame, as_of: AsOf = None) -> DataFrame:
-        return self._summarise(self.covers(parts, as_of))
+    def from_rollup(
+        self, parts: DataFrame, as_of: AsOf = None, rides: DataFrame | None = None
+    ) -> DataFrame:
+        """From a stored roll-up; a table with an ``edge`` also needs the cleaned ``rides``."""
+        rows = self.covers(parts, as_of)
+        if self.edge is not None:
+            facts = self.facts()
+            beside = lift(self.edge(rides, as_of), facts, self.keys)
+            rows = rows.select(*self.keys, *[fact.name for fact in facts]).unionByName(beside)
+        return self._summarise(rows)
 
     def _summarise(self, parts: DataFrame) -> DataFrame:
         more = []
@@ -225,12 +256,21 @@ def _completed_on_day(rows: DataFrame, as_of: AsOf) -> DataFrame:
 
 def last_minutes(minutes: int) -> Rows:
     def rows_in_window(rows: DataFrame, as_of: AsOf) -> DataFrame:
-        recent = rows.filter(completed() & trailing_window(rows, as_of, minutes))
-        return recent.withColumn("minute_bucket", minute_of(recent))
+        if "minute_bucket" in rows.columns:  # a roll-up: the minutes that count as a whole
+            inside = whole_minutes(rows, as_of, minutes, "minute_bucket")
+            return rows.filter(inside & (F.col("completed") > 0))
+        return _by_minute(rows.filter(completed() & trailing_window(rows, as_of, minutes)))
 
     return rows_in_window
 
 
+def first_of_last_minutes(minutes: int) -> Rows:
+    def rows_at_edge(rides: DataFrame, as_of: AsOf) -> DataFrame:
+        return _by_minute(rides.filter(completed() & first_minute(rides, as_of, minutes)))
+
+    return rows_at_edge
+
+
 def _served(rows: DataFrame, as_of: AsOf) -> DataFrame:
     """Completed rides; in a roll-up by driver, drivers who completed one."""
     return rows.filter(completed() if "status" in rows.columns else F.col("completed") > 0)
@@ -261,13 +301,15 @@ LIVE_KPIS = GoldTable(
 
 def revenue_per_minute_table(minutes: int = 60) -> GoldTable:
     """Revenue per minute of the last ``minutes``, counted back from the clock.  The first
-    minute may be cut by the window, so this cannot be read off a roll-up by minute."""
+    minute may be cut by the window, so its rides are looked up; the others are stored sums."""
     return GoldTable(
         "gold_revenue_per_minute",
         f"Completed rides and their revenue per minute, from {minutes} minutes ago on.",
         ("minute_bucket",),
-        (total_of("revenue_inr", "fare_sum"), count_of("completed_rides", "rides")),
+        (total_of("revenue_inr", "fare_sum"), count_of("completed_rides", "served")),
+        MINUTES,
         covers=last_minutes(minutes),
+        edge=first_of_last_minutes(minutes),
         order=lambda: [F.asc("minute_bucket")],
         clocked=True,
     )

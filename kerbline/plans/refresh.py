@@ -108,7 +108,7 @@ def refresh(
     What is new is told by the roll-up logs, so run the roll-up streams first.  Without ``mode``
     each table uses the cheapest mode declared for it.  Most tables are small, so the jobs of
     ``at_once`` tables are submitted side by side.  Versions are kept for ever unless the
-    caller says how many to ``keep``; those that a reader has pinned stay in any case.
+    caller says how many to ``keep``.
     """
     chosen = list(names or GOLD_TABLES)
     views = [VIEWS[name] for name in chosen if name in VIEWS]
@@ -156,9 +156,11 @@ def _refresh_one(
         days = changed_days(log.since(before["source"]))
     if mode == "incremental":
         state = log.read()
-        result = table.from_rollup(state if days is None else state.filter(on_days(days)), as_of)
+        rides = warehouse.read_silver() if table.edge is not None else None
+        result = table.from_rollup(state if days is None else state.filter(on_days(days)), as_of, rides)
     elif shared:
-        result = table.from_rollup(parts.of(table.rollup, days), as_of)
+        rides = parts.rows(days) if table.edge is not None else None
+        result = table.from_rollup(parts.of(table.rollup, days), as_of, rides)
     else:
         result = table.build(parts.rows(days), as_of)
 

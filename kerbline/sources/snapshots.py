@@ -1,17 +1,15 @@
-"""Stored tables that can be replaced while they are read.
+"""Stored tables that are replaced by the switch of a path.
 
-A table is a folder of numbered versions.  A version counts from the moment its ``_manifest.json``
-exists, which is written last; a job that dies half-way leaves a folder nobody reads.  A
-version of a table kept by day may hold only the days it changed: its manifest then names, for every
-other day, the earlier version that has it.  So no file is ever changed, and a reader sees one version
-whatever is written meanwhile.
+A table is a folder of numbered versions, each written by Spark's own writer.  A version counts from the
+moment its ``_manifest.json`` exists, which is written last; a job that dies half-way leaves a folder
+nobody reads.  The days of a table kept by day are overwritten inside the newest version, by dynamic partition
+overwrite: run again after a crash, the same rows replace the same days.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -22,7 +20,6 @@ from pyspark.sql import types as T
 from kerbline.sources import files
 
 MANIFEST = "_manifest.json"
-PINS = "_pins"
 APPLIED_FILE = "_applied.json"
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -79,28 +76,11 @@ class StoredTable:
     def current_path(self) -> str:
         return self._version_path(self._known()[0])
 
-    def day_paths(self, version: int | None = None) -> dict[str, str]:
-        """For a table kept by day, the folder that holds each day."""
-        version, manifest = self._known(version)
-        homes = manifest["days"]
-        if homes is None:
-            mark = f"{self.day_column}="
-            names = files.child_names(self.spark, self._version_path(version))
-            homes = {name[len(mark) :]: version for name in names if name.startswith(mark)}
-        return {
-            day: f"{self._version_path(home)}/{self.day_column}={day}" for day, home in homes.items()
-        }
-
     def read(self, version: int | None = None) -> DataFrame:
         version, manifest = self._known(version)
         schema = T.StructType.fromJson(manifest["schema"])
-        reader = self.spark.read.schema(schema)
-        if manifest["days"] is None:
-            return reader.parquet(self._version_path(version)).select(*schema.fieldNames())
-        paths = list(self.day_paths(version).values())
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return reader.option("basePath", self.path).parquet(*paths).select(*schema.fieldNames())
+        rows = self.spark.read.schema(schema).parquet(self._version_path(version))
+        return rows.select(*schema.fieldNames())
 
     def noted(self) -> dict | None:
         """What was noted with the newest version when it was written."""
@@ -123,97 +103,48 @@ class StoredTable:
         the same moment as the rows."""
         version = self._next_version()
         self._writer(df, arranged).parquet(self._version_path(version))
-        self._complete(version, df.schema, None, note)
+        self._complete(version, df.schema, note)
         return version
 
     def create(self, schema: T.StructType) -> int:
         """An empty next version, into which parts are then written."""
         version = self._next_version()
         files.make_directory(self.spark, self._version_path(version))
-        self._complete(version, schema, None, None)
+        self._complete(version, schema, None)
         return version
 
-    def _complete(self, version: int, schema: T.StructType, days: dict | None, note: dict | None) -> None:
-        manifest = {"schema": schema.jsonValue(), "days": days, "note": note}
+    def _complete(self, version: int, schema: T.StructType, note: dict | None) -> None:
+        manifest = {"schema": schema.jsonValue(), "note": note}
         files.write_text(
             self.spark, f"{self._version_path(version)}/{MANIFEST}", json.dumps(manifest)
         )
 
-    def overwrite_days(self, df: DataFrame, days: Days) -> int:
-        """A next version in which the rows of ``days`` are those of ``df``; the files of all
-        other days are shared with the current version.
+    def overwrite_days(self, df: DataFrame, days: Days) -> None:
+        """Makes the rows of ``days`` those of ``df``, which must hold rows of these days only and not be
+        read from this table.  Files of other days are not touched; a day with no rows left goes.
 
-        ``df`` must hold rows of these days only.  A day with no rows left is removed.  A
-        table that is not kept by day is written as a whole, its other days as they were.
+        A table that is not kept by day is written as a whole, as its next version.
         """
         if self.day_column is None:
             other = ~F.coalesce(on_days(days), F.lit(False))
-            return self.replace(self.read().filter(other).unionByName(df))
-        current, manifest = self._known()
-        homes = manifest["days"] or dict.fromkeys(self.day_paths(current), current)
-        version = self._next_version()
-        path = self._version_path(version)
-        self._writer(df).parquet(path)
-        gone = {NULL_DAY if day is None else day.isoformat() for day in days}
-        homes = {day: home for day, home in homes.items() if day not in gone}
-        mark = f"{self.day_column}="
-        for name in files.child_names(self.spark, path):
-            if name.startswith(mark):
-                homes[name[len(mark) :]] = version
-        self._complete(version, T.StructType.fromJson(manifest["schema"]), homes, None)
-        return version
-
-    def pin(self, reader: str, version: int | None = None) -> int:
-        """Keeps a version, by default the newest, for a named reader until it unpins."""
-        version, _ = self._known(version)
-        path = f"{self.path}/{PINS}/{reader}.json"
-        files.write_text(self.spark, path, json.dumps({"version": version}))
-        return version
-
-    def unpin(self, reader: str) -> None:
-        files.remove(self.spark, f"{self.path}/{PINS}/{reader}.json")
-
-    def pinned(self) -> set[int]:
-        folder = f"{self.path}/{PINS}"
-        notes = [
-            _as_json(files.read_text(self.spark, f"{folder}/{name}"))
-            for name in files.child_names(self.spark, folder)
-            if name.endswith(".json")
-        ]
-        return {note["version"] for note in notes if note}
-
-    @contextmanager
-    def reading(self, reader: str) -> Iterator[DataFrame]:
-        """The newest version, kept as long as the block runs."""
-        version = self.pin(reader)
-        try:
-            yield self.read(version)
-        finally:
-            self.unpin(reader)
+            self.replace(self.read().filter(other).unionByName(df))
+            return
+        homes = [NULL_DAY if day is None else day.isoformat() for day in days]
+        homes = [f"{self.current_path()}/{self.day_column}={day}" for day in homes]
+        before = [set(files.child_names(self.spark, home)) for home in homes]
+        self._writer(df).option("partitionOverwriteMode", "dynamic").parquet(self.current_path())
+        for home, names in zip(homes, before, strict=True):
+            if names and names == set(files.child_names(self.spark, home)):  # no row was written
+                files.remove(self.spark, home)
 
     def drop_old(self, keep: int) -> None:
-        """Removes all but the newest ``keep`` versions, those that a reader has pinned, and the days
-        of others that these share.  Readers that pinned nothing must be done."""
+        """Removes all but the newest ``keep`` versions.  Readers of the others must be done."""
         versions = self.versions()
-        if not versions:
-            return
-        kept = {*versions[-keep:], *self.pinned()} & set(versions)
-        shared: dict[int, set[str]] = {}
-        for version in kept:
-            for day, home in (self._manifest(version)["days"] or {}).items():
-                shared.setdefault(home, set()).add(f"{self.day_column}={day}")
         for version in self._folders():
             # A folder beyond the newest version may be one that is being written.
-            if version in kept or version > versions[-1]:
-                continue
-            path = self._version_path(version)
-            files.remove(self.spark, f"{path}/{MANIFEST}")
-            if version not in shared:
-                files.remove(self.spark, path)
-                continue
-            for name in files.child_names(self.spark, path):
-                if name not in shared[version]:
-                    files.remove(self.spark, f"{path}/{name}")
+            if versions and version not in versions[-keep:] and version < versions[-1]:
+                files.remove(self.spark, f"{self._version_path(version)}/{MANIFEST}")
+                files.remove(self.spark, self._version_path(version))
 
     def applied(self) -> dict | None:
         """What the stored result reflects, as noted by the last refresh."""

@@ -13,7 +13,7 @@ from kerbline.plans.gold import GOLD_TABLES, ROLLUPS, GoldTable, Rollup
 from kerbline.schema import INGEST_TIME, RESCUED, RIDE_SCHEMA
 from kerbline.sources import files
 from kerbline.sources.rolluplog import RollupLog
-from kerbline.sources.snapshots import NULL_DAY, StoredTable
+from kerbline.sources.snapshots import StoredTable
 
 BRONZE = "bronze_ride_events"
 SILVER = "silver_ride_events"
@@ -120,7 +120,7 @@ class Warehouse:
 
     def offer_database(self, database: str) -> list[str]:
         """The tables in a catalog database, with comment and tier.  Call it again after a
-        refresh that wrote a new version: the one offered stays readable until then.
+        refresh: a table may have a new version then, or new days.
 
         Bronze and silver become views on their folders: read as a folder, the sink's log
         decides which files count.
@@ -140,27 +140,16 @@ class Warehouse:
             if store.current() is None:
                 continue
             full = f"{database}.{name}"
-            version = store.pin(f"catalog-{database}")
-            days = store.day_paths(version) if store.day_column else {}
-            schema = store.read(version).schema
+            schema = store.read().schema
             run(f"DROP TABLE IF EXISTS {full}")  # external: only the catalog entry goes
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            by_day = " PARTITIONED BY (event_date)" if store.day_column else ""
+            run(
+                f"CREATE TABLE {full} ({columns}) USING parquet{by_day} "
+                f"LOCATION '{store.current_path()}' COMMENT '{table.comment.replace(chr(39), chr(39) * 2)}'"
+            )
             if store.day_column:
-                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-                run(
-                    f"CREATE TABLE {full} ({columns}) USING parquet PARTITIONED BY (event_date) "
-                    f"LOCATION '{store.path}' COMMENT '{table.comment.replace(chr(39), chr(39) * 2)}'"
-                )
-                # A day's rows may be those of an earlier version.
-                parts = [
-                    f"PARTITION (event_date = {'NULL' if day == NULL_DAY else repr(day)}) LOCATION '{path}'"
-                    for day, path in days.items()
-                ]
-                if parts:
-                    run(f"ALTER TABLE {full} ADD {' '.join(parts)}")
-            else:
-                self.spark.catalog.createTable(
-                    full, path=store.current_path(), source="parquet", description=table.comment
-                )
+                run(f"ALTER TABLE {full} RECOVER PARTITIONS")
             run(f"ALTER TABLE {full} SET TBLPROPERTIES ('quality' = 'gold')")
             done.append(full)
         return done

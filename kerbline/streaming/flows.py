@@ -192,8 +192,10 @@ def start_clock(warehouse: Warehouse, every: str, keep: int | None = None) -> St
     """Refreshes the tables that depend on the clock, also while no ride arrives."""
     names = [table.name for table in GOLD_TABLES.values() if table.clocked]
 
+    needed = {GOLD_TABLES[name].source.name for name in names}
+
     def tick(batch: DataFrame, batch_id: int) -> None:
-        if warehouse.rollup(PLACE_HOURS.name).latest() is not None:
+        if all(warehouse.rollup(name).latest() is not None for name in needed):
             refresh(warehouse, names, keep=keep)
 
     ticks = warehouse.spark.readStream.format("rate").option("rowsPerSecond", 1).load()

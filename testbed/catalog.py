@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from kerbline.operators.cleaning import clean
 from kerbline.operators.quality import RIDE_RULES, rule_counts
 from kerbline.operators.rollup import in_units
 from kerbline.operators.upsert import upsert
-from kerbline.plans import dashboard, gold, orders
+from kerbline.plans import dashboard, gold, orders, sketches
 from kerbline.plans.refresh import refresh
 from kerbline.plans.views import VIEWS
 from kerbline.schema import INGEST_TIME, RESCUED
@@ -131,6 +131,46 @@ QUERIES["hourly_demand"] = _gold(gold.HOURLY_DEMAND)
 QUERIES["driver_leaderboard"] = _gold(gold.DRIVER_LEADERBOARD)
 
 
+def _day_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches by day and city, made of two loads, stored and added up."""
+    silver = _silver(spark, sf_dir)
+    keys = ("event_date", "city")
+    late = F.coalesce(F.col("payment_method") == "Cash", F.lit(False))
+    first, second = (stored(sketches.sketch_days(silver.filter(part), keys=keys), "sketches") for part in (~late, late))
+    return sketches.merged(first.unionByName(second), keys)
+
+
+def _close(estimate: Column, exact: Column) -> Column:
+    """Within four standard errors."""
+    bound = F.lit(4 * sketches.standard_error()) * exact
+    return F.abs(estimate - exact) <= bound
+
+
+@query
+def active_drivers_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drivers active in a range of days, by city: the estimate from stored sketches is held against the
+    exact count, which is what is shown."""
+    first, last = "2024-01-03", "2024-01-17"
+    estimated = sketches.active_between(_day_sketches(spark, sf_dir), first, last, by=["city"])
+    rides = _silver(spark, sf_dir).filter(F.col("event_date").between(first, last))
+    exact = rides.groupBy(F.col("city").alias("_city")).agg(F.count_distinct("driver_id").alias("exact_drivers"))
+    both = estimated.join(exact, F.col("city").eqNullSafe(F.col("_city")), "full")
+    return both.select(
+        "city", "days", "rides", "exact_drivers", _close(F.col("active_drivers"), F.col("exact_drivers")).alias("close")
+    )
+
+
+@query
+def active_drivers_last_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every day the drivers of the last seven days, from one sketch a day."""
+    estimated = sketches.active_last_days(sketches.merged(_day_sketches(spark, sf_dir)))
+    daily = _silver(spark, sf_dir).select("event_date", "driver_id").distinct()
+    ends = daily.select(F.explode(F.sequence("event_date", F.date_add("event_date", 6))).alias("_end"), "driver_id")
+    exact = ends.groupBy("_end").agg(F.count_distinct("driver_id").alias("exact_drivers"))
+    both = estimated.join(exact, F.col("event_date") == F.col("_end"))
+    return both.select("event_date", "days", "exact_drivers", _close(F.col("active_drivers"), F.col("exact_drivers")).alias("close"))
+
+
 @query
 def status_pct_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.status_shares(QUERIES["status_breakdown"](spark, sf_dir))
@@ -330,6 +370,27 @@ def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unzoned(warehouse.read_gold("gold_live_kpis"))
 
 
+#: Clocks of the sliding window: at a minute's start, inside one, and just after midnight.
+CLOCKS = ("2024-01-30 12:00:00", "2024-01-29 18:20:30.25", "2024-01-20 00:10:59")
+
+
+@query
+def revenue_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last hour's revenue at several clocks, as sums of stored minutes and the window's first one."""
+    table = gold.REVENUE_PER_MINUTE
+    warehouse = Warehouse(spark, scratch_path(spark, "refresh")).create()
+    rides = stored(_zoned(_silver(spark, sf_dir)), "cleaned")
+    late = F.coalesce(F.col("payment_method") == "Cash", F.lit(False))
+    _load(warehouse, rides.filter(~late), [table.name], 0)
+    _load(warehouse, rides.filter(late), [table.name], 1)
+    seen = []
+    for at in CLOCKS:
+        (outcome,) = refresh(warehouse, [table.name], as_of=at)
+        rows = stored(warehouse.store(table).read(), "minutes")
+        seen.append(rows.withColumns({"clock": F.lit(at), "mode": F.lit(outcome.action)}))
+    return _unzoned(reduce(DataFrame.unionByName, seen))
+
+
 @query
 def refresh_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second refresh with nothing new leaves the one stored version as it is."""

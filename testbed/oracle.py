@@ -191,10 +191,11 @@ _BY_YEAR = "CAST(extract(year FROM o_orderdate) AS INTEGER) AS order_year, o_ord
 
 
 def oracle_texts(
-    as_of: str, known_until: str, purged_before: str, checked: dict[str, tuple]
+    as_of: str, known_until: str, purged_before: str, checked: dict[str, tuple], clocks: tuple[str, ...]
 ) -> dict[str, str]:
     """Query name -> SQL.  The dates are the fixed clock and the two cut-offs of the
-    upsert queries; ``checked`` names the sums that tell whether a table is right."""
+    upsert queries; ``checked`` names the sums that tell whether a table is right, ``clocks``
+    those of the sliding window."""
     newest = _orders_by(_BY_YEAR, "TRUE")
     kept = _orders_by(_BY_YEAR, f"o_orderdate >= TIMESTAMP '{purged_before}'")
     earlier = _orders_by(_BY_YEAR, f"o_orderdate < TIMESTAMP '{known_until}'")
@@ -221,6 +222,16 @@ def oracle_texts(
         "rides_by_city": _over_silver(RIDES_BY_CITY),
         "top_zones": _over_silver(zones),
         "status_breakdown": _over_silver(STATUS_BREAKDOWN),
+        "active_drivers_between": _over_silver(
+            """SELECT city, count(DISTINCT event_date) AS days, count(*) AS rides,
+ count(DISTINCT driver_id) AS exact_drivers, TRUE AS close
+ FROM silver WHERE event_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-17' GROUP BY city"""
+        ),
+        "active_drivers_last_week": _over_silver(
+            """SELECT d.event_date, count(DISTINCT s.event_date) AS days, count(DISTINCT driver_id) AS exact_drivers,
+ TRUE AS close FROM (SELECT DISTINCT event_date FROM silver) d
+ JOIN silver s ON s.event_date BETWEEN d.event_date - 6 AND d.event_date GROUP BY d.event_date"""
+        ),
         "status_pct_of_day": _over_silver(STATUS_SHARES),
         "pickup_demand": _over_silver(PICKUP_DEMAND),
         "cancellation_analysis": _over_silver(CANCELLATION),
@@ -239,6 +250,11 @@ def oracle_texts(
         "refresh_full": _over_silver(RIDES_BY_CITY),
         "refresh_partition_overwrite": _over_silver(PICKUP_DEMAND),
         "refresh_incremental": _over_silver(LIVE_KPIS),
+        "revenue_sliding": _over_silver(
+            " UNION ALL ".join(
+                f"SELECT *, '{at}' AS clock, 'incremental' AS mode FROM ({_revenue_per_minute(at)})" for at in clocks
+            )
+        ),
         "refresh_skip": _over_silver(
             f"SELECT *, 1 AS versions, 'skipped' AS second_refresh FROM ({STATUS_BREAKDOWN})"
         ),
