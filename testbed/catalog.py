@@ -31,6 +31,7 @@ from kerbline.sources.snapshots import append
 from kerbline.sources.tables import CatalogTable, create_database
 from kerbline.sources.warehouse import Warehouse
 from kerbline.streaming import flows
+from kerbline.streaming.tables import StreamTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -549,6 +550,20 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unzoned(warehouse.read_silver().drop("_ingest_time"))
 
 
+@query
+def stream_table_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and silver as catalog tables that streams write and read by name, in two runs."""
+    warehouse = Warehouse(spark, scratch_path(spark, "stream")).create()
+    tables = StreamTables(spark, f"kerbline_{uuid.uuid4().hex}", f"{warehouse.base}/checkpoints").create()
+    rides = rides_view(spark, sf_dir)
+    late = F.coalesce(F.col("payment_method") == "Cash", F.lit(False))
+    for part in (~late, late):
+        write_landing(rides.filter(part), warehouse.landing)
+        flows.await_all([tables.start_bronze(warehouse.landing)])
+        flows.await_all([tables.start_silver(gather_days=True)])
+    return _unzoned(spark.table(tables.silver.name).drop("_ingest_time"))
+
+
 @query
 def stream_silver_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _landed(spark, sf_dir)

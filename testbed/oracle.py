@@ -311,6 +311,7 @@ def oracle_texts(
         "dash_cancel_reasons": _over_silver(DASH_CANCEL),
         "dash_pickup": _over_silver(DASH_PICKUP),
         "stream_silver": _over_silver(f"SELECT {stream_columns} FROM silver"),
+        "stream_table_silver": _over_silver(f"SELECT {stream_columns} FROM silver"),
         "stream_silver_by_batch": _over_silver(f"SELECT {stream_columns} FROM silver"),
         "stream_rule_metrics": _over_rides(RULE_COUNTS),
         "stream_to_gold": _over_silver(CANCELLATION),

@@ -1,0 +1,78 @@
+"""Streams over catalog tables: names, restarts, equality with the folder streams."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from kerbline.operators.cleaning import clean
+from kerbline.schema import INGEST_TIME
+from kerbline.sources.landing import LANDING_SETTING, read_landing, write_landing
+from kerbline.streaming.flows import await_all
+from kerbline.streaming.tables import StreamTables
+from testbed.rides import rides_view
+from tests.conftest import SF_DIR, bag
+
+
+@pytest.fixture
+def tables(spark, base):
+    made = StreamTables(spark, f"s_{uuid.uuid4().hex}", f"{base}/checkpoints").create()
+    yield made
+    spark.sql(f"DROP DATABASE {made.database} CASCADE")
+
+
+def run(tables, base, **options):
+    await_all([tables.start_bronze(f"{base}/landing", **options)])
+    await_all([tables.start_silver()])
+
+
+def test_two_runs_equal_the_batch_result_and_a_third_adds_nothing(spark, base, tables):
+    rides = rides_view(spark, SF_DIR)
+    for part in (F.col("duration_mins") % 2 == 0, F.col("duration_mins") % 2 == 1):
+        write_landing(rides.filter(part), f"{base}/landing")
+        run(tables, base, files_per_trigger=2)
+    expected = bag(clean(read_landing(spark, f"{base}/landing")).drop(INGEST_TIME).select(*[c for c in spark.table(tables.silver.name).columns if c != INGEST_TIME]))
+    assert bag(spark.table(tables.silver.name).drop(INGEST_TIME)) == expected and expected
+    run(tables, base)
+    assert spark.table(tables.silver.name).count() == len(expected)
+    assert spark.table(tables.bronze.name).count() == read_landing(spark, f"{base}/landing").count()
+
+
+def test_running_streams_stopped_and_started_again(spark, base, tables):
+    rides = rides_view(spark, SF_DIR).limit(90)
+    for part in range(3):
+        write_landing(rides.filter(F.pmod(F.xxhash64("driver_id"), F.lit(3)) == part), f"{base}/landing")
+        queries = [tables.start_bronze(f"{base}/landing", every="100 milliseconds")]
+        queries[0].processAllAvailable()
+        queries.append(tables.start_silver(every="100 milliseconds"))
+        queries[1].processAllAvailable()
+        for query in queries:
+            query.stop()
+    assert spark.table(tables.bronze.name).count() == 90
+    expected = clean(read_landing(spark, f"{base}/landing")).count()
+    assert spark.table(tables.silver.name).count() == expected
+
+
+def test_tables_tell_what_they_are_and_stay(spark, base, tables):
+    for table, tier in ((tables.bronze, "bronze"), (tables.silver, "silver")):
+        told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").collect()}
+        assert f"quality={tier}" in told["Table Properties"] and told["Comment"]
+    assert tables.silver.partition_columns() == ["event_date"]
+    write_landing(rides_view(spark, SF_DIR).limit(5), f"{base}/landing")
+    spark.conf.set(LANDING_SETTING, f"{base}/landing")
+    try:
+        await_all([tables.start_bronze()])
+    finally:
+        spark.conf.unset(LANDING_SETTING)
+    tables.create()
+    assert spark.table(tables.bronze.name).filter(F.col(INGEST_TIME).isNotNull()).count() == 5
+
+
+def test_days_are_pruned_when_read_by_name(spark, base, tables):
+    write_landing(rides_view(spark, SF_DIR), f"{base}/landing")
+    run(tables, base)
+    day = spark.table(tables.silver.name).filter("event_date = DATE'2024-01-10'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and day.count() > 0
