@@ -36,6 +36,7 @@ def _checked(chosen: argparse.Namespace, arguments: argparse.ArgumentParser) ->
             if value:
                 arguments.error(f"{name} has no meaning in a continuous run")
     try:
+        chosen.tables = chosen.tables or None
         check_modes(chosen.tables, chosen.mode)
     except (KeyError, ValueError) as problem:
         arguments.error(str(problem))

@@ -89,7 +89,7 @@ def default_mode(table: GoldTable | View) -> str:
 
 def check_modes(names: Iterable[str] | None, mode: str | None) -> None:
     """Refuses a mode that would not be exact for one of the tables."""
-    for name in names or GOLD_TABLES:
+    for name in GOLD_TABLES if names is None else names:
         table = VIEWS.get(name) or GOLD_TABLES[name]
         if mode is not None and mode not in table.modes:
             raise ValueError(f"{name}: mode {mode!r} is not exact; use one of {table.modes}")
@@ -110,7 +110,7 @@ def refresh(
     ``at_once`` tables are submitted side by side.  Versions are kept for ever unless the
     caller says how many to ``keep``.
     """
-    chosen = list(names or GOLD_TABLES)
+    chosen = list(GOLD_TABLES if names is None else names)
     views = [VIEWS[name] for name in chosen if name in VIEWS]
     tables = [GOLD_TABLES[name] for name in chosen if name not in VIEWS]
     check_modes(chosen, mode)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -21,6 +21,7 @@ from kerbline.plans.refresh import Outcome, check_modes, compact, refresh
 from kerbline.sources.landing import landing_path, stream_landing
 from kerbline.sources.snapshots import write_batch
 from kerbline.sources.warehouse import Warehouse, bronze_schema, silver_schema
+from kerbline.streaming.counts import QUALITY, RuleCounts, mend, silver_name, store_counts
 
 log = logging.getLogger(__name__)
 
@@ -67,32 +68,28 @@ def start_silver(
     gather_days: bool = False,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Cleans bronze into silver, stored by day.  ``start_rule_counts`` counts what breaks the rules.
+    """Cleans bronze into silver, stored by day, and observes on the way how many rides break each rule:
+    ``RuleCounts`` stores what is reported.
 
     Live data falls into one or two days, so by default nothing is shuffled.  Set
     ``gather_days`` when working off a backlog of many days: rows are then rebalanced by
     day, which avoids a file per day *and* task and still splits a day that is too big.
     """
-    rides = checked(enrich(_bronze_stream(warehouse, files_per_trigger)))
+    rides = checked(enrich(_bronze_stream(warehouse, files_per_trigger)), observe=QUALITY)
     if gather_days:
         rides = rides.hint("rebalance", "event_date")
-    writer = rides.writeStream.queryName(f"silver {warehouse.base}").outputMode("append").partitionBy("event_date")
+    writer = rides.writeStream.queryName(silver_name(warehouse)).outputMode("append").partitionBy("event_date")
     writer = writer.format("parquet").option("path", warehouse.silver)
     return _started(writer, warehouse.checkpoint("silver"), every)
 
 
-def _store_counts(events: DataFrame, path: str, batch_id: int) -> None:
-    """Counts the rules of one batch and stores them under its id, replacing an earlier try."""
-    write_batch(violations(enrich(events)), path, batch_id, "batch_id")
-
-
 def start_rule_counts(
     warehouse: Warehouse, every: str | None = None, files_per_trigger: int | None = None
 ) -> StreamingQuery:
     """Counts, batch by batch, the events of bronze that break each rule.
 
-    A stream of its own: counts are rows of a table, stored under the batch's id, so they
-    survive restarts and long runs, and a batch that is repeated is not counted twice.
+    A stream of its own, for a silver that is not made here: it reads bronze once more.  Counts are rows of
+    a table, stored under the batch's id, so a batch that is repeated is not counted twice.
     """
     needed = bronze_schema()
     used = {name for name in needed.fieldNames() if name in RULE_INPUTS}
@@ -113,12 +110,13 @@ def start_silver_by_batch(
 ) -> StreamingQuery:
     """The same cleaning as a per-batch function, for sinks that have no streaming form.
     A failing batch is logged and stops the query; when replayed it replaces itself, and so
-    do its rule counts."""
+    do its rule counts, which are taken by the job that writes the rides."""
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
         try:
-            _store_counts(batch, f"{warehouse.quality}_by_batch", batch_id)
-            write_batch(clean(batch), path, batch_id)
+            seen = Observation(QUALITY)
+            write_batch(clean(batch, observe=seen), path, batch_id)
+            store_counts(warehouse, seen.get, batch_id, f"{warehouse.quality}_by_batch")
         except Exception:
             log.exception("cleaning failed in batch %d", batch_id)
             raise
@@ -207,11 +205,12 @@ def start_all(
     warehouse: Warehouse, every: str = "10 seconds", keep: int | None = None, **bronze
 ) -> list[StreamingQuery]:
     """Continuous operation: tables are refreshed after each batch of cleaned rides, those that
-    depend on the clock also in between.  ``keep`` bounds the versions kept of each table."""
+    depend on the clock also in between.  ``keep`` bounds the versions kept of each table.  Rule counts are
+    stored by a listener of the session, which stays attached."""
+    RuleCounts(warehouse).attach()
     return [
         start_bronze(warehouse, every=every, **bronze),
         start_silver(warehouse, every=every),
-        start_rule_counts(warehouse, every=every),
         *start_rollups(warehouse, every=every, refresh_tables=True, keep=keep, clocked=False),
         start_clock(warehouse, every, keep),
     ]
@@ -236,7 +235,14 @@ def run_once(
     check_modes(tables, mode)
     bronze = start_bronze(warehouse, landing, files_per_trigger=files_per_trigger, archive=archive)
     await_all([bronze])
-    await_all([start_silver(warehouse, gather_days=gather_days), start_rule_counts(warehouse)])
+    counts = RuleCounts(warehouse).attach()
+    try:
+        silver = start_silver(warehouse, gather_days=gather_days)
+        await_all([silver])
+        counts.settle(silver)
+    finally:
+        counts.detach()
+    mend(warehouse)
     await_all(start_rollups(warehouse))
     if warehouse.rollup(PLACE_HOURS.name).latest() is None:
         return []

@@ -31,6 +31,7 @@ from kerbline.sources.snapshots import append
 from kerbline.sources.tables import CatalogTable, create_database
 from kerbline.sources.warehouse import Warehouse
 from kerbline.streaming import flows
+from kerbline.streaming.counts import RuleCounts, mend
 from kerbline.streaming.tables import StreamTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -609,6 +610,31 @@ def continuous_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summed_counts(warehouse)
 
 
+@query
+def observed_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule violations counted by the silver stream itself, in several micro-batches, and stored as they are
+    reported; streams and listener are stopped and started again in between."""
+    warehouse = Warehouse(spark, scratch_path(spark, "stream")).create()
+    rides = rides_view(spark, sf_dir)
+    number = F.coalesce(F.col("duration_mins") % 4, F.lit(0))
+    for turn in ((0, 1), (2, 3)):
+        counts = RuleCounts(warehouse).attach()
+        running = [
+            flows.start_bronze(warehouse, every="200 milliseconds"),
+            flows.start_silver(warehouse, every="200 milliseconds", files_per_trigger=2, gather_days=True),
+        ]
+        for part in turn:
+            write_landing(rides.filter(number == part), warehouse.landing)
+            for running_query in running:
+                running_query.processAllAvailable()
+        for running_query in running:
+            running_query.stop()
+            counts.settle(running_query)
+        counts.detach()
+    mend(warehouse)
+    return _summed_counts(warehouse)
+
+
 @query
 def stream_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _landed(spark, sf_dir)

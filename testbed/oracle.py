@@ -289,6 +289,7 @@ def oracle_texts(
         "view_refresh_skip": "SELECT *, 2 AS versions, 'skipped' AS third_refresh FROM ("
         + _orders_by("o_orderpriority AS category", "TRUE")
         + ")",
+        "observed_rule_metrics": _over_rides(RULE_COUNTS),
         "continuous_rule_metrics": _over_rides(RULE_COUNTS),
         "fare_audit": _over_rides(FARE_AUDIT),
         "peak_hour_flag": _over_rides(PEAK_FLAGS),

@@ -16,7 +16,7 @@ from kerbline.sources.landing import landing_path, read_landing, write_landing
 from testbed.rides import rides_view
 from kerbline.sources.snapshots import write_batch
 from kerbline.sources.warehouse import Warehouse
-from kerbline.streaming import flows
+from kerbline.streaming import counts, flows
 from tests.conftest import SF_DIR, a_ride, bag
 
 AS_OF = "2024-01-30 12:00:00"
@@ -90,9 +90,56 @@ def test_violations_are_counted_once_by_batch(spark, warehouse):
     to_silver(warehouse)
     for _ in range(2):  # the second run has nothing left to count
         flows.await_all([flows.start_rule_counts(warehouse)])
-    counts = spark.read.parquet(warehouse.quality).orderBy("batch_id").collect()
-    assert [(r.rows_in, r.rows_dropped) for r in counts] == [(2, 1), (1, 0)]
-    assert [(r.valid_fare, r.valid_rating, r.parsed_event_time) for r in counts] == [(1, 1, 0), (0, 0, 1)]
+    rows = spark.read.parquet(warehouse.quality).orderBy("batch_id").collect()
+    assert [(r.rows_in, r.rows_dropped) for r in rows] == [(2, 1), (1, 0)]
+    assert [(r.valid_fare, r.valid_rating, r.parsed_event_time) for r in rows] == [(1, 1, 0), (0, 0, 1)]
+
+
+def counted(warehouse):
+    rows = counts.read_counts(warehouse).orderBy("batch_id").collect()
+    return [(r.rows_in, r.rows_dropped, r.valid_fare, r.parsed_event_time) for r in rows]
+
+
+def test_counts_come_with_the_rides(spark, warehouse):
+    """Bronze is read by one stream, and by it once."""
+    land(warehouse, "a.jsonl", a_ride(), a_ride(final_fare=0.0, driver_rating=9.0))
+    flows.run_once(warehouse, tables=["gold_rides_by_city"])
+    land(warehouse, "b.jsonl", a_ride(event_time="nope"), a_ride(final_fare=None))
+    listener = counts.RuleCounts(warehouse).attach()
+    silver = to_silver(warehouse)
+    assert listener.settle(silver)
+    listener.detach()
+    assert counted(warehouse) == [(2, 1, 1, 0), (2, 1, 1, 1)] and counts.missing(warehouse) == []
+    plan = silver._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
+    assert [source.description for source in silver.lastProgress.sources] == [f"FileStreamSource[{warehouse.bronze}]".replace("[/", "[file:/")]
+    mark = f"{warehouse.base}/quality"
+    before = sorted(str(path) for path in Path(mark).glob("*/*.parquet"))
+    flows.run_once(warehouse, tables=["gold_rides_by_city"])  # nothing new: nothing counted again
+    assert sorted(str(path) for path in Path(mark).glob("*/*.parquet")) == before
+
+
+def test_lost_reports_are_made_up_for(spark, warehouse):
+    for number, fare in enumerate((100.0, 0.0, 50.0)):
+        land(warehouse, f"{number}.jsonl", a_ride(final_fare=fare), a_ride(event_time="nope"))
+        if number == 1:
+            to_silver(warehouse)  # nobody listens
+        else:
+            flows.run_once(warehouse, tables=["gold_rides_by_city"])
+    assert counts.missing(warehouse) == []
+    assert counted(warehouse) == [(2, 0, 0, 1), (2, 1, 1, 1), (2, 0, 0, 1)]
+
+
+def test_a_store_that_fails_does_not_stop_the_stream(spark, warehouse, monkeypatch):
+    land(warehouse, "a.jsonl", a_ride(final_fare=0.0))
+    with monkeypatch.context() as patch:
+        patch.setattr(counts, "write_batch", lambda *args: 1 / 0)
+        listener = counts.RuleCounts(warehouse).attach()
+        assert listener.settle(to_silver(warehouse))
+        listener.detach()
+    assert counts.missing(warehouse) == [0]
+    assert counts.mend(warehouse) == [0] and counts.mend(warehouse) == []
+    assert counted(warehouse) == [(1, 1, 1, 0)]
 
 
 def test_days_are_partitions_and_an_undated_ride_is_kept(warehouse):
@@ -133,8 +180,8 @@ def test_cleaning_by_batch(spark, warehouse):
     flows.await_all([flows.start_silver_by_batch(warehouse, target)])
     flows.await_all([flows.start_silver_by_batch(warehouse, target)])
     assert spark.read.parquet(target).count() == 1
-    (counts,) = spark.read.parquet(f"{warehouse.quality}_by_batch").collect()
-    assert (counts.rows_in, counts.rows_dropped, counts.valid_fare) == (2, 1, 1)
+    (row,) = spark.read.parquet(f"{warehouse.quality}_by_batch").collect()
+    assert (row.rows_in, row.rows_dropped, row.valid_fare) == (2, 1, 1)
 
 
 def test_a_failing_query_is_raised_and_the_others_stopped(spark, warehouse):
