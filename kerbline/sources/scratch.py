@@ -19,7 +19,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         return tempfile.mkdtemp(prefix="kerbline-")
     raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
 

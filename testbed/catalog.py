@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +21,12 @@ from kerbline.operators.cleaning import clean
 from kerbline.operators.quality import RIDE_RULES, rule_counts
 from kerbline.operators.rollup import in_units
 from kerbline.operators.upsert import upsert
-from kerbline.plans import dashboard, gold, orders, sketches
+from kerbline.plans import dashboard, dashboard_sql, gold, orders, sketches
 from kerbline.plans.refresh import refresh
 from kerbline.plans.views import VIEWS
 from kerbline.schema import INGEST_TIME, RESCUED
-from kerbline.sources.landing import read_landing, write_landing
+from kerbline.sources import files
+from kerbline.sources.landing import LANDING_SETTING, read_landing, write_landing
 from testbed.rides import rides_view
 from kerbline.sources.scratch import scratch_path, stored
 from kerbline.sources.snapshots import append
@@ -533,6 +535,28 @@ QUERIES["dash_cancel_reasons"] = _dash(dashboard.cancel_reasons, "cancellation_a
 QUERIES["dash_pickup"] = _dash(dashboard.pickups, "pickup_demand")
 
 
+def _sql_dash(name: str, as_of: str | None = None) -> Query:
+    """A dataset's SQL text, over aggregate tables that are offered as views under names of its own."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prefix = f"kerbline_{uuid.uuid4().hex}_"
+        needed = dashboard.DATASETS[name][1]
+        silver = _silver(spark, sf_dir)
+        for table in needed:
+            gold.GOLD_TABLES[table].build(silver, AS_OF).createOrReplaceTempView(f"{prefix}{table}")
+        found = dashboard_sql.dataset(spark, name, as_of, prefix)
+        for table in needed:
+            spark.catalog.dropTempView(f"{prefix}{table}")
+        return found
+
+    return run
+
+
+for _name in dashboard_sql.DATASETS:
+    QUERIES[f"sql_{_name}"] = _sql_dash(_name)
+QUERIES["sql_ds_kpis_today"] = _sql_dash("ds_kpis", AS_OF)
+
+
 # --- streams -------------------------------------------------------------------------
 
 
@@ -551,6 +575,47 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unzoned(warehouse.read_silver().drop("_ingest_time"))
 
 
+@query
+def landing_from_setting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides landed in the folder that the session's setting names, taken into bronze in two runs: each run
+    stamps its rides with one time of ingest, not before it began."""
+    warehouse = Warehouse(spark, scratch_path(spark, "stream")).create()
+    rides = rides_view(spark, sf_dir)
+    late = F.coalesce(F.col("payment_method") == "Cash", F.lit(False))
+    kept = spark.conf.get(LANDING_SETTING, None)
+    spark.conf.set(LANDING_SETTING, f"{warehouse.base}/elsewhere")
+    began = []
+    try:
+        for part in (~late, late):
+            began.append(spark.range(1).select(F.current_timestamp()).first()[0])
+            write_landing(rides.filter(part), f"{warehouse.base}/elsewhere")
+            flows.await_all([flows.start_bronze(warehouse)])
+    finally:
+        spark.conf.unset(LANDING_SETTING) if kept is None else spark.conf.set(LANDING_SETTING, kept)
+    run = F.when(F.col(INGEST_TIME) >= F.lit(began[1]), 2).when(F.col(INGEST_TIME) >= F.lit(began[0]), 1)
+    by_run = warehouse.read_bronze().groupBy(run.alias("run"))
+    return by_run.agg(F.count("*").alias("rides"), F.count_distinct(INGEST_TIME).alias("stamps"))
+
+
+@query
+def stream_failing_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaning by batch into a path that a file is in the way of: the failure is raised, and the batch
+    is taken again once the file is gone."""
+    warehouse = _landed(spark, sf_dir)
+    target = f"{warehouse.base}/silver_by_batch"
+    flows.await_all([flows.start_bronze(warehouse)])
+    files.write_text(spark, target, "in the way")
+    try:
+        flows.await_all([flows.start_silver_by_batch(warehouse, target)])
+        raised = False
+    except StreamingQueryException:
+        raised = True
+    files.remove(spark, target)
+    flows.await_all([flows.start_silver_by_batch(warehouse, target)])
+    rides = spark.read.parquet(target).groupBy("status").agg(F.count("*").alias("rides"))
+    return rides.withColumn("raised", F.lit(raised))
+
+
 @query
 def stream_table_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze and silver as catalog tables that streams write and read by name, in two runs."""

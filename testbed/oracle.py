@@ -205,7 +205,7 @@ def oracle_texts(
     minute = _revenue_per_minute(as_of)
     zones = _top_zones(as_of)
     stream_columns = "* EXCLUDE (_ingest_time)"
-    return {
+    texts = {
         "rides_bronze": _over_rides("SELECT * FROM rides"),
         "silver_rides": _over_silver("SELECT * FROM silver"),
         "dq_rule_metrics": _over_rides(RULE_COUNTS),
@@ -312,9 +312,17 @@ def oracle_texts(
         "dash_cancel_reasons": _over_silver(DASH_CANCEL),
         "dash_pickup": _over_silver(DASH_PICKUP),
         "stream_silver": _over_silver(f"SELECT {stream_columns} FROM silver"),
+        "landing_from_setting": _over_rides(
+            """SELECT CASE WHEN payment_method = 'Cash' THEN 2 ELSE 1 END AS run, count(*) AS rides,
+ CAST(1 AS BIGINT) AS stamps FROM rides GROUP BY 1"""
+        ),
+        "stream_failing_batch": _over_silver("SELECT status, count(*) AS rides, TRUE AS raised FROM silver GROUP BY status"),
         "stream_table_silver": _over_silver(f"SELECT {stream_columns} FROM silver"),
         "stream_silver_by_batch": _over_silver(f"SELECT {stream_columns} FROM silver"),
         "stream_rule_metrics": _over_rides(RULE_COUNTS),
         "stream_to_gold": _over_silver(CANCELLATION),
         "stream_to_leaderboard": _over_silver(LEADERBOARD),
     }
+    # The dashboard's SQL texts give what its DataFrame forms give.
+    same = "kpis kpis_today revenue status cities zones cancel_reasons pickup".split()
+    return texts | {f"sql_ds_{name}": texts[f"dash_{name}"] for name in same}
