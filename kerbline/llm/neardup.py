@@ -6,10 +6,9 @@ under each chunk with each place left out in turn.  Two signatures that differ i
 ``2 * CHUNKS`` places have, by pigeonhole, a chunk with at most one wrong place, so they meet under
 some key.  For 12 chunks of 5 places that holds for all pairs up to 23 of 60 places.  At a
 similarity of 0.8 a place differs with a chance of 0.2; a pair meets nowhere with a chance of
-(1 - 0.8**5 - 5 * 0.2 * 0.8**4) ** 12 = 1e-7, and less if it is more similar.  Pairs that differ in more than
-``FARTHEST`` places (chance 1e-7 at 0.8) are not confirmed.
+(1 - 0.8**5 - 5 * 0.2 * 0.8**4) ** 12 = 1e-7, and less if it is more similar.
 
-Links are confirmed on the full sets of shingles.  As groups of copies may hold a third of all
+Every pair that meets is confirmed on the full sets of shingles, but for those whose sizes rule a link out.  As groups of copies may hold a third of all
 rows, pairs are never listed group by group.  Documents of equal sets are one class.  In a bucket
 (all signatures under one key) everyone is first compared with the bucket's least member, then,
 where a bucket still holds several components, with a few other members, and at last with all
@@ -35,7 +34,6 @@ from kerbline.llm.wordcache import joined
 
 CHUNKS, WIDTH = 12, 5
 PLACES = CHUNKS * WIDTH
-FARTHEST = 30
 SHINGLE, PERCENT = 5, 80
 #: Other members that a document is compared with before all members are.
 SECOND_TRY = 4
@@ -128,15 +126,6 @@ def _keys(batches):
             )
 
 
-def _close(batches):
-    """Keeps pairs whose signatures differ in at most ``FARTHEST`` places."""
-    for batch in batches:
-        if batch.num_rows:
-            differ = (_matrix(batch["a_signature"]) != _matrix(batch["b_signature"])).sum(axis=1)
-            chosen = batch.filter(pa.array(differ <= FARTHEST))
-            yield pa.RecordBatch.from_pydict({"a": chosen["a"], "b": chosen["b"]})
-
-
 def _confirm(size: int, percent: int):
     """Keeps pairs whose full sets are similar enough."""
 
@@ -190,7 +179,7 @@ _MEMBER = (
 
 def _candidates(rows: pa.Table, percent: int):
     """For each member of a block the later ones that it has to be compared with: those of other
-    components whose size and signature allow a link, if this is the first key they share."""
+    components whose size allows a link, if this is the first key they share."""
     places = np.concatenate([_matrix(c) for c in rows["signature"].chunks])
     rep, component = rows["rep"].to_numpy(), rows["component"].to_numpy()
     part, size = rows["block"].to_numpy(), rows["n_shingles"].to_numpy()
@@ -204,9 +193,7 @@ def _candidates(rows: pa.Table, percent: int):
             & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
         )
         if len(others):
-            same = places[others] == places[i]
-            near = PLACES - same.sum(axis=1) <= FARTHEST
-            others, same = others[near], same[near].reshape(-1, CHUNKS, WIDTH)
+            same = (places[others] == places[i]).reshape(-1, CHUNKS, WIDTH)
             wrong = WIDTH - same.sum(axis=2)
             earlier = (wrong[:, :chunk] <= 1).any(axis=1)
             here = np.where(wrong[:, chunk] == 0, 0, np.argmin(same[:, chunk], axis=1))
@@ -295,9 +282,10 @@ class _Join:
         self.members = stored(keyed.join(several.select("bucket", "least"), "bucket"), "members")
         involved = self.classes.join(self.members.select("rep").distinct(), "rep")
         involved = involved.select("rep", "first.did", "first.original")
+        # By id and text: an id, or a missing one, may stand for many texts.
         self.texts = stored(
-            docs.join(involved, "did")
-            .where(F.unhex(F.md5("text")) == F.col("original"))
+            docs.withColumn("original", F.unhex(F.md5("text")))
+            .join(involved, ["did", "original"])
             .select("rep", "text")
             .dropDuplicates(["rep"]),
             "texts",
@@ -330,18 +318,13 @@ class _Join:
         self.places = components(self.links)
 
     def close(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (``a``, ``b``) whose sizes and signatures allow a link."""
+        """Those of ``pairs`` (``a``, ``b``) whose sizes allow a link."""
 
         def side(name):
-            return self.classes.select(
-                F.col("rep").alias(name),
-                F.col("signature").alias(f"{name}_signature"),
-                F.col("n_shingles").alias(f"{name}_n"),
-            )
+            return self.classes.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"{name}_n"))
 
         sizes = F.expr(f"100 * least(a_n, b_n) >= {self.percent} * greatest(a_n, b_n)")
-        both = pairs.join(side("a"), "a").join(side("b"), "b").where(sizes)
-        return in_arrow(both, _close, "a long, b long")
+        return pairs.join(side("a"), "a").join(side("b"), "b").where(sizes).select("a", "b")
 
     def with_least(self) -> None:
         """Everyone with one of the least members of its buckets: that which is least in most."""
