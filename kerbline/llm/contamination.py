@@ -133,7 +133,14 @@ def find_contamination(
     are each judged by their own text.  Extra columns stay, but those named as an added one
     are replaced.
     """
-    index = build_index(docs, id_col, text_col)
+    own = [c for c in docs.columns if c not in ADDED]
+    names = [f"c{i}" for i in range(len(own))]
+    text = F.col(names[own.index(text_col)])
+    base = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(own, names, strict=True)))
+    # Rows go by a hash of id and text: an id, or a missing one, may stand for any number of texts.  Two
+    # texts of one hash would only be compared with each other's candidates too.
+    base = base.withColumn("did", F.xxhash64(names[own.index(id_col)], text))
+    index = build_index(base, "did", names[own.index(text_col)])
     phrases = stored(phrases_of(benchmark, item_col, item_text_col, length), "windows")
     search = PhraseSearch(index, phrases.select("phrase").distinct())
     named = phrases.groupBy("phrase").agg(
@@ -144,13 +151,6 @@ def find_contamination(
     found = found.groupBy("did").agg(
         F.collect_list(F.struct((F.col("start") + 1).alias("start"), "phrase", "items")).alias("found")
     )
-    own = [c for c in docs.columns if c not in ADDED]
-    names = [f"c{i}" for i in range(len(own))]
-    base = docs.select(
-        known_id(id_col).alias("did"),
-        *(F.col(f"`{c}`").alias(n) for c, n in zip(own, names, strict=True)),
-    )
-    text = F.col(names[own.index(text_col)])
     rows = base.join(found, "did", "left").withColumn("words", words_of(text))
     rows = rows.withColumn(
         "found",
