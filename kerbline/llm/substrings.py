@@ -93,20 +93,20 @@ def _members(row: np.ndarray, value: np.ndarray, first: int, lists) -> np.ndarra
     return found
 
 
-def _pairs(did: np.ndarray, value: np.ndarray, name: str) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(did), pa.array(value.view(np.int64))], ["did", name])
+def _pairs(batch: pa.RecordBatch, row: np.ndarray, value: np.ndarray, name: str) -> pa.RecordBatch:
+    keys = [pa.array(batch[key].to_numpy()[row]) for key in ("rid", "did")]
+    return pa.RecordBatch.from_arrays([*keys, pa.array(value.view(np.int64))], ["rid", "did", name])
 
 
 def _anchors_of(length: int):
     def run(batches):
         for batch in batches:
             rows, data = text_buffer(batch["text"])
-            did = batch["did"].to_numpy()
             for a, b in chunks(rows):
                 words = Words(rows[a : b + 1], data)
                 at, _, anchors = _windows(words, length)
                 row, anchor = _distinct(_row_of(words, at), anchors)
-                yield _pairs(did[a + row], anchor, "anchor")
+                yield _pairs(batch, a + row, anchor, "anchor")
 
     return run
 
@@ -115,14 +115,14 @@ def _candidates_of(length: int):
     def run(batches):
         for batch in batches:
             rows, data = text_buffer(batch["text"])
-            did, lists = batch["did"].to_numpy(), _list_rows(batch["anchors"])
+            lists = _list_rows(batch["anchors"])
             for a, b in chunks(rows):
                 words = Words(rows[a : b + 1], data)
                 at, hashes, anchors = _windows(words, length)
                 row = _row_of(words, at)
                 known = _members(row, anchors, a, lists)
                 row, window = _distinct(row[known], hashes[known])
-                yield _pairs(did[a + row], window, "window")
+                yield _pairs(batch, a + row, window, "window")
 
     return run
 
@@ -210,44 +210,47 @@ def remove_repeated_passages(
     base = docs.select(
         known_id(id_col).alias("did"), *(F.col(f"`{c}`").alias(n) for c, n in zip(own, names, strict=True))
     )
+    # What is found out about a row is gathered by a hash of its id and text: an id, or a missing one, may
+    # stand for any number of texts.  Ids decide which of two windows is the earlier one.
+    base = base.withColumn("rid", F.xxhash64("did", text))
 
     # Texts that an earlier document has as a whole need no windows of their own.
     digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    whole = base.select("did", digest.alias("digest"))
+    whole = base.select("rid", "did", digest.alias("digest"))
     first = whole.groupBy("digest").agg(F.min("did").alias("lo"), F.max("did").alias("hi"))
     copies = (
         whole.join(first.where("lo < hi"), "digest")
         .where("lo < did")
-        .groupBy("did")
+        .groupBy("rid")
         .agg(F.collect_set("digest").alias("copied"))
     )
 
     anchors = stored(
         in_arrow(
-            base.select("did", F.col(text).alias("text")),
+            base.select("rid", "did", F.col(text).alias("text")),
             _anchors_of(length),
-            "did long, anchor long",
+            "rid long, did long, anchor long",
         ),
         "anchors",
     )
     shared = anchors.groupBy("anchor").agg(F.min("did").alias("lo"), F.max("did").alias("hi"))
     todo = (
         anchors.join(shared.where("lo < hi").select("anchor"), "anchor", "left_semi")
-        .groupBy("did")
-        .agg(F.collect_list("anchor").alias("anchors"))
+        .groupBy("rid")
+        .agg(F.collect_set("anchor").alias("anchors"))
     )
 
-    known = base.join(copies, "did", "left").withColumn(
+    known = base.join(copies, "rid", "left").withColumn(
         "is_copy", F.coalesce(F.array_contains("copied", digest), F.lit(False))
     )
-    candidates = known.join(todo, "did").where("not is_copy").withColumnRenamed(text, "text")
-    windows = in_arrow(candidates, _candidates_of(length), "did long, window long")
+    candidates = known.join(todo, "rid").where("not is_copy").withColumnRenamed(text, "text")
+    windows = in_arrow(candidates, _candidates_of(length), "rid long, did long, window long")
     repeated = windows.groupBy("window").agg(F.min("did").alias("lo"), F.max("did").alias("hi"))
     drop = (
         windows.join(repeated.where("lo < hi"), "window")
         .where("lo < did")
-        .groupBy("did")
-        .agg(F.collect_list("window").alias("windows"))
+        .groupBy("rid")
+        .agg(F.collect_set("window").alias("windows"))
     )
 
     fields = [StructField(n, docs.schema[c].dataType) for c, n in zip(own, names, strict=True)]
@@ -260,7 +263,7 @@ def remove_repeated_passages(
     if keep_text:
         fields.append(StructField("kept_text", StringType()))
     cut = in_arrow(
-        known.join(drop, "did", "left"), _cut(length, text, keep_text, names), StructType(fields)
+        known.join(drop, "rid", "left"), _cut(length, text, keep_text, names), StructType(fields)
     )
     return cut.toDF(*own, *(f.name for f in fields[len(own) :]))
 
