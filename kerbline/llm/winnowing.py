@@ -1,6 +1,8 @@
 """Document fingerprints by winnowing.
 
-Every run of ``GRAM`` words gets a hash of its own (none is rolled from the one before).  Of each ``WINDOW`` neighbouring hashes the least is
+Every run of ``GRAM`` words has a rolling hash: the words' hashes, each rotated by the number of words that
+follow it in the run, combined by exclusive or.  Runs are put together from shorter ones, so that a
+text's hashes take a few passes over arrays.  Of each ``WINDOW`` neighbouring hashes the least is
 chosen, the rightmost if it occurs several times, and its place is kept.  So a passage of
 ``GRAM + WINDOW - 1`` words that two texts share leaves at least one common hash in both, and
 no passage of fewer than ``GRAM`` words leaves any.
@@ -10,17 +12,19 @@ All of it is DataFrame operations; no Python runs on the executors.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbline.llm.shared import table
+from kerbline.llm.shared import stored, table
 
 GRAM, WINDOW = 5, 8
-#: Low bits of a sort key that tell a hash's place, counted back from the end of a stretch of that size.
-_PLACE_BITS = 24
-_SPAN = 1 << _PLACE_BITS
+#: Low bits of a sort key that tell a hash's place, counted back; a text has fewer words than they can tell.
+#: The high bits are the hash's own, and two hashes that agree in them count as equal.
+_PLACE_BITS = 31
+_LAST_PLACE = (1 << _PLACE_BITS) - 1
 
 
 #: Letters and marks of scripts that are written without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana,
@@ -41,13 +45,42 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _rotated(value: Column, bits: int) -> Column:
+    return F.shiftleft(value, bits % 64).bitwiseOR(F.shiftrightunsigned(value, -bits % 64))
+
+
+def _followed(left: Column, right: Column, distance: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """Each entry of ``left`` combined with the entry of ``right`` that stands ``distance`` after it."""
+    return _let(
+        F.struct(left.alias("l"), right.alias("r")),
+        lambda x: F.transform(
+            F.sequence(F.lit(0), F.size(x["r"]) - distance - 1),
+            lambda i: combine(F.get(x["l"], i), F.get(x["r"], i + distance)),
+        ),
+    )
+
+
 def _grams(words: Column, gram: int) -> Column:
     """The hash of each run of ``gram`` words; fewer words, but not none, are one run."""
 
+    def longer(runs: Column, hashes: Column, length: int, bits: str) -> Column:
+        # Runs of ``length`` words are doubled for each binary digit that ``gram`` has left, and get
+        # a word more where that is 1.
+        if not bits:
+            return runs
+        double = _followed(runs, runs, length, lambda a, b: _rotated(a, length).bitwiseXOR(b))
+        if bits[0] == "0":
+            return _let(double, lambda r: longer(r, hashes, 2 * length, bits[1:]))
+        one_more = _let(
+            double, lambda r: _followed(r, hashes, 2 * length, lambda a, b: _rotated(a, 1).bitwiseXOR(b))
+        )
+        return _let(one_more, lambda r: longer(r, hashes, 2 * length + 1, bits[1:]))
+
     def runs(hashes: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(hashes) - gram + 1))
-        return F.when(F.size(hashes) == 0, F.array().cast("array<bigint>")).otherwise(
-            F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, gram)))
+        return (
+            F.when(F.size(hashes) == 0, F.array().cast("array<bigint>"))
+            .when(F.size(hashes) < gram, F.array(F.xxhash64(hashes)))
+            .otherwise(longer(hashes, hashes, 1, f"{gram:b}"[1:]))
         )
 
     return _let(F.transform(words, lambda w: F.xxhash64(w)), runs)
@@ -59,21 +92,26 @@ def _chosen(hashes: Column, window: int) -> Column:
     # A key has the hash's high bits, and below them the place, so that of equal hashes the
     # rightmost has the least key.
     def keyed(h: Column, i: Column) -> Column:
-        back = F.lit(_SPAN - 1) - F.pmod(i.cast("long"), F.lit(_SPAN))
-        return F.shiftleft(F.shiftright(h, _PLACE_BITS), _PLACE_BITS) + back
+        return F.shiftleft(F.shiftright(h, _PLACE_BITS), _PLACE_BITS) + (F.lit(_LAST_PLACE) - i).cast("long")
 
-    def least(keys: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(keys) - window + 1))
+    def wider(least: Column, width: int) -> Column:
+        # Least keys of ``width`` neighbours; two such stretches, which may overlap, are a wider one.
+        if width == window:
+            return least
+        more = min(width, window - width)
+        return _let(_followed(least, least, more, F.least), lambda x: wider(x, width + more))
 
-        def place(i: Column) -> Column:
-            low = F.lit(_SPAN - 1) - F.pmod(F.array_min(F.slice(keys, i, window)), F.lit(_SPAN))
-            return (i - 1 + F.pmod(low - (i - 1), F.lit(_SPAN))).cast("int")
-
-        return F.when(F.size(keys) == 0, F.array().cast("array<int>")).otherwise(
-            F.array_distinct(F.transform(starts, place))
+    def least(keys: Column) -> Column:
+        return (
+            F.when(F.size(keys) == 0, keys)
+            .when(F.size(keys) < window, F.array(F.array_min(keys)))
+            .otherwise(F.array_distinct(wider(keys, 1)))
         )
 
-    return _let(F.transform(hashes, keyed), least)
+    def place(key: Column) -> Column:
+        return (F.lit(_LAST_PLACE) - key.bitwiseAND(F.lit(_LAST_PLACE).cast("long"))).cast("int")
+
+    return F.transform(_let(F.transform(hashes, keyed), least), place)
 
 
 def fingerprint_of(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
@@ -140,65 +178,105 @@ def matches(left: DataFrame, right: DataFrame, id_col: str = "doc_id", print_col
     return choices(left, "left").join(choices(right, "right"), "hash")
 
 
-#: Ranges of ids by quantile, rows that a bucket of neighbouring ids should have, and steps that a
-#: range is cut into at most.
-RANGES, BUCKET_ROWS, MOST_STEPS = 100, 2000, 500
+#: Bytes that a bucket of neighbouring rows should have, buckets at most, and rows looked at for each to
+#: find where it begins.
+BUCKET_BYTES, MOST_BUCKETS, LOOKS = 1 << 20, 1 << 18, 8
+_PART = 1 << 20
 
 
-def with_next(rows: DataFrame, order: list[str], carried: list[str]) -> DataFrame:
+def _beginnings(rows: DataFrame) -> DataFrame | None:
+    """The least key of each bucket, ``part, bounds``: neighbouring buckets are put in parts, as many as
+    each has buckets.  ``rows`` have ``key`` and ``weight``; nothing if there is nothing to part.
+
+    Rows are looked at by a hash of their key, the heavier the more often, and each row that is as heavy as a bucket's
+    share: ``MOST_BUCKETS * LOOKS`` keys or so at most, however many rows there are.  They decide
+    where buckets begin, and so how even they are, but not what any result is.
+    """
+    total = rows.agg(F.sum("weight")).first()[0]
+    if not total:
+        return None
+    many = min(MOST_BUCKETS, max(1, math.ceil(total / BUCKET_BYTES)))
+    if many == 1:
+        return None
+    share = total / (many * LOOKS)
+    chance = F.shiftrightunsigned(F.xxhash64("key"), 11) / F.lit(float(1 << 53))
+    seen = rows.where(chance < F.col("weight") / share)
+    seen = seen.groupBy("key").agg(F.sum(F.greatest(F.col("weight").cast("double"), F.lit(share))).alias("weight"))
+    inward = Window.orderBy("key")
+    ahead = F.coalesce(F.sum("weight").over(inward.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    slots = seen.select("key", F.floor(ahead / (total / many)).alias("slot"))
+    bounds = slots.groupBy("slot").agg(F.min("key").alias("key"))
+    part = F.floor((F.row_number().over(inward) - 1) / math.ceil(math.sqrt(many))).cast("int")
+    bounds = bounds.select("key", part.alias("part")).groupBy("part")
+    return stored(bounds.agg(F.sort_array(F.collect_list("key")).alias("bounds")), "bounds")
+
+
+def _keyed(rows: DataFrame, order: list[str]) -> DataFrame:
+    first, *others = order
+    key = F.struct(
+        F.col(first).isNotNull().alias("known"),
+        F.coalesce(F.col(first).cast("long"), F.lit(0)).alias("value"),
+        *others,
+    )
+    return rows.withColumn("key", key)
+
+
+def _dealt(rows: DataFrame, weight: Column) -> DataFrame:
+    """``rows`` with ``bucket``, a long that never falls as ``key`` rises."""
+    bounds = _beginnings(rows.select("key", weight.cast("long").alias("weight")))
+    if bounds is None:
+        return rows.withColumn("bucket", F.lit(0).cast("long"))
+
+    def below(keys: Column) -> Column:
+        return F.size(F.filter(keys, lambda k: k <= F.col("key")))
+
+    # The parts' beginnings, the square root of MOST_BUCKETS or so, are literals.
+    kind = bounds.schema["bounds"].dataType.elementType
+    begin = bounds.select("part", F.get("bounds", F.lit(0)).alias("key")).sort("part").collect()
+    lows = F.array(*[F.struct(*map(F.lit, row["key"])).cast(kind) for row in begin])
+    rows = rows.withColumn("part", F.greatest(below(lows) - 1, F.lit(0)))
+    rows = rows.join(F.broadcast(bounds), "part", "left")  # a row a part, a key a bucket
+    bucket = F.col("part").cast("long") * _PART + below(F.col("bounds"))
+    return rows.withColumn("bucket", bucket).drop("part", "bounds")
+
+
+def with_next(
+    rows: DataFrame,
+    order: list[str],
+    carried: list[str],
+    weight: Column | None = None,
+    derive: Callable[[DataFrame], DataFrame] = lambda dealt: dealt,
+) -> DataFrame:
     """``rows`` with ``next``: a struct of the ``carried`` columns of the row that follows in
     descending order, and of the first row for the last.
 
-    The first column of ``order`` is a long; nulls come last.  Rows are dealt into buckets of
-    neighbouring values, about ``BUCKET_ROWS`` each: quantiles cut the values into ranges, and
-    each range into equal steps; nulls have a bucket of their own.  So no task sees all rows, and rows move once.  Only
-    the first row of each bucket is looked up for the bucket before it, by a table of a row for each
-    bucket, of which there are ``RANGES * MOST_STEPS`` at most.  Rows with equal values
-    of the first column share a bucket.
+    The columns of ``order`` are longs; nulls of the first come last, the others have none.  Rows are dealt into
+    buckets of neighbouring rows, each about ``BUCKET_BYTES`` of ``weight`` (``None``: one a row), so no
+    task sees all rows, and rows move once.  A bucket ends anywhere in the order, also among rows of one value of
+    its first columns; only rows equal in all of them share a bucket.  There are ``MOST_BUCKETS`` at most, so
+    beyond 256 GB buckets grow; 100 TB give 400 MB each.  Only the first row of each bucket is
+    looked up for the bucket before it, by a table of a row for each bucket.  ``derive`` adds columns once
+    rows are dealt: they do not move.
     """
-    value = F.col(order[0])
-    marks = [i / RANGES for i in range(1, RANGES)]
-    found = rows.agg(
-        F.count("*").alias("many"),
-        F.min(value).alias("lo"),
-        F.max(value).alias("hi"),
-        F.percentile_approx(value, marks).alias("marks"),
-    ).first()
-    bounds = sorted({found["lo"] or 0, *(found["marks"] or [])})
-    steps = min(MOST_STEPS, max(1, found["many"] // (RANGES * BUCKET_ROWS)))
-    ends = [*bounds[1:], (found["hi"] or 0) + 1]
-    lows, spans = F.array(*map(F.lit, bounds)), F.array(*(F.lit(float(max(1, e - b))) for b, e in zip(bounds, ends, strict=True)))
-    part = F.greatest(F.size(F.filter(lows, lambda b: b <= value)), F.lit(1))
-    # Two longs may be farther apart than a long can tell.
-    wide = "decimal(20,0)"
-    share = (value.cast(wide) - F.element_at(lows, part).cast(wide)).cast("double") / F.element_at(spans, part)
-    step = F.least(F.floor(share * steps), F.lit(steps - 1))
-    bucket = F.when(value.isNull(), F.lit(0)).otherwise(part * steps + step).cast("long")
-    dealt = rows.withColumn("bucket", bucket)
-    falling = [F.col(c).desc_nulls_last() for c in order]
-
-    # The first row of each bucket, for the bucket of larger values before it.  One row a bucket.
-    tops = dealt.groupBy("bucket").agg(F.max(F.struct(*order)).alias("top"))
-    before = Window.orderBy(F.col("bucket").desc())
-    larger = F.lag("bucket").over(before)
+    rows = _keyed(rows, order)
+    dealt = _dealt(rows, F.lit(1) if weight is None else weight)
+
+    # The first row of each bucket, for the bucket of larger keys before it.  One row a bucket.
+    tops = dealt.groupBy("bucket").agg(F.max("key").alias("key"))
+    larger = F.lag("bucket").over(Window.orderBy(F.col("bucket").desc()))
     last = F.min("bucket").over(Window.partitionBy())
-    tops = tops.withColumn("for_bucket", F.coalesce(larger, last))
-    keys = tops.select("for_bucket", *(F.col(f"top.{c}").alias(f"top_{c}") for c in order))
-    same = [F.col(c).eqNullSafe(F.col(f"top_{c}")) for c in order]
-    condition = same[0]
-    for one in same[1:]:
-        condition = condition & one
-    heads = rows.join(F.broadcast(keys), condition).select(
-        F.col("for_bucket").alias("bucket"), F.struct(*carried).alias("head")
-    )
+    tops = tops.select("key", F.coalesce(larger, last).alias("for_bucket"))
+    heads = derive(rows.join(F.broadcast(tops), "key"))
+    heads = heads.select(F.col("for_bucket").alias("bucket"), F.struct(*carried).alias("head"))
     heads = heads.groupBy("bucket").agg(F.first("head").alias("head"))
 
-    after = F.lead(F.struct(*carried)).over(Window.partitionBy("bucket").orderBy(*falling))
+    after = F.lead(F.struct(*carried)).over(Window.partitionBy("bucket").orderBy(F.col("key").desc()))
     return (
-        dealt.withColumn("following", after)
+        derive(dealt.repartition("bucket"))
+        .withColumn("following", after)
         .join(heads, "bucket", "left")
         .withColumn("next", F.coalesce("following", "head"))
-        .drop("bucket", "following", "head")
+        .drop("bucket", "following", "head", "key")
     )
 
 
@@ -206,28 +284,29 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are.
 
     In descending order of ids a null id comes last, and rows of one id stand by a hash of their
-    text.  A null text counts as empty.
+    text, then by a hash of their place in the table's files.  A null text counts as empty.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = table(spark, sf_dir, "documents")
+    origin = docs.metadataColumn("_metadata")
     docs = docs.select(
         "doc_id",
-        "text",
+        F.coalesce("text", F.lit("")).alias("text"),
         F.col("doc_id").cast("long").alias("rank"),
-        F.xxhash64("text").alias("tie"),
+        F.xxhash64(origin["file_path"], origin["row_index"]).alias("place"),
+    ).withColumn("tie", F.xxhash64("text"))
+    # Texts move once, without their fingerprints, which are computed where the texts arrive.
+    rows = with_next(
+        docs,
+        ["rank", "tie", "place"],
+        ["text", "print"],
+        F.octet_length("text") + 16,
+        lambda dealt: dealt.withColumn("print", fingerprint_of(F.col("text"))),
     )
-    # Texts move once, without their fingerprints: those take more room than time.
-    rows = with_next(docs, ["rank", "tie"], ["text"])
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), size - half), F.substring("next.text", F.lit(1), half))
     rows = rows.withColumns({"n_chars": size.cast("long"), "edited": edited})
-    rows = rows.withColumns(
-        {
-            "print": fingerprint_of(F.col("text")),
-            "next_print": fingerprint_of(F.col("next.text")),
-            "edited_print": fingerprint_of(F.col("edited")),
-        }
-    )
+    rows = rows.withColumn("edited_print", fingerprint_of(F.col("edited")))
     return rows.select(
         "doc_id",
         "n_chars",
@@ -235,5 +314,5 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_text(F.col("print")).alias("fingerprint"),
         as_text(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
-        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+        likeness(F.col("print"), F.col("next.print")).alias("near_next"),
     )

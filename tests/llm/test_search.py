@@ -8,6 +8,7 @@ import math
 import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from kerbline.llm import contamination, winnowing
@@ -101,7 +102,7 @@ def _print_by_hand(hashes):
     """Places of the rightmost least of each window, by the hashes' high bits."""
     if not hashes:
         return []
-    high = [h >> 24 for h in hashes]
+    high = [h >> 31 for h in hashes]
     places = []
     for i in range(max(1, len(hashes) - WINDOW + 1)):
         window = high[i : i + WINDOW]
@@ -122,6 +123,40 @@ def test_the_rightmost_least_hash_of_each_window_is_chosen(spark):
         assert row["print"]["hashes"] == [row["all"][p] for p in places]
 
 
+@pytest.mark.parametrize("gram", [1, 2, 3, 5, 6, 7, 8])
+def test_rolling_hashes_as_by_hand(spark, gram):
+    rotated = lambda h, n: ((h << n) | (h >> (64 - n))) & (2**64 - 1) if n else h
+    texts = ["", "a", "a b", "a a a a a a", "a b c d e f g", "é ß a b é ß a b é ß a b"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = F.filter(F.split("text", " "), lambda w: w != "")
+    for row in docs.select("text", winnowing._grams(words, gram).alias("grams")).collect():
+        hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in row["text"].split()]
+        expected = []
+        for i in range(len(hashes) - gram + 1):
+            value = 0
+            for k, h in enumerate(hashes[i : i + gram]):
+                value ^= rotated(h, gram - 1 - k)
+            expected.append(value)
+        found = [h % 2**64 for h in row["grams"]]
+        if hashes and len(hashes) < gram:
+            assert len(found) == 1
+        else:
+            assert found == expected
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 8, 11])
+def test_windows_of_any_width(spark, window):
+    draw = random.Random(window)
+    rows = [([draw.randrange(-6, 6) << 40 for _ in range(n)],) for n in (0, 1, 2, 7, 8, 9, 60)]
+    docs = spark.createDataFrame(rows, "hashes array<bigint>")
+    for row in docs.select("hashes", winnowing._chosen(F.col("hashes"), window).alias("places")).collect():
+        high, places = row["hashes"], set()
+        for i in range(max(1, len(high) - window + 1) if high else 0):
+            part = high[i : i + window]
+            places.add(i + max(k for k, h in enumerate(part) if h == min(part)))
+        assert row["places"] == sorted(places)
+
+
 def test_a_shared_passage_of_the_guaranteed_length_is_found(spark):
     draw = random.Random(3)
     shared = [f"s{i}" for i in range(GRAM + WINDOW - 1)]
@@ -151,9 +186,9 @@ def test_a_passage_of_a_text_without_spaces_is_found(spark, first):
     assert all(len(r["print"]["places"]) > 10 for r in prints.collect())
 
 
-@pytest.mark.parametrize("rows_each", [1, 2000])
-def test_edited_texts_and_likeness(spark, tmp_path, monkeypatch, rows_each):
-    monkeypatch.setattr(winnowing, "BUCKET_ROWS", rows_each)
+@pytest.mark.parametrize("bytes_each", [1, 1 << 20])
+def test_edited_texts_and_likeness(spark, tmp_path, monkeypatch, bytes_each):
+    monkeypatch.setattr(winnowing, "BUCKET_BYTES", bytes_each)
     rows = [r for r in documents(7, 250)[:-2] if r[0] is not None]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     found = {r["doc_id"]: r for r in winnowing.op9_winnowing(spark, str(tmp_path)).collect()}
@@ -176,10 +211,10 @@ def test_edited_texts_and_likeness(spark, tmp_path, monkeypatch, rows_each):
     assert len(found) == len(rows)
 
 
-@pytest.mark.parametrize("rows_each", [1, 2000])
+@pytest.mark.parametrize("bytes_each", [1, 1 << 20])
 @pytest.mark.parametrize("ids", [range(1000), [-(2**63), *range(-300, 700), 2**63 - 1]])
-def test_null_ids_come_last(spark, tmp_path, monkeypatch, ids, rows_each):
-    monkeypatch.setattr(winnowing, "BUCKET_ROWS", rows_each)
+def test_null_ids_come_last(spark, tmp_path, monkeypatch, ids, bytes_each):
+    monkeypatch.setattr(winnowing, "BUCKET_BYTES", bytes_each)
     rows = [(doc, f"text {doc} ") for doc in ids] + [(None, f"null {i} ") for i in range(3)]
     spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
     found = [(r["doc_id"], r["edited_sha256"]) for r in winnowing.op9_winnowing(spark, str(tmp_path)).collect()]
@@ -202,6 +237,41 @@ def test_null_ids_come_last(spark, tmp_path, monkeypatch, ids, rows_each):
     )
 
 
+@pytest.mark.parametrize("odd", [None, 7])
+def test_an_id_of_many_rows_is_dealt_to_many_buckets(spark, monkeypatch, odd):
+    monkeypatch.setattr(winnowing, "BUCKET_BYTES", 50)
+    many = 20_000
+    docs = spark.range(many, numPartitions=4).select(
+        F.when(F.col("id") % 2 == 0, F.lit(odd)).otherwise(F.col("id")).cast("long").alias("rank"),
+        F.xxhash64("id").alias("tie"),
+        F.col("id").alias("place"),
+    )
+    sizes = winnowing._dealt(winnowing._keyed(docs, ["rank", "tie", "place"]), F.lit(1)).groupBy("bucket").count()
+    sizes = [r["count"] for r in sizes.collect()]
+    assert sum(sizes) == many and len(sizes) > 300 and max(sizes) < 8 * 50
+    found = with_next(docs, ["rank", "tie", "place"], ["place"]).select("rank", "tie", "place", "next.place").collect()
+    rank = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
+    order = sorted(found, key=rank, reverse=True)
+    assert all(row[3] == order[(i + 1) % many][2] for i, row in enumerate(order))
+
+
+def test_heavy_rows_have_buckets_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(winnowing, "BUCKET_BYTES", 1000)
+    docs = spark.range(3000).select(F.col("id").alias("rank"), F.lit(0).cast("long").alias("tie"))
+    docs = docs.withColumn("weight", F.when(F.col("rank").between(1000, 1019), 900).otherwise(10))
+    dealt = winnowing._dealt(winnowing._keyed(docs, ["rank", "tie"]), F.col("weight"))
+    assert dealt.groupBy("bucket").agg(F.sum("weight").alias("w")).agg(F.max("w")).first()[0] < 4000
+
+
+def test_equal_rows_through_the_query(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(winnowing, "BUCKET_BYTES", 40)
+    rows = [(3, "a b")] * 40 + [(2, "c d e")] * 3 + [(1, None), (None, "xy")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted((r["doc_id"] or 0, r["edited_sha256"]) for r in winnowing.op9_winnowing(spark, str(tmp_path)).collect())
+    edited = [(3, "a a")] * 39 + [(3, "a c")] + [(2, "c dc ")] * 2 + [(2, "c d"), (1, ""), (0, "xa")]
+    assert found == sorted((i, hashlib.sha256(t.encode()).hexdigest()) for i, t in edited)
+
+
 def test_next_of_one_row_none_and_repeats(spark):
     one = spark.createDataFrame([(5, 1, "a")], "rank long, tie long, text string")
     assert with_next(one, ["rank", "tie"], ["text"]).first()["next"]["text"] == "a"
