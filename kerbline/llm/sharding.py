@@ -23,6 +23,8 @@ SLOTS = 8192
 SHARDS = 24
 #: Bytes that a record takes beside its text.
 OVERHEAD = 8
+#: Equal rows that are written out from one row, at most.
+STRETCH = 100_000
 
 
 def slot_of(record_id: Column, slots: int = SLOTS) -> Column:
@@ -185,14 +187,15 @@ def assign(
     )
     placed = rows.join(F.broadcast(starts), "vslot")  # a row for each slot of the map at most
     first = F.col("start") + F.col("inside")
-    return placed.select(
-        "id",
-        "size",
-        "text_crc32",
-        "vslot",
-        "shard",
-        F.explode(F.sequence(first, first + F.col("many") - 1)).alias("slot"),
+    record = ["id", "size", "text_crc32", "vslot", "shard"]
+    # Equal rows are written out in stretches, so that no row holds the numbers of very many.
+    placed = placed.select(
+        *record,
+        (first + F.col("many") - 1).alias("last"),
+        F.explode(F.sequence(first, first + F.col("many") - 1, F.lit(STRETCH).cast("long"))).alias("begin"),
     )
+    end = F.least("last", F.col("begin") + (STRETCH - 1))
+    return placed.select(*record, F.explode(F.sequence("begin", end)).alias("slot"))
 
 
 def op5_virtual_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from kerbline.llm import tokenfiles, wordcache
+from kerbline.llm import sharding, tokenfiles, wordcache
 from kerbline.llm.pieces import MARKER, PieceDecoder, PieceEncoder, Vocabulary, decode_ids, default_model, encode_texts
 from kerbline.llm.sharding import SHARDS, assign, first_map, grown, read_map, rebalanced, slot_bytes, write_map
 from kerbline.llm.tokenfiles import op4_token_files, pack_blocks, pack_segment, read_token_files, unpack_blocks, unpack_segment, write_token_files
@@ -117,6 +117,15 @@ def test_shards_are_gapless_and_grow_into_the_new_one(spark, tmp_path):
     assert assign(docs.limit(0), read_map(spark, path, 1)).count() == 0
 
 
+@pytest.mark.parametrize("many", [1, 2, 3, 4, 7])
+def test_equal_rows_are_written_out_in_stretches(spark, monkeypatch, many):
+    monkeypatch.setattr(sharding, "STRETCH", 3)
+    docs = spark.createDataFrame([(5, "a")] * many + [(6, None), (None, "a")], "doc_id long, text string")
+    placed = assign(docs, first_map(spark, 1)).collect()
+    assert sorted(r["slot"] for r in placed) == list(range(many + 2))
+    assert sum(r["id"] == 5 for r in placed) == many
+
+
 def test_rebalancing_evens_out_bytes(spark):
     draw = random.Random(2)
     docs = spark.createDataFrame([(i, "x" * draw.randint(0, 3000)) for i in range(800)], "doc_id long, text string")
