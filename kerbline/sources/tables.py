@@ -25,6 +25,10 @@ DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
 ZONE = "spark.sql.session.timeZone"
 #: Written by Spark when a folder is complete.
 SUCCESS = "_SUCCESS"
+#: The log of a stream that owns a folder; batch readers go by it.
+SINK_LOG = "_spark_metadata"
+#: Files of fewer bytes are merged where there are many; those that an overwrite makes have more, but for the last.
+SMALL = 8 << 20
 
 
 def create_database(spark: SparkSession, name: str, comment: str = "") -> None:
@@ -78,6 +82,8 @@ class CatalogTable:
         return self.spark.catalog.tableExists(self.name)
 
     def read(self) -> DataFrame:
+        """The table's rows as of now: another session, such as that of a stream's batches, may have exchanged files."""
+        self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
     def partition_columns(self) -> list[str]:
@@ -134,6 +140,43 @@ class CatalogTable:
             shown = "NULL" if value is None else _text(str(value))
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({column} = {shown})")
 
+    def file_counts(self, small_bytes: int = SMALL) -> DataFrame:
+        """``files, bytes, small`` for each partition that has rows: its files, their bytes, and how many have
+        fewer than ``small_bytes``.  Reads no column's data."""
+        columns = [f"`{c}`" for c in self.partition_columns()]
+        each = self.read().select(*columns, "_metadata.file_path", "_metadata.file_size").distinct()
+        size = F.col("file_size")
+        counts = each.groupBy(*columns).agg(
+            F.count("*").alias("files"), F.sum(size).alias("bytes"), F.count_if(size < small_bytes).alias("small")
+        )
+        return counts.filter("files > 0")
+
+    def compact(self, where: Column | None = None, most_files: int = 8, small_bytes: int = SMALL) -> list:
+        """Writes crowded partitions anew, in few files, and returns them (without partition columns: one empty
+        row for the table).
+
+        Crowded are those with more than ``most_files`` files of fewer than ``small_bytes``; ``where``, on the
+        partition columns, leaves others alone.  Rows stay the same, and other partitions are not
+        read.  What a crash leaves, ``recover`` ends.  A table that a stream's own sink writes is refused: its
+        readers go by the sink's log.
+        """
+        if files.exists(self.spark, f"{self.location().rstrip('/')}/{SINK_LOG}"):
+            raise ValueError(f"{self.name} belongs to a stream's sink")
+        self.recover()
+        counts = self.file_counts(small_bytes)
+        if where is not None:
+            counts = counts.filter(where)
+        columns = self.partition_columns()
+        crowded = counts.filter(F.col("small") > most_files).select(*columns)
+        if not columns:
+            touched = crowded.collect()  # one row at most
+            rows = self.read().hint("rebalance")
+        else:
+            rows, touched = self.in_partitions(crowded)
+        if touched:
+            self.overwrite_partitions(rows)
+        return touched
+
     def _copy(self) -> str:
         return self.location().rstrip("/") + ".overwriting"
 

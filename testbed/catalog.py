@@ -630,6 +630,20 @@ def stream_table_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unzoned(spark.table(tables.silver.name).drop("_ingest_time"))
 
 
+@query
+def stream_days_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver by day from four small runs, whose files are then merged: all rides are there once."""
+    warehouse = Warehouse(spark, scratch_path(spark, "stream")).create()
+    tables = StreamTables(spark, f"kerbline_{uuid.uuid4().hex}", f"{warehouse.base}/checkpoints").create()
+    rides = rides_view(spark, sf_dir)
+    for part in range(4):
+        write_landing(rides.filter(F.pmod(F.xxhash64("ride_id"), F.lit(4)) == part), warehouse.landing)
+        flows.await_all([tables.start_bronze(warehouse.landing)])
+        flows.await_all([tables.start_days()])
+    tables.compact_days(most_files=3)
+    return _unzoned(tables.days.read().drop("_ingest_time", "batch_id"))
+
+
 @query
 def stream_silver_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _landed(spark, sf_dir)

@@ -318,6 +318,7 @@ def oracle_texts(
         ),
         "stream_failing_batch": _over_silver("SELECT status, count(*) AS rides, TRUE AS raised FROM silver GROUP BY status"),
         "stream_table_silver": _over_silver(f"SELECT {stream_columns} FROM silver"),
+        "stream_days_compacted": _over_silver(f"SELECT {stream_columns} FROM silver"),
         "stream_silver_by_batch": _over_silver(f"SELECT {stream_columns} FROM silver"),
         "stream_rule_metrics": _over_rides(RULE_COUNTS),
         "stream_to_gold": _over_silver(CANCELLATION),

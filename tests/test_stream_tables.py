@@ -11,7 +11,9 @@ from kerbline.operators.cleaning import clean
 from kerbline.schema import INGEST_TIME
 from kerbline.sources.landing import LANDING_SETTING, read_landing, write_landing
 from kerbline.streaming.flows import await_all
-from kerbline.streaming.tables import StreamTables
+from kerbline.sources.tables import CatalogTable
+from kerbline.streaming import tables as stream_tables
+from kerbline.streaming.tables import BATCH, StreamTables, add_batch
 from testbed.rides import rides_view
 from tests.conftest import SF_DIR, bag
 
@@ -76,3 +78,60 @@ def test_days_are_pruned_when_read_by_name(spark, base, tables):
     day = spark.table(tables.silver.name).filter("event_date = DATE'2024-01-10'")
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and day.count() > 0
+
+
+def _days(tables):
+    return tables.days.read().drop(INGEST_TIME, BATCH)
+
+
+def test_days_from_small_runs_are_merged_and_the_stream_goes_on(spark, base, tables):
+    rides = rides_view(spark, SF_DIR)
+    for part in range(3):
+        write_landing(rides.filter(F.pmod(F.xxhash64("ride_id"), F.lit(3)) == part), f"{base}/landing")
+        await_all([tables.start_bronze(f"{base}/landing")])
+        await_all([tables.start_days()])
+        if part == 1:
+            before = tables.days.file_counts().agg(F.sum("files")).first()[0]
+            assert tables.compact_days(most_files=1)
+            assert tables.days.file_counts().agg(F.sum("files")).first()[0] < before
+    expected = clean(read_landing(spark, f"{base}/landing"))
+    assert bag(_days(tables)) == bag(expected.select(*_days(tables).columns))
+    await_all([tables.start_days()])
+    assert tables.days.read().count() == expected.count()
+
+
+def test_days_compacted_by_the_stream_itself(spark, base, tables):
+    rides = rides_view(spark, SF_DIR).limit(60)
+    write_landing(rides.repartition(6), f"{base}/landing")
+    await_all([tables.start_bronze(f"{base}/landing", files_per_trigger=1)])
+    await_all([tables.start_days(files_per_trigger=1, compact_every=2, most_files=1)])
+    assert tables.days.read().select(BATCH).distinct().count() > 2
+    assert bag(_days(tables)) == bag(clean(read_landing(spark, f"{base}/landing")).select(*_days(tables).columns))
+    assert tables.days.file_counts().agg(F.max("files")).first()[0] <= 2
+
+
+@pytest.mark.parametrize("partly", [False, True])
+def test_a_batch_that_is_repeated_replaces_itself(spark, base, tables, monkeypatch, partly):
+    """The job dies after a batch's rows are in, all of them or those of some days, and before it is committed."""
+    write_landing(rides_view(spark, SF_DIR).limit(80), f"{base}/landing")
+    await_all([tables.start_bronze(f"{base}/landing")])
+
+    def dies(table, rows, batch_id, again):
+        add_batch(table, rows.filter("day_of_week > 3") if partly else rows, batch_id, again)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(stream_tables, "add_batch", dies)
+    with pytest.raises(Exception, match="lost"):
+        await_all([tables.start_days()])
+    assert tables.days.read().count() > 0
+    monkeypatch.setattr(stream_tables, "add_batch", add_batch)
+    await_all([tables.start_days()])
+    expected = clean(read_landing(spark, f"{base}/landing"))
+    assert bag(_days(tables)) == bag(expected.select(*_days(tables).columns))
+
+
+def test_a_table_of_a_sink_is_not_compacted(spark, base, tables):
+    write_landing(rides_view(spark, SF_DIR).limit(5), f"{base}/landing")
+    run(tables, base)
+    with pytest.raises(ValueError, match="sink"):
+        CatalogTable(spark, tables.silver.name).compact()

@@ -198,3 +198,65 @@ def test_the_demo_orders_by_sql(spark, database):
     assert totals.read().filter("category = 'Books'").count() == 1
     totals.create(kept.schema, replace=True).insert(kept)
     assert totals.read().filter("category = 'Books'").count() == 0
+
+
+def _crowd(table, spark):
+    for i in range(5):
+        table.insert(some(spark, (100 + i, "more", DAYS[0])))
+    table.insert(some(spark, (200, "more", None)))
+
+
+def test_crowded_partitions_are_written_in_few_files_and_keep_their_rows(spark, table):
+    _crowd(table, spark)
+    before = bag(table.read())
+    counts = {r["day"]: r["files"] for r in table.file_counts().collect()}
+    assert counts == {DAYS[0]: 6, DAYS[1]: 1, DAYS[2]: 1, None: 2}
+    others = {f for f in table.read().filter(F.col("day") != DAYS[0]).inputFiles()}
+    assert [r["day"] for r in table.compact(most_files=2)] == [DAYS[0]]
+    assert {r["day"]: r["files"] for r in table.file_counts().collect()} == {**counts, DAYS[0]: 1}
+    assert bag(table.read()) == before
+    assert {f for f in table.read().filter(F.col("day") != DAYS[0]).inputFiles()} == others
+    assert table.compact(most_files=2) == []
+
+
+def test_a_partition_without_value_and_a_chosen_one_are_compacted(spark, table):
+    _crowd(table, spark)
+    before = bag(table.read())
+    assert [r["day"] for r in table.compact(F.col("day").isNull(), most_files=1)] == [None]
+    assert {r["day"]: r["files"] for r in table.file_counts().collect()}[DAYS[0]] == 6
+    assert bag(table.read()) == before
+
+
+def test_full_files_are_left_alone(spark, table):
+    _crowd(table, spark)
+    assert table.compact(most_files=1, small_bytes=1) == []
+
+
+def test_a_table_without_partitions_and_an_empty_one(spark, database):
+    plain = CatalogTable(spark, f"{database}.plain").create(SCHEMA)
+    assert plain.compact() == [] and plain.file_counts().count() == 0
+    for i in range(4):
+        plain.insert(some(spark, (i, "x", None)))
+    before = bag(plain.read())
+    assert len(plain.compact(most_files=2)) == 1
+    assert plain.file_counts().first()["files"] == 1 and bag(plain.read()) == before
+
+
+def test_a_compaction_that_dies_is_ended_later(spark, table, monkeypatch):
+    _crowd(table, spark)
+    before = bag(table.read())
+    real, calls = CatalogTable.recover, []
+
+    def dies(self):
+        calls.append(1)
+        if len(calls) > 2:  # the copy is complete, nothing is exchanged yet
+            raise RuntimeError("lost")
+        return real(self)
+
+    monkeypatch.setattr(CatalogTable, "recover", dies)
+    with pytest.raises(RuntimeError):
+        table.compact(most_files=2)
+    monkeypatch.setattr(CatalogTable, "recover", real)
+    assert bag(table.read()) == before
+    assert table.recover() and bag(table.read()) == before
+    assert {r["day"]: r["files"] for r in table.file_counts().collect()}[DAYS[0]] == 1
