@@ -12,6 +12,8 @@ distinct one is searched once.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +29,8 @@ from kerbline.llm.wordcache import IdCache, joined
 MARKER = "▁"
 #: Score of a character that no piece covers, below the least score of all pieces.
 PENALTY = 10.0
-#: Bytes of text searched at once; a search takes some 150 bytes of memory for each.
+#: Bytes of text searched at once; a search takes some 150 bytes of memory for each.  Longer texts are
+#: searched in portions.
 TEXT_BYTES = 1 << 18
 
 
@@ -259,12 +262,32 @@ class PieceEncoder(IdCache):
         return _paths(self.vocabulary, pieces)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text.  A text of more than ``TEXT_BYTES`` is searched in portions that end
+        where a stretch ends, so what a search takes is bounded by that and by the longest stretch."""
         marker = MARKER.encode()
         spaced = [b" " + text.replace(marker, b" ") if text else b"" for text in texts]
+        if max(map(len, spaced), default=0) <= TEXT_BYTES:
+            return self._ids(spaced)
+        found = []
+        for text in spaced:
+            parts = [self._ids([portion])[0] for portion in self._portions(text)]
+            found.append(np.concatenate(parts) if parts else np.zeros(0, np.uint32))
+        return found
+
+    def _ids(self, spaced: list[bytes]) -> list[np.ndarray]:
         rows = np.concatenate([[0], np.cumsum([len(text) for text in spaced])]).astype(np.int64)
         data = np.frombuffer(b"".join(spaced), np.uint8)
         return self.ids_of(_Stretches(rows, data, self.vocabulary.lines_apart))
 
+    def _portions(self, text: bytes) -> Iterator[bytes]:
+        begins = re.compile(rb"(?<! ) |\n" if self.vocabulary.lines_apart else rb"(?<! ) ")
+        at = 0
+        while at < len(text):
+            cut = begins.search(text, at + TEXT_BYTES)
+            end = cut.start() if cut else len(text)
+            yield text[at:end]
+            at = end
+
 
 class PieceDecoder:
     def __init__(self, vocabulary: Vocabulary):

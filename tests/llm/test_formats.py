@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from kerbline.llm import sharding, tokenfiles, wordcache
+from kerbline.llm import pieces, sharding, tokenfiles, wordcache
 from kerbline.llm.pieces import MARKER, PieceDecoder, PieceEncoder, Vocabulary, decode_ids, default_model, encode_texts
 from kerbline.llm.sharding import SHARDS, assign, first_map, grown, read_map, rebalanced, slot_bytes, write_map
 from kerbline.llm.tokenfiles import op4_token_files, pack_blocks, pack_segment, read_token_files, unpack_blocks, unpack_segment, write_token_files
@@ -225,6 +225,23 @@ def test_pieces_as_the_library_finds_them(tmp_path):
         assert decoder.decode(ids).decode() == library.decode(ids.tolist())
 
 
+@pytest.mark.parametrize("lines_apart", [False, True])
+def test_a_long_text_is_searched_in_portions(monkeypatch, lines_apart):
+    draw = random.Random(4)
+    names = [b"", *sorted({bytes(draw.choice(b"ab c") for _ in range(draw.randint(1, 4))) for _ in range(40)})]
+    names = [p for p in names if b" " not in p.lstrip(b" ")] + ([] if lines_apart else [b"a\nb", b"\n"])
+    scores = [0.0, *(draw.uniform(-9, -1) for _ in names[1:])]
+    vocabulary = Vocabulary.build(names, scores, list(range(1, len(names))), None, 0)
+    assert vocabulary.lines_apart == lines_apart
+    texts = [bytes(draw.choice(b"abcd  \n\n") for _ in range(draw.randint(0, 200))) for _ in range(50)]
+    texts += [b"", b" " * 90, b"\n" * 90, b"a" * 90, (b"ab " * 30) + b"x" * 40]
+    whole = [x.tolist() for x in PieceEncoder(vocabulary).encode(texts)]
+    monkeypatch.setattr(pieces, "TEXT_BYTES", 11)
+    encoder = PieceEncoder(vocabulary)
+    assert [x.tolist() for x in encoder.encode(texts)] == whole
+    assert b"".join(encoder._portions(texts[0])) == texts[0] and len(list(encoder._portions(b"ab " * 30))) > 5
+
+
 def test_the_best_sum_is_found():
     draw = random.Random(1)
     pieces = [b"", *sorted({bytes(draw.choice(b"ab c") for _ in range(draw.randint(1, 4))) for _ in range(40)})]
