@@ -441,9 +441,10 @@ def _frequent(pieces: DataFrame, total: int) -> DataFrame | None:
     size = F.octet_length("piece")
     bucket = F.pmod("anchor", F.lit(8 * total // MOST_BYTES))
     full = pieces.groupBy(bucket.alias("bucket")).agg(F.sum(size).alias("size"))
-    full = full.where(F.col("size") > MOST_BYTES).select("bucket")
+    # No join here has a hint: written tables tell Spark their size, and it sends small ones only.
+    full = stored(full.where(F.col("size") > MOST_BYTES).select("bucket"), "full")
     some = pieces.select("anchor", "digest", size.alias("size"), bucket.alias("bucket"))
-    distinct = some.join(F.broadcast(full), "bucket", "left_semi").groupBy("anchor", "digest").agg(F.max("size").alias("size"))
+    distinct = some.join(full, "bucket", "left_semi").groupBy("anchor", "digest").agg(F.max("size").alias("size"))
     found = distinct.groupBy("anchor").agg(F.sum("size").alias("size")).where(F.col("size") > MOST_BYTES)
     found = stored(found.select("anchor"), "frequent")
     return None if found.isEmpty() else found
@@ -457,12 +458,12 @@ def _marks(pieces: DataFrame, length: int, inner: int, finer: list[int]) -> Data
     tasks = max(usual, -(-total // TASK_BYTES))
     # At the last size, pieces with one anchor are one string.
     frequent = _frequent(pieces, total) if finer else None
-    rest = pieces if frequent is None else pieces.join(F.broadcast(frequent), "anchor", "left_anti")
+    rest = pieces if frequent is None else pieces.join(frequent, "anchor", "left_anti")
     dealt = rest.select("anchor", "piece", "did", "start", "strings").repartition(tasks, "anchor")
     marks = in_arrow(dealt.sortWithinPartitions("anchor"), _marks_of(length, inner), _MARKS)
     if frequent is None:
         return marks
-    whole = pieces.join(F.broadcast(frequent), "anchor", "left_semi").groupBy("digest")
+    whole = pieces.join(frequent, "anchor", "left_semi").groupBy("digest")
     whole = stored(
         whole.agg(
             F.first("piece").alias("piece"),
